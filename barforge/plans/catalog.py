@@ -122,3 +122,62 @@ def feature_matrix_zero_tail(spark, sf_dir):
 
 
 assert CANDLE_COLUMNS[0] == "symbol"
+
+
+# ---- splits, folds, balance -------------------------------------------------
+
+from barforge.operators import folds as fo  # noqa: E402
+from barforge.sources.tables import lineitem_trades  # noqa: E402
+
+
+def _fm(spark, sf_dir) -> DataFrame:
+    return event_features(spark, sf_dir, tail="drop").select("symbol", "open_time", "close", "label")
+
+
+@register("walk_forward_folds", sql.q_walk_forward_folds(3))
+def walk_forward_folds(spark, sf_dir):
+    return fo.walk_forward_folds(_fm(spark, sf_dir), 3).select("symbol", "open_time", "label", "fold")
+
+
+@register("fold_summary", sql.q_fold_summary(3))
+def fold_summary(spark, sf_dir):
+    return fo.fold_summary(fo.walk_forward_folds(_fm(spark, sf_dir), 3))
+
+
+@register("holdout_by_time", sql.q_holdout_by_time(0.8))
+def holdout_by_time(spark, sf_dir):
+    return fo.holdout_by_time(_fm(spark, sf_dir), 0.8).select("symbol", "open_time", "label", "split")
+
+
+def _lineitem_daily(spark, sf_dir) -> DataFrame:
+    return aggregate_candles(lineitem_trades(table(spark, sf_dir, "lineitem")), 1440,
+                             order_col="trade_order")
+
+
+@register("holdout_by_symbol", sql.q_holdout_by_symbol())
+def holdout_by_symbol(spark, sf_dir):
+    daily = _lineitem_daily(spark, sf_dir)
+    counts = daily.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_candles"))
+    ranks = fo.symbol_ranks(counts, 0.8).select("symbol", "split")
+    return counts.join(ranks, "symbol").select("symbol", "split", "n_candles")
+
+
+@register("sample_symbols", sql.q_sample_symbols(0.2))
+def sample_symbols(spark, sf_dir):
+    ranks = fo.symbol_ranks(_lineitem_daily(spark, sf_dir), 0.8)
+    return fo.sample_symbols(ranks, 0.2).select("symbol", "split", "split_rank")
+
+
+@register("class_balance", sql.q_class_balance())
+def class_balance(spark, sf_dir):
+    return rounded(fo.class_balance(_fm(spark, sf_dir)))
+
+
+@register("class_weights", sql.q_class_weights(1.0))
+def class_weights(spark, sf_dir):
+    return rounded(fo.class_weights(_fm(spark, sf_dir), 1.0))
+
+
+@register("undersample_majority", sql.q_undersample_majority(42))
+def undersample_majority(spark, sf_dir):
+    return fo.undersample_majority(_fm(spark, sf_dir), 42).select("symbol", "open_time", "label")

@@ -203,3 +203,91 @@ def q_bb_position() -> str:
 
 def q_atr_10() -> str:
     return _some(["true_range", "atr_10"])
+
+
+# ---- splits, folds, balance -------------------------------------------------
+
+def _fm(tail: str = "drop") -> str:
+    where = complete_where() + (" AND next_close IS NOT NULL" if tail == "drop" else "")
+    return (f"{_feature_base()}, fm AS (SELECT symbol, open_time, close, label "
+            f"FROM feats WHERE {where})")
+
+
+def q_walk_forward_folds(k: int = 3) -> str:
+    return (f"{_fm()} SELECT symbol, open_time, label, "
+            f"CAST(ntile({k}) OVER (ORDER BY open_time, symbol) - 1 AS INTEGER) AS fold FROM fm")
+
+
+def q_fold_summary(k: int = 3) -> str:
+    return f"""{_fm()}, folded AS (
+  SELECT open_time, CAST(ntile({k}) OVER (ORDER BY open_time, symbol) - 1 AS INTEGER) AS fold FROM fm)
+SELECT fold, min(open_time) AS start_time, max(open_time) AS end_time,
+       CAST(count(*) AS BIGINT) AS count
+FROM folded GROUP BY fold"""
+
+
+def q_holdout_by_time(f: float = 0.8) -> str:
+    return f"""{_fm()}, ranked AS (
+  SELECT symbol, open_time, label, row_number() OVER (ORDER BY open_time, symbol) - 1 AS rk,
+         count(*) OVER () AS n FROM fm)
+SELECT symbol, open_time, label,
+       CASE WHEN rk < floor(n * {f}::DOUBLE) THEN 'train' ELSE 'test' END AS split
+FROM ranked"""
+
+
+LINEITEM_SYMBOLS = """
+line_days AS (
+  SELECT CAST(l_partkey AS VARCHAR) AS symbol, CAST(l_shipdate AS DATE) AS d FROM lineitem
+),
+syms AS (SELECT symbol, CAST(count(DISTINCT d) AS BIGINT) AS n_candles FROM line_days GROUP BY symbol),
+ranked AS (
+  SELECT symbol, n_candles, row_number() OVER (ORDER BY symbol) - 1 AS rk,
+         count(*) OVER () AS total FROM syms
+),
+splits AS (
+  SELECT symbol, n_candles,
+         CASE WHEN rk < floor(total * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split,
+         CAST(CASE WHEN rk < floor(total * 0.8::DOUBLE) THEN rk
+                   ELSE rk - floor(total * 0.8::DOUBLE) END AS BIGINT) AS split_rank,
+         CAST(CASE WHEN rk < floor(total * 0.8::DOUBLE) THEN floor(total * 0.8::DOUBLE)
+                   ELSE total - floor(total * 0.8::DOUBLE) END AS BIGINT) AS split_size
+  FROM ranked
+)"""
+
+
+def q_holdout_by_symbol() -> str:
+    return f"WITH {LINEITEM_SYMBOLS} SELECT symbol, split, n_candles FROM splits"
+
+
+def q_sample_symbols(f: float = 0.2) -> str:
+    return (f"WITH {LINEITEM_SYMBOLS} SELECT symbol, split, split_rank FROM splits "
+            f"WHERE split_rank < floor(split_size * {f}::DOUBLE)")
+
+
+def q_class_balance() -> str:
+    return f"""{_fm()}, c AS (SELECT label, CAST(count(*) AS BIGINT) AS count FROM fm GROUP BY label)
+SELECT label, count, {rnd('count * 100.0::DOUBLE / sum(count) OVER ()', 'pct')} FROM c"""
+
+
+def q_class_weights(downscale: float = 1.0) -> str:
+    return f"""{_fm()}, c AS (SELECT label, CAST(count(*) AS BIGINT) AS count FROM fm GROUP BY label),
+t AS (SELECT sum(count) AS total, count(*) FILTER (WHERE label = 0) AS has0,
+             count(*) FILTER (WHERE label = 1) AS has1 FROM c)
+SELECT label, count,
+       {rnd(f'CASE WHEN has0 > 0 AND has1 > 0 THEN 1.0::DOUBLE + (total / (2.0::DOUBLE * count) - 1.0::DOUBLE) * {downscale}::DOUBLE ELSE 1.0::DOUBLE END', 'weight')}
+FROM c, t"""
+
+
+def key_fraction_sql(seed: int = 42) -> str:
+    return (f"CAST(('0x' || substr(md5(symbol || ':' || CAST(open_time AS VARCHAR) || ':{seed}'), 1, 8)) AS BIGINT)"
+            f" / 4294967296.0::DOUBLE")
+
+
+def q_undersample_majority(seed: int = 42) -> str:
+    return f"""{_fm()},
+cnt AS (SELECT count(*) FILTER (WHERE label = 1) AS up, count(*) FILTER (WHERE label = 0) AS down FROM fm),
+p AS (SELECT CASE WHEN down > up THEN 0 ELSE 1 END AS maj,
+             CASE WHEN down > up THEN up::DOUBLE / down::DOUBLE
+                  WHEN up = 0 THEN 1.0::DOUBLE ELSE down::DOUBLE / up::DOUBLE END AS ratio FROM cnt)
+SELECT symbol, open_time, label FROM fm, p
+WHERE label <> maj OR {key_fraction_sql(seed)} < ratio"""

@@ -39,22 +39,24 @@ def _norm(v):
     return v
 
 
-def _rows(pdf):
-    cols = sorted(pdf.columns)
-    rows = [tuple(_norm(v) for v in r) for r in pdf[cols].itertuples(index=False, name=None)]
-    return cols, sorted(rows, key=lambda r: tuple((x is None, str(x)) for x in r))
+def _rows(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    out = [tuple(_norm(r[i]) for i in order) for r in rows]
+    return [cols[i] for i in order], sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
-    s_pdf = sdf.toPandas()
+    s_raw = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
-    d_pdf = con.execute(sql).df() if sql else None
-    if d_pdf is None:
-        return dict(name=name, rows=len(s_pdf), oracle=None, ok=None, sec=round(t1 - t0, 2))
-    s_cols, s_rows = _rows(s_pdf)
-    d_cols, d_rows = _rows(d_pdf)
+    if not sql:
+        return dict(name=name, rows=len(s_raw), oracle=None, ok=None, sec=round(t1 - t0, 2))
+    cur = con.execute(sql)
+    d_names = [d[0] for d in cur.description]
+    d_raw = cur.fetchall()
+    s_cols, s_rows = _rows(sdf.columns, s_raw)
+    d_cols, d_rows = _rows(d_names, d_raw)
     ok = s_cols == d_cols and s_rows == d_rows
     info = dict(name=name, rows=len(s_rows), oracle_rows=len(d_rows), ok=ok, sec=round(t1 - t0, 2))
     if s_cols != d_cols:
