@@ -40,7 +40,17 @@ def bucket_ms(us: Column, step_ms: int) -> Column:
     return (floor_to(us, step_ms * 1000) / F.lit(1000)).cast("long")
 
 
-def millis_to_utc_text(ms: Column) -> Column:
-    """'yyyy-MM-dd HH:mm:ss' in UTC for epoch milliseconds (zone pinned)."""
-    ntz = F.timestampadd("MILLISECOND", ms, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
-    return F.date_format(ntz, "yyyy-MM-dd HH:mm:ss")
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def ntz_from_millis(ms: Column) -> Column:
+    """UTC wall-clock TIMESTAMP_NTZ for epoch milliseconds (no session zone)."""
+    return F.timestamp_add("MILLISECOND", ms, F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+
+
+def millis_to_utc_text(ms: Column, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """Epoch milliseconds formatted in UTC (zone pinned, D14)."""
+    return F.date_format(ntz_from_millis(ms), fmt)
+
+
+ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"

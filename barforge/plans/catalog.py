@@ -181,3 +181,46 @@ def class_weights(spark, sf_dir):
 @register("undersample_majority", sql.q_undersample_majority(42))
 def undersample_majority(spark, sf_dir):
     return fo.undersample_majority(_fm(spark, sf_dir), 42).select("symbol", "open_time", "label")
+
+
+# ---- ingest ------------------------------------------------------------------
+
+from barforge.sources import raw as rw  # noqa: E402
+from barforge.sources import replay as rp  # noqa: E402
+
+_RECORD_OUT = ["open_time", "open", "high", "low", "close", "volume", "quote_asset_volume",
+               "number_of_trades", "taker_buy_base_asset_volume", "taker_buy_quote_asset_volume",
+               "symbol", "interval"]
+
+
+@register("parse_events", sql.q_parse_events())
+def parse_events(spark, sf_dir):
+    records, _ = rw.parse_exchange_events(rp.exchange_messages(table(spark, sf_dir, "events")))
+    return rounded(records.select(*_RECORD_OUT))
+
+
+@register("parse_rejects", sql.q_parse_rejects())
+def parse_rejects(spark, sf_dir):
+    _, rejects = rw.parse_exchange_events(rp.exchange_messages(table(spark, sf_dir, "events")))
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("parse_kline_arrays", sql.q_parse_kline_arrays())
+def parse_kline_arrays(spark, sf_dir):
+    records, _ = rw.parse_kline_arrays(rp.kline_responses(table(spark, sf_dir, "events")))
+    return rounded(records.select(*_RECORD_OUT))
+
+
+@register("route_intervals", sql.q_route_intervals())
+def route_intervals(spark, sf_dir):
+    one_minute = event_candles(spark, sf_dir, minutes=1)
+    half_hour = event_candles(spark, sf_dir, minutes=30)
+    records = (rp.candle_records(one_minute.filter(F.col("symbol") != "view"), "1m")
+               .unionByName(rp.candle_records(half_hour.filter(F.col("symbol") == "view"), "30m")))
+    return rounded(rw.route_intervals(records, 30))
+
+
+@register("latest_closed", sql.q_latest_closed())
+def latest_closed(spark, sf_dir):
+    versions = rp.candle_versions(event_candles(spark, sf_dir), "30m")
+    return rounded(rw.latest_closed(versions))

@@ -291,3 +291,53 @@ p AS (SELECT CASE WHEN down > up THEN 0 ELSE 1 END AS maj,
                   WHEN up = 0 THEN 1.0::DOUBLE ELSE down::DOUBLE / up::DOUBLE END AS ratio FROM cnt)
 SELECT symbol, open_time, label FROM fm, p
 WHERE label <> maj OR {key_fraction_sql(seed)} < ratio"""
+
+
+# ---- ingest ------------------------------------------------------------------
+
+_REJECT_REASON = """CASE WHEN event_id % 41 = 4 THEN 'malformed'
+     WHEN event_id % 31 = 2 THEN 'no_kline'
+     WHEN event_id % 29 = 1 THEN 'not_closed'
+     WHEN event_id % 37 = 3 THEN 'bad_field'
+     WHEN event_id % 43 = 5 THEN 'bad_interval' END"""
+
+
+def q_parse_events() -> str:
+    return f"""
+WITH e AS (SELECT *, epoch_us(ts) AS us, {_REJECT_REASON} AS reason FROM events)
+SELECT CAST(CASE WHEN event_id % 5 = 0 THEN us - us % 1800000000 ELSE us - us % 60000000 END // 1000 AS BIGINT) AS open_time,
+       {rnd('value', 'open')}, {rnd('value', 'high')}, {rnd('value', 'low')}, {rnd('value', 'close')},
+       {rnd('value', 'volume')}, {rnd('value', 'quote_asset_volume')},
+       CAST(1 AS INTEGER) AS number_of_trades, 0.0::DOUBLE AS taker_buy_base_asset_volume,
+       {rnd('CASE WHEN user_id % 2 = 0 THEN value ELSE 0.0 END', 'taker_buy_quote_asset_volume')},
+       upper(event_type) AS symbol, CASE WHEN event_id % 5 = 0 THEN '30m' ELSE '1m' END AS interval
+FROM e WHERE reason IS NULL"""
+
+
+def q_parse_rejects() -> str:
+    return f"""
+SELECT reason, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT {_REJECT_REASON} AS reason FROM events) WHERE reason IS NOT NULL GROUP BY reason"""
+
+
+def q_parse_kline_arrays() -> str:
+    return f"""
+WITH e AS (SELECT *, epoch_us(ts) AS us FROM events WHERE event_id % 37 <> 3)
+SELECT CAST((us - us % 60000000) // 1000 AS BIGINT) AS open_time,
+       {rnd('value', 'open')}, {rnd('value', 'high')}, {rnd('value', 'low')}, {rnd('value', 'close')},
+       {rnd('value', 'volume')}, {rnd('value', 'quote_asset_volume')},
+       CAST(1 AS INTEGER) AS number_of_trades, 0.0::DOUBLE AS taker_buy_base_asset_volume,
+       {rnd('CASE WHEN user_id % 2 = 0 THEN value ELSE 0.0 END', 'taker_buy_quote_asset_volume')},
+       upper(event_type) AS symbol, '1m' AS interval
+FROM e"""
+
+
+def q_route_intervals() -> str:
+    return (f"WITH {TRADES}, {candles_cte()} SELECT {CANDLE_OUT}, "
+            f"CASE WHEN symbol = 'view' THEN '30m' ELSE '1m' END AS source_interval FROM candles")
+
+
+def q_latest_closed() -> str:
+    out = CANDLE_OUT.replace(rnd("volume"), rnd(
+        "CASE WHEN (open_time // 1800000) % 7 = 0 THEN volume + 1.0::DOUBLE ELSE volume END", "volume"))
+    return f"WITH {TRADES}, {candles_cte()} SELECT {out} FROM candles"

@@ -91,6 +91,14 @@ EXCHANGE_EVENT_SCHEMA = T.StructType([
     T.StructField("k", _KLINE),
 ])
 
+# The same kline struct with unambiguous names (Spark resolves names without
+# case, so "v"/"V" and "q"/"Q" clash); structs cast by position.
+KLINE_NAMED = T.StructType([
+    T.StructField(n, f.dataType) for n, f in zip(
+        ("t", "o", "h", "l", "c", "vol", "quote", "n", "taker_base", "taker_quote", "i", "x"),
+        _KLINE.fields)
+])
+
 # REST kline response: a JSON array of positional arrays.
 KLINE_ARRAY_SCHEMA = T.ArrayType(T.ArrayType(T.StringType()))
 
