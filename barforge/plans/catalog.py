@@ -224,3 +224,93 @@ def route_intervals(spark, sf_dir):
 def latest_closed(spark, sf_dir):
     versions = rp.candle_versions(event_candles(spark, sf_dir), "30m")
     return rounded(rw.latest_closed(versions))
+
+
+# ---- scores, signals, evaluation -------------------------------------------
+
+from barforge.functions import signals as sg  # noqa: E402
+from barforge.operators import evaluate as ev  # noqa: E402
+from barforge.operators import outcomes as oc  # noqa: E402
+
+
+def momentum_score(momentum):
+    """Transparent stand-in score for checking the reports against SQL:
+    x = 20 * price_momentum, p = 0.5 + 0.5 * x / (1 + |x|)."""
+    x = F.lit(20.0) * momentum
+    return F.lit(0.5) + F.lit(0.5) * x / (F.lit(1.0) + F.abs(x))
+
+
+def _preds(spark, sf_dir, labelled: bool = True) -> DataFrame:
+    feats = event_features(spark, sf_dir, label=labelled, tail="drop")
+    p = momentum_score(F.col("price_momentum"))
+    return feats.select("symbol", "open_time", "close", "label", p.alias("prob_up")).withColumn(
+        "prediction", sg.predicted_class(F.col("prob_up")))
+
+
+@register("trading_signals", sql.q_trading_signals())
+def trading_signals(spark, sf_dir):
+    p = _preds(spark, sf_dir, labelled=False)
+    return rounded(p.select("symbol", "open_time", "prob_up", "prediction",
+                            sg.signal(F.col("prob_up"), F.col("prediction")).alias("signal"),
+                            sg.confidence(F.col("prob_up")).alias("confidence")))
+
+
+@register("confusion", sql.q_confusion())
+def confusion(spark, sf_dir):
+    return ev.confusion(_preds(spark, sf_dir))
+
+
+@register("class_recall", sql.q_class_recall())
+def class_recall(spark, sf_dir):
+    return rounded(ev.class_recall(_preds(spark, sf_dir)))
+
+
+@register("accuracy_f1", sql.q_accuracy_f1())
+def accuracy_f1(spark, sf_dir):
+    return rounded(ev.accuracy_f1(_preds(spark, sf_dir)))
+
+
+@register("auc_exact", sql.q_auc_exact())
+def auc_exact(spark, sf_dir):
+    return rounded(ev.auc_exact(_preds(spark, sf_dir)))
+
+
+@register("calibration_table", sql.q_calibration_table())
+def calibration_table(spark, sf_dir):
+    return rounded(ev.calibration_table(_preds(spark, sf_dir)))
+
+
+@register("calibration_error", sql.q_calibration_error())
+def calibration_error(spark, sf_dir):
+    return rounded(ev.calibration_error(_preds(spark, sf_dir)))
+
+
+@register("probability_summary", sql.q_probability_summary())
+def probability_summary(spark, sf_dir):
+    return rounded(ev.probability_summary(_preds(spark, sf_dir)))
+
+
+@register("confidence_bands", sql.q_confidence_bands())
+def confidence_bands(spark, sf_dir):
+    return ev.confidence_bands(_preds(spark, sf_dir))
+
+
+@register("confident_subset", sql.q_confident_subset())
+def confident_subset(spark, sf_dir):
+    return rounded(ev.confident_subset(_preds(spark, sf_dir)))
+
+
+def _log(spark, sf_dir) -> DataFrame:
+    preds = _preds(spark, sf_dir, labelled=False).withColumnRenamed("prob_up", "final_prob")
+    outcomes = oc.outcomes_from_candles(event_candles(spark, sf_dir))
+    return oc.prediction_log(preds, outcomes)
+
+
+@register("prediction_outcomes", sql.q_prediction_outcomes())
+def prediction_outcomes(spark, sf_dir):
+    return rounded(_log(spark, sf_dir))
+
+
+@register("live_hit_rate", sql.q_live_hit_rate())
+def live_hit_rate(spark, sf_dir):
+    return rounded(oc.hit_rate(_log(spark, sf_dir)))

@@ -341,3 +341,151 @@ def q_latest_closed() -> str:
     out = CANDLE_OUT.replace(rnd("volume"), rnd(
         "CASE WHEN (open_time // 1800000) % 7 = 0 THEN volume + 1.0::DOUBLE ELSE volume END", "volume"))
     return f"WITH {TRADES}, {candles_cte()} SELECT {out} FROM candles"
+
+
+# ---- scores, signals, evaluation -------------------------------------------
+# The transparent momentum score used to check the report operators:
+# x = 20 * price_momentum, p = 0.5 + 0.5 * x / (1 + |x|).
+
+def _scored(labelled: bool = True) -> str:
+    where = complete_where() + (" AND next_close IS NOT NULL" if labelled else "")
+    return f"""{_feature_base()},
+scored AS (
+  SELECT symbol, open_time, close, label, next_close,
+         0.5::DOUBLE + 0.5::DOUBLE * (20.0::DOUBLE * price_momentum)
+             / (1.0::DOUBLE + abs(20.0::DOUBLE * price_momentum)) AS prob_up
+  FROM feats WHERE {where}
+),
+preds AS (SELECT *, CAST(CASE WHEN prob_up > 0.5::DOUBLE THEN 1 ELSE 0 END AS INTEGER) AS prediction
+          FROM scored)"""
+
+
+def q_trading_signals() -> str:
+    return f"""{_scored(False)}
+SELECT symbol, open_time, {rnd('prob_up')}, prediction,
+       CASE WHEN prob_up >= 0.6::DOUBLE OR prob_up <= 0.4::DOUBLE
+                 OR prob_up >= 0.7::DOUBLE OR prob_up <= 0.3::DOUBLE
+            THEN CASE WHEN prediction = 1 THEN 'BUY (Long)' ELSE 'SELL (Short)' END
+            ELSE 'WAIT' END AS signal,
+       CASE WHEN prob_up >= 0.7::DOUBLE OR prob_up <= 0.3::DOUBLE THEN 'VERY HIGH'
+            WHEN prob_up >= 0.6::DOUBLE OR prob_up <= 0.4::DOUBLE THEN 'HIGH' ELSE 'Low' END AS confidence
+FROM preds"""
+
+
+def q_confusion() -> str:
+    return (f"{_scored()} SELECT label, prediction, CAST(count(*) AS BIGINT) AS count "
+            f"FROM preds GROUP BY label, prediction")
+
+
+_CELLS = """cells AS (
+  SELECT count(*) FILTER (WHERE label = 1 AND prediction = 1)::DOUBLE AS tp1,
+         count(*) FILTER (WHERE label = 0 AND prediction = 1)::DOUBLE AS fp1,
+         count(*) FILTER (WHERE label = 1 AND prediction = 0)::DOUBLE AS fn1,
+         count(*) FILTER (WHERE label = 0 AND prediction = 0)::DOUBLE AS tp0,
+         count(*) AS n
+  FROM preds)"""
+
+
+def q_class_recall() -> str:
+    return f"""{_scored()}, {_CELLS}
+SELECT {rnd('CASE WHEN tp1 + fn1 > 0 THEN tp1 / (tp1 + fn1) ELSE 0.0 END', 'up_recall')},
+       {rnd('CASE WHEN tp0 + fp1 > 0 THEN tp0 / (tp0 + fp1) ELSE 0.0 END', 'down_recall')}
+FROM cells"""
+
+
+def q_accuracy_f1() -> str:
+    return f"""{_scored()}, {_CELLS},
+pr AS (
+  SELECT *, CASE WHEN tp1 + fp1 > 0 THEN tp1 / (tp1 + fp1) ELSE 0.0 END AS p1,
+            CASE WHEN tp1 + fn1 > 0 THEN tp1 / (tp1 + fn1) ELSE 0.0 END AS r1,
+            CASE WHEN tp0 + fn1 > 0 THEN tp0 / (tp0 + fn1) ELSE 0.0 END AS p0,
+            CASE WHEN tp0 + fp1 > 0 THEN tp0 / (tp0 + fp1) ELSE 0.0 END AS r0
+  FROM cells)
+SELECT {rnd('(tp1 + tp0) / n', 'accuracy')},
+       {rnd('CASE WHEN p1 + r1 = 0 THEN 0.0 ELSE 2 * p1 * r1 / (p1 + r1) END * ((tp1 + fn1) / n) + CASE WHEN p0 + r0 = 0 THEN 0.0 ELSE 2 * p0 * r0 / (p0 + r0) END * ((tp0 + fp1) / n)', 'f1')},
+       CAST(n AS BIGINT) AS count
+FROM pr"""
+
+
+def q_auc_exact() -> str:
+    return f"""{_scored()},
+s AS (SELECT prob_up AS s, sum(label) AS pos, count(*) - sum(label) AS neg FROM preds GROUP BY prob_up),
+r AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM s)
+SELECT {rnd('sum(pos * (2 * below + neg))::DOUBLE / (2.0 * sum(pos) * sum(neg))', 'auc')},
+       CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives
+FROM r"""
+
+
+_CAL = """cal AS (
+  SELECT round(floor(prob_up * 20) / 20.0, 2) AS prob_bin, count(*) AS count,
+         avg(prob_up) AS avg_predicted_prob,
+         avg(CASE WHEN label = 1 THEN 1.0 ELSE 0.0 END) AS actual_prob_up
+  FROM preds GROUP BY 1)"""
+
+
+def q_calibration_table() -> str:
+    return f"""{_scored()}, {_CAL}
+SELECT {rnd('prob_bin')}, CAST(count AS BIGINT) AS count, {rnd('avg_predicted_prob')},
+       {rnd('actual_prob_up')}, {rnd('actual_prob_up - avg_predicted_prob', 'calibration_error')}
+FROM cal"""
+
+
+def q_calibration_error() -> str:
+    return f"""{_scored()}, {_CAL}
+SELECT {rnd('sum(count * abs(actual_prob_up - avg_predicted_prob)) / sum(count)', 'mean_abs_calibration_error')},
+       CAST(count(*) AS BIGINT) AS bins
+FROM cal"""
+
+
+def q_probability_summary() -> str:
+    return f"""{_scored()}
+SELECT CAST(count(prob_up) AS BIGINT) AS count, {rnd('avg(prob_up)', 'mean')},
+       {rnd('stddev_samp(prob_up)', 'stddev')}, {rnd('min(prob_up)', 'min')}, {rnd('max(prob_up)', 'max')}
+FROM preds"""
+
+
+def q_confidence_bands() -> str:
+    return f"""{_scored()}, b AS (
+  SELECT CASE WHEN prob_up < 0.45::DOUBLE THEN 0 WHEN prob_up < 0.50::DOUBLE THEN 1
+              WHEN prob_up < 0.55::DOUBLE THEN 2 WHEN prob_up < 0.60::DOUBLE THEN 3
+              WHEN prob_up < 0.65::DOUBLE THEN 4 WHEN prob_up < 0.70::DOUBLE THEN 5 ELSE 6 END AS band
+  FROM preds)
+SELECT CAST(band AS INTEGER) AS band,
+       ['Very Low (0-45%)', 'Low (45-50%)', 'Borderline (50-55%)', 'Moderate (55-60%)',
+        'Confident (60-65%)', 'High (65-70%)', 'Very High (70%+)'][band + 1] AS confidence_range,
+       CAST(count(*) AS BIGINT) AS count
+FROM b GROUP BY band"""
+
+
+def q_confident_subset() -> str:
+    parts = []
+    for t in (0.6, 0.7):
+        inside = f"(prob_up >= {t}::DOUBLE OR prob_up <= 1.0::DOUBLE - {t}::DOUBLE)"
+        parts.append(f"""
+SELECT {rnd(f'{t}', 'threshold')},
+       CAST(count(*) FILTER (WHERE {inside}) AS BIGINT) AS count,
+       {rnd(f'count(*) FILTER (WHERE {inside}) * 100.0 / count(*)', 'pct_of_total')},
+       {rnd(f'CASE WHEN count(*) FILTER (WHERE {inside}) > 0 THEN count(*) FILTER (WHERE {inside} AND prediction = label)::DOUBLE / count(*) FILTER (WHERE {inside}) END', 'accuracy')},
+       {rnd('count(*) FILTER (WHERE prediction = label)::DOUBLE / count(*)', 'overall_accuracy')}
+FROM preds""")
+    return f"{_scored()} " + " UNION ALL ".join(parts)
+
+
+def q_prediction_outcomes() -> str:
+    return f"""{_scored(False)},
+outc AS (SELECT symbol, open_time, label AS actual_label FROM feats WHERE next_close IS NOT NULL)
+SELECT p.open_time AS timestamp, strftime(make_timestamp(p.open_time * 1000), '%Y-%m-%d %H:%M:%S') AS datetime,
+       p.symbol, {rnd('p.close', 'close')}, {rnd('p.prob_up', 'final_prob')}, p.prediction, o.actual_label,
+       CAST(CASE WHEN o.actual_label IS NULL THEN NULL WHEN o.actual_label = p.prediction THEN 1 ELSE 0 END AS INTEGER) AS is_correct
+FROM preds p LEFT JOIN outc o ON p.symbol = o.symbol AND p.open_time = o.open_time"""
+
+
+def q_live_hit_rate() -> str:
+    return f"""{_scored(False)},
+outc AS (SELECT symbol, open_time, label AS actual_label FROM feats WHERE next_close IS NOT NULL),
+log AS (
+  SELECT p.symbol, strftime(make_timestamp(p.open_time * 1000), '%Y-%m-%d') AS day,
+         CASE WHEN o.actual_label = p.prediction THEN 1 ELSE 0 END AS is_correct
+  FROM preds p JOIN outc o ON p.symbol = o.symbol AND p.open_time = o.open_time)
+SELECT symbol, day, CAST(count(*) AS BIGINT) AS scored, {rnd('avg(is_correct)', 'hit_rate')}
+FROM log GROUP BY symbol, day"""
