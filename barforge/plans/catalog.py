@@ -314,3 +314,68 @@ def prediction_outcomes(spark, sf_dir):
 @register("live_hit_rate", sql.q_live_hit_rate())
 def live_hit_rate(spark, sf_dir):
     return rounded(oc.hit_rate(_log(spark, sf_dir)))
+
+
+# ---- stacked model (rows-only checks: MLlib training has no SQL twin) --------
+
+from barforge.plans import stack as st  # noqa: E402
+from barforge.plans import training as tr  # noqa: E402
+
+_TRAINED: dict = {}
+
+
+def _trained(spark, sf_dir, split: str):
+    """Train once per session, data folder and split; reused by the queries."""
+    key = (spark.sparkContext.applicationId, sf_dir, split)
+    if key not in _TRAINED:
+        feats = event_features(spark, sf_dir, tail="drop")
+        if split == "holdout":
+            feats = fo.holdout_by_time(feats, 0.8)
+            train = feats.filter(F.col("split") == "train").drop("split")
+            test = feats.filter(F.col("split") == "test").drop("split")
+        else:
+            train, test = feats, None
+        _TRAINED[key] = (tr.train_stack(train, k=3), test)
+    return _TRAINED[key]
+
+
+@register("stack_oof")
+def stack_oof(spark, sf_dir):
+    result, _ = _trained(spark, sf_dir, "holdout")
+    return result.oof.select("symbol", "open_time", "label", "weight", "fold",
+                             "rf_prob", "gbt_prob", "lr_prob")
+
+
+@register("stack_scores")
+def stack_scores(spark, sf_dir):
+    result, test = _trained(spark, sf_dir, "holdout")
+    scored = st.score(result.model, test, keep=("close", "label"))
+    return scored.select("*", sg.signal(F.col("prob_up"), F.col("prediction")).alias("signal"),
+                         sg.confidence(F.col("prob_up")).alias("confidence"))
+
+
+@register("feature_importance")
+def feature_importance(spark, sf_dir):
+    result, _ = _trained(spark, sf_dir, "holdout")
+    return tr.feature_importance(result.base, spark)
+
+
+@register("stack_evaluation")
+def stack_evaluation(spark, sf_dir):
+    """The evaluation bundle on the stacked model's holdout predictions."""
+    preds = stack_scores(spark, sf_dir)
+    acc = ev.accuracy_f1(preds)
+    rec = ev.class_recall(preds)
+    auc = ev.auc_exact(preds)
+    cal = ev.calibration_error(preds)
+    rows = [acc.select(F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")),
+            acc.select(F.lit("f1").alias("metric"), F.col("f1").alias("value")),
+            rec.select(F.lit("up_recall").alias("metric"), F.col("up_recall").alias("value")),
+            rec.select(F.lit("down_recall").alias("metric"), F.col("down_recall").alias("value")),
+            auc.select(F.lit("auc").alias("metric"), F.col("auc").alias("value")),
+            cal.select(F.lit("calibration_error").alias("metric"),
+                       F.col("mean_abs_calibration_error").alias("value"))]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
