@@ -379,3 +379,74 @@ def stack_evaluation(spark, sf_dir):
     for r in rows[1:]:
         out = out.unionByName(r)
     return out
+
+
+# ---- streaming ---------------------------------------------------------------
+
+import os  # noqa: E402
+
+from barforge.session import scratch_path  # noqa: E402
+from barforge.streaming import live as lv  # noqa: E402
+from barforge.streaming.resample import stream_candles  # noqa: E402
+
+
+def _events_stream(spark, sf_dir) -> DataFrame:
+    """The events table as a file stream (glob: the source wants a pattern)."""
+    schema = table(spark, sf_dir, "events").schema
+    return spark.readStream.schema(schema).parquet(os.path.join(sf_dir, "event[s].parquet"))
+
+
+@register("stream_resample", sql.q_stream_resample(30, 600_000))
+def stream_resample(spark, sf_dir):
+    out = scratch_path(spark, "stream-resample")
+    candles = stream_candles(event_trades(_events_stream(spark, sf_dir)), 30, "10 minutes",
+                             order_col="trade_order")
+    q = lv.start(candles, f"{out}/table", f"{out}/checkpoint", {"availableNow": True})
+    q.awaitTermination()
+    return rounded(spark.read.parquet(f"{out}/table"))
+
+
+def _replay_candles(spark, sf_dir, parts: int = 4) -> str:
+    """Write the 30-minute candles as ``parts`` files in time order (one per
+    micro-batch) and return the folder; the stream reads them in order."""
+    out = scratch_path(spark, "candle-feed")
+    candles = event_candles(spark, sf_dir).persist()
+    lo, hi = candles.agg(F.min("open_time"), F.max("open_time")).first()
+    step = (hi - lo) // parts + 1
+    for i in range(parts):
+        part = candles.filter((F.col("open_time") >= lo + i * step) & (F.col("open_time") < lo + (i + 1) * step))
+        part.coalesce(1).write.parquet(f"{out}/part={i:04d}")
+    candles.unpersist()
+    return out
+
+
+def _run_live(spark, sf_dir, model) -> str:
+    feed = _replay_candles(spark, sf_dir)
+    schema = spark.read.parquet(feed).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    out = scratch_path(spark, "live")
+    q = lv.start_live(stream, f"{out}/tables", f"{out}/checkpoint", model, {"availableNow": True})
+    q.awaitTermination()
+    return f"{out}/tables"
+
+
+@register("stream_features", sql.q_stream_features())
+def stream_features(spark, sf_dir):
+    tables = _run_live(spark, sf_dir, None)
+    preds = spark.read.parquet(f"{tables}/predictions")
+    return rounded(preds.select("symbol", "open_time", "close", *fo_features()))
+
+
+def fo_features():
+    from barforge.schema import FEATURES
+    return list(FEATURES)
+
+
+@register("stream_scores")
+def stream_scores(spark, sf_dir):
+    result, _ = _trained(spark, sf_dir, "holdout")
+    tables = _run_live(spark, sf_dir, result.model)
+    preds = spark.read.parquet(f"{tables}/predictions")
+    outs = spark.read.parquet(f"{tables}/outcomes")
+    return lv.log_view(preds.select("symbol", "open_time", "close", "final_prob", "prediction", "seq"),
+                       outs.select("symbol", "open_time", "actual_label", "seq"))

@@ -489,3 +489,18 @@ log AS (
   FROM preds p JOIN outc o ON p.symbol = o.symbol AND p.open_time = o.open_time)
 SELECT symbol, day, CAST(count(*) AS BIGINT) AS scored, {rnd('avg(is_correct)', 'hit_rate')}
 FROM log GROUP BY symbol, day"""
+
+
+# ---- streaming ---------------------------------------------------------------
+
+def q_stream_resample(minutes: int = 30, delay_ms: int = 600_000) -> str:
+    """Candles whose window closed under the watermark (max event time - delay)."""
+    return f"""WITH {TRADES}, {candles_cte(minutes)},
+wm AS (SELECT max(t_us) // 1000 - {delay_ms} AS w FROM trades)
+SELECT {CANDLE_OUT} FROM candles, wm WHERE open_time + {minutes * 60_000} <= w"""
+
+
+def q_stream_features() -> str:
+    ints = {f"number_of_trades_lag{k}" for k in (1, 2, 3)}
+    cols = ["symbol", "open_time", rnd("close")] + [f if f in ints else rnd(f) for f in FEATURES]
+    return f"{_feature_base()} SELECT {', '.join(cols)} FROM feats WHERE {complete_where()}"

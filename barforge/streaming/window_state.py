@@ -1,0 +1,144 @@
+"""The live per-symbol window of the last 21 candles (STR-1, STR-5, STR-8).
+
+Window functions are not allowed on streams, so the window is kept in
+Spark's state store, keyed by symbol (one window per symbol, checkpointed with
+the query, restored on restart). For each new candle of a symbol the
+operator emits one row holding the window that ends at that candle as arrays
+(oldest first), plus the outcome of the previous candle (did the close go
+up?). The feature formulas then read the arrays (``array_accessor``), the
+same expressions the batch job evaluates with ``lag``.
+
+Arrival rules: a candle newer than the window's last is appended (and emits);
+a re-sent candle already in the window replaces it (re-emitting only when it
+is the newest); a candle older than the window's first is reported ``late``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from barforge.schema import WINDOW_SIZE
+
+VALUES = ("open", "high", "low", "close", "volume", "number_of_trades",
+          "taker_buy_quote_asset_volume")
+_LONGS = {"number_of_trades"}
+
+
+def _arr(name: str) -> T.ArrayType:
+    return T.ArrayType(T.LongType() if name in _LONGS else T.DoubleType())
+
+
+STATE_SCHEMA = T.StructType(
+    [T.StructField("open_time", T.ArrayType(T.LongType()))]
+    + [T.StructField(v, _arr(v)) for v in VALUES]
+    + [T.StructField("seq", T.LongType())])
+
+OUTPUT_SCHEMA = T.StructType(
+    [T.StructField("symbol", T.StringType()), T.StructField("open_time", T.LongType()),
+     T.StructField("kind", T.StringType())]
+    + [T.StructField(f"w_{v}", _arr(v)) for v in VALUES]
+    + [T.StructField("outcome_open_time", T.LongType()),
+       T.StructField("outcome_label", T.IntegerType()),
+       T.StructField("seq", T.LongType())])
+
+
+def _py(x, integral: bool):
+    """Plain Python value for the state store (None for missing)."""
+    if x is None or (isinstance(x, float) and integral and x != x) or x is pd.NA:
+        return None
+    return int(x) if integral else float(x)
+
+
+def _step(key, batches: Iterator[pd.DataFrame], state: GroupState, size: int):
+    symbol = key[0]
+    if state.exists:
+        saved = state.get
+        win = {col: list(saved[i]) for i, col in enumerate(("open_time",) + VALUES)}
+        seq = int(saved[len(VALUES) + 1] or 0)
+    else:
+        win = {col: [] for col in ("open_time",) + VALUES}
+        seq = 0
+    new = pd.concat(list(batches), ignore_index=True)
+    # one version per open_time inside the batch: the last one received
+    new = new.drop_duplicates("open_time", keep="last").sort_values("open_time")
+    out = []
+
+    def add(row: dict):
+        nonlocal seq
+        seq += 1
+        row["seq"] = seq
+        out.append(row)
+
+    def bare(t: int, kind: str, outcome_time=None, outcome=None) -> dict:
+        return {"symbol": symbol, "open_time": t, "kind": kind,
+                **{f"w_{v}": None for v in VALUES},
+                "outcome_open_time": outcome_time, "outcome_label": outcome}
+
+    def emit(kind: str, outcome_time=None, outcome=None):
+        row = {"symbol": symbol, "open_time": int(win["open_time"][-1]), "kind": kind,
+               "outcome_open_time": outcome_time, "outcome_label": outcome}
+        for v in VALUES:
+            row[f"w_{v}"] = list(win[v])
+        add(row)
+
+    def up(new_close, old_close) -> int:
+        return int(bool(new_close is not None and old_close is not None and new_close > old_close))
+
+    for rec in new.itertuples(index=False):
+        t = int(rec.open_time)
+        prev_time, outcome = None, None
+        vals = {v: _py(getattr(rec, v), v in _LONGS) for v in VALUES}
+        times = win["open_time"]
+        if times and t < times[0]:
+            add(bare(t, "late"))
+            continue
+        if t in times:
+            i = times.index(t)
+            for v in VALUES:
+                win[v][i] = vals[v]
+            # the previous candle's outcome depends on this close
+            o_time = times[i - 1] if i > 0 else None
+            o_label = up(win["close"][i], win["close"][i - 1]) if i > 0 else None
+            if i == len(times) - 1 and len(times) == size:
+                emit("update", o_time, o_label)
+            elif o_time is not None:
+                add(bare(t, "update", o_time, o_label))
+            continue
+        if times and t < times[-1]:
+            i = next(j for j, x in enumerate(times) if x > t)
+            times.insert(i, t)
+            for v in VALUES:
+                win[v].insert(i, vals[v])
+        else:
+            prev_time = times[-1] if times else None
+            prev_close = win["close"][-1] if times else None
+            times.append(t)
+            for v in VALUES:
+                win[v].append(vals[v])
+            if prev_time is not None:
+                outcome = up(vals["close"], prev_close)
+        for v in ("open_time",) + VALUES:
+            del win[v][:-size]
+        if times and times[-1] == t and len(times) == size:
+            emit("window", prev_time, outcome)
+        elif times and times[-1] == t and prev_time is not None:
+            add(bare(t, "warmup", prev_time, outcome))
+    state.update(tuple(win[c] for c in ("open_time",) + VALUES) + (seq,))
+    if out:
+        yield pd.DataFrame(out, columns=[f.name for f in OUTPUT_SCHEMA.fields])
+
+
+def live_windows(candles: DataFrame, size: int = WINDOW_SIZE) -> DataFrame:
+    """Streaming candles (symbol, open_time Long ms, values) -> window rows."""
+    cols = candles.select("symbol", "open_time", *VALUES)
+
+    def fn(key, batches, state):
+        return _step(key, batches, state, size)
+
+    return cols.groupBy("symbol").applyInPandasWithState(
+        fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
