@@ -15,7 +15,7 @@ BROADCAST_MAX_ROWS = 1_000_000
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                  app: str = "barforge", **conf: str) -> SparkSession:
+                  app: str = "barforge", driver_memory: str = "8g", **conf: str) -> SparkSession:
     """A session configured the way the library expects (UTC, AQE on, no UI).
 
     For local runs and tests. On a cluster, pass the cluster's own session to
@@ -23,6 +23,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     """
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.driver.memory", driver_memory)
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")

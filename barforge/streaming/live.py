@@ -61,7 +61,7 @@ def start_live(candles: DataFrame, root: str, checkpoint: str, model: PipelineMo
         batch.persist()
         try:
             feats = window_features(batch)
-            rows = (st.score(model, feats, keep=("close", "kind", "seq") + tuple(FEATURES))
+            rows = (st.score(model, feats, keep=("close", "kind", "seq"))
                     .withColumnRenamed("prob_up", "final_prob") if model is not None else feats)
             rows.write.mode("overwrite").parquet(f"{root}/predictions/batch={batch_id}")
             window_outcomes(batch).write.mode("overwrite").parquet(f"{root}/outcomes/batch={batch_id}")
