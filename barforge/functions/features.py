@@ -39,6 +39,27 @@ def array_accessor(prefix: str = "w_") -> Accessor:
     return at
 
 
+def lags_used(lookback: int = LOOKBACK) -> list[tuple[str, int]]:
+    """Every (column, k) the formulas read, found by running them once with a
+    recording accessor."""
+    seen: dict[tuple[str, int], None] = {}
+
+    def record(name: str, k: int) -> Column:
+        seen[(name, k)] = None
+        return F.lit(None).cast("double")
+
+    feature_columns(record, lookback)
+    working_columns(record)
+    return list(seen)
+
+
+def column_accessor(prefix: str = "_x_") -> Accessor:
+    """Accessor over pre-projected columns ``{prefix}{column}_{k}``."""
+    def at(name: str, k: int) -> Column:
+        return F.col(f"{prefix}{name}_{k}")
+    return at
+
+
 def symbol_window(partition: tuple[str, ...] = ("symbol",), order: str = "open_time") -> WindowSpec:
     return Window.partitionBy(*partition).orderBy(order)
 

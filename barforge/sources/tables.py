@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from barforge.functions.time import epoch_micros
 
-SYMBOL_FROM_FILE = r"([^/\\]+)\.parquet$"
+# The symbol is the base name of SYMBOL.parquet, a file or a folder of parts.
+SYMBOL_FROM_FILE = r"([^/\\]+?)\.parquet(?:[/\\]part-[^/\\]+)?$"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from barforge.functions.features import array_accessor, complete_row, feature_columns
+from barforge.functions.features import (array_accessor, column_accessor, complete_row,
+                                         feature_columns, lags_used)
 from barforge.operators.outcomes import prediction_log
 from barforge.plans import stack as st
 from barforge.schema import FEATURES
@@ -27,7 +28,13 @@ def window_features(windows: DataFrame) -> DataFrame:
     """Features of the newest candle of each emitted window (same formulas as
     batch, read from the arrays). Rows failing the NULL/NaN test are dropped."""
     full = windows.filter(F.col("kind").isin("window", "update"))
-    L = array_accessor("w_")
+    # read each needed position once into its own column (keeps generated code
+    # small), then apply the shared formulas to those columns
+    arr = array_accessor("w_")
+    needed = dict.fromkeys([(v, 0) for v in VALUES] + lags_used())
+    full = full.select("symbol", "open_time", "kind", "seq",
+                       *[arr(n, k).alias(f"_x_{n}_{k}") for n, k in needed])
+    L = column_accessor("_x_")
     feats = feature_columns(L)
     current = {v: L(v, 0) for v in VALUES}
     wide = full.select("symbol", "open_time", "kind", "seq",
