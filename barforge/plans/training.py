@@ -33,10 +33,10 @@ def train_stack(features: DataFrame, k: int = 3, downscale: float = 1.0,
                 params: st.StackParams | None = None) -> StackResult:
     """Train the stacked model on ``features`` (symbol, open_time, label, FEATURES)."""
     params = params or st.StackParams()
-    table = features.select("symbol", "open_time", "label", *FEATURES)
-    weights = class_weights(table, downscale).collect()          # at most two rows
+    base = features.select("symbol", "open_time", "label", *FEATURES).persist()
+    weights = class_weights(base, downscale).collect()           # at most two rows
     use_weights = len(weights) == 2
-    table = add_class_weights(table, downscale) if use_weights else table.withColumn("weight", F.lit(1.0))
+    table = add_class_weights(base, downscale) if use_weights else base.withColumn("weight", F.lit(1.0))
     table = walk_forward_folds(table, k).persist()
     try:
         parts = []
@@ -56,6 +56,7 @@ def train_stack(features: DataFrame, k: int = 3, downscale: float = 1.0,
         return StackResult(st.stacked_pipeline(final, meta), oof, final, use_weights)
     finally:
         table.unpersist()
+        base.unpersist()
 
 
 def feature_importance(base: dict, spark, low: float = 0.01) -> DataFrame:
