@@ -3,9 +3,9 @@
 Exact global ``ntile`` without a one-task window (WIN-6): fold boundaries
 are k-1 rows of the global order (open_time, symbol). We find those rows from
 small count tables only (per day, then per time within one day, then the few
-symbols at one time), and assign folds with literal comparisons. The full
-table is scanned, never sorted or shuffled as a whole, and the fold predicate
-is a plain range filter that parquet can prune on.
+symbols at one time), and assign folds with literal comparisons on
+(open_time, symbol). The full table is scanned, never sorted or shuffled as a
+whole.
 """
 
 from __future__ import annotations
