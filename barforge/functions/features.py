@@ -9,7 +9,7 @@ therefore compute the same expressions in the same order, bit for bit.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -39,6 +39,7 @@ def array_accessor(prefix: str = "w_") -> Accessor:
     return at
 
 
+@lru_cache(maxsize=None)
 def lags_used(lookback: int = LOOKBACK) -> list[tuple[str, int]]:
     """Every (column, k) the formulas read, found by running them once with a
     recording accessor."""
@@ -50,9 +51,21 @@ def lags_used(lookback: int = LOOKBACK) -> list[tuple[str, int]]:
 
     feature_columns(record, lookback)
     working_columns(record)
+    for name, ks in dict(LAGS, close=tuple(range(1, lookback + 1))).items():
+        for k in ks:
+            record(name, k)
     return list(seen)
 
 
+@lru_cache(maxsize=None)
+def column_formulas(prefix: str = "_x_", lookback: int = LOOKBACK,
+                    working: bool = False) -> dict[str, Column]:
+    """The formulas over pre-projected lag columns, built once per process
+    (they reference column names only, so they can be reused by any plan)."""
+    L = column_accessor(prefix)
+    return working_columns(L) if working else feature_columns(L, lookback)
+
+
 def column_accessor(prefix: str = "_x_") -> Accessor:
     """Accessor over pre-projected columns ``{prefix}{column}_{k}``."""
     def at(name: str, k: int) -> Column:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barforge.functions.features import (complete_row, feature_columns, feature_names,
-                                         lag_accessor, working_columns)
+from barforge.functions.features import (column_formulas, complete_row, feature_names,
+                                         lag_accessor, lags_used)
 from barforge.functions.time import floor_to
 from barforge.operators.halo import HALO, with_halo
 from barforge.schema import CANDLE_COLUMNS, CANDLE_MINUTES, FEATURES, LOOKBACK
@@ -59,15 +59,18 @@ def add_features(candles: DataFrame, lookback: int = LOOKBACK, label: bool = Tru
                      back=lookback, forward=1 if label else 0)
 
     w = Window.partitionBy("symbol", "_chunk").orderBy("open_time")
-    L = lag_accessor(w)
-    feats = feature_columns(L, lookback)
-    work = working_columns(L) if keep == "all" else {}
-    if label:
-        next_close = F.lead("close", 1).over(w)
-        label_col = next_candle_label(F.col("close"), next_close)
-    else:
-        next_close = F.lit(0.0)
-        label_col = F.lit(0)
+    # one Window node computes every lag the formulas read (and the lead);
+    # the formulas then run on plain columns, exactly as on streams
+    lagged = lag_accessor(w)
+    needed = [(n, k) for n, k in lags_used(lookback) if k > 0]
+    rows = rows.select(*CANDLE_COLUMNS, HALO,
+                       *[F.col(n).alias(f"_x_{n}_0") for n in CANDLE_COLUMNS[2:]],
+                       *[lagged(n, k).alias(f"_x_{n}_{k}") for n, k in needed],
+                       (F.lead("close", 1).over(w) if label else F.lit(0.0)).alias("_next_close"))
+    feats = column_formulas("_x_", lookback)
+    work = column_formulas("_x_", lookback, working=True) if keep == "all" else {}
+    next_close = F.col("_next_close")
+    label_col = next_candle_label(F.col("close"), next_close) if label else F.lit(0)
     wide = rows.select(*CANDLE_COLUMNS, HALO,
                        *[c.alias(n) for n, c in feats.items()],
                        *[c.alias(n) for n, c in work.items()],

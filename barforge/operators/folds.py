@@ -51,23 +51,21 @@ def rows_at_ranks(df: DataFrame, ranks_of, time_col: str = "open_time",
 
         hit = reduce(lambda a, b: a | b, [(F.col("_before") <= r) & (F.lit(r) < F.col("_before") + F.col("n"))
                                           for r in live])
-        cut_days = days.filter(hit).select("_day", "_before").collect()
+        cut_days = days.filter(hit).select("_day", "_before").collect()     # <= k-1 rows
         day_before = {row["_day"]: row["_before"] for row in cut_days}
+        # running count per time inside the cut days, offset by the day's start;
+        # only the rows holding a cut rank come back to the driver
+        start_of_day = F.coalesce(*[F.when(F.col("_day") == d, F.lit(b)) for d, b in day_before.items()])
         wt = Window.partitionBy("_day").orderBy(time_col).rowsBetween(Window.unboundedPreceding, 0)
         times = (per_time.withColumn("_day", day_of).filter(F.col("_day").isin(list(day_before)))
-                 .withColumn("_before", F.sum("n").over(wt) - F.col("n")))
-        # counts per time inside the (at most k-1) cut days
-        time_rows = times.collect()
-        by_day = {}
-        for row in time_rows:
-            by_day.setdefault(row["_day"], []).append(row)
+                 .withColumn("_start", start_of_day + F.sum("n").over(wt) - F.col("n")))
+        hit_t = reduce(lambda a, b: a | b, [(F.col("_start") <= r) & (F.lit(r) < F.col("_start") + F.col("n"))
+                                            for r in live])
         cut_times = {}
-        for r in live:
-            for d, b in day_before.items():
-                for row in by_day.get(d, []):
-                    start = b + row["_before"]
-                    if start <= r < start + row["n"]:
-                        cut_times[r] = (row[time_col], r - start)
+        for row in times.filter(hit_t).select(time_col, "_start", "n").collect():
+            for r in live:
+                if row["_start"] <= r < row["_start"] + row["n"]:
+                    cut_times[r] = (row[time_col], r - row["_start"])
         at = df.filter(F.col(time_col).isin(sorted({t for t, _ in cut_times.values()})))
         wr = Window.partitionBy(time_col).orderBy(tie_col)
         ranked = at.select(time_col, tie_col, (F.row_number().over(wr) - 1).alias("_rn"))

@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from barforge.functions.features import (array_accessor, column_accessor, complete_row,
-                                         feature_columns, lags_used)
+from barforge.functions.features import (array_accessor, column_accessor, column_formulas,
+                                         complete_row, lags_used)
 from barforge.operators.outcomes import prediction_log
 from barforge.plans import stack as st
 from barforge.schema import FEATURES
@@ -35,7 +35,7 @@ def window_features(windows: DataFrame) -> DataFrame:
     full = full.select("symbol", "open_time", "kind", "seq",
                        *[arr(n, k).alias(f"_x_{n}_{k}") for n, k in needed])
     L = column_accessor("_x_")
-    feats = feature_columns(L)
+    feats = column_formulas("_x_")
     current = {v: L(v, 0) for v in VALUES}
     wide = full.select("symbol", "open_time", "kind", "seq",
                        *[c.alias(v) for v, c in current.items()],
