@@ -163,10 +163,14 @@ def class_weights(df: DataFrame, downscale: float = 1.0) -> DataFrame:
 
 
 def add_class_weights(df: DataFrame, downscale: float = 1.0) -> DataFrame:
-    """Attach ``weight``; the weights table has one row per label (two)."""
-    w = class_weights(df, downscale).select("label", "weight")
-    return df.join(F.broadcast(w), "label", "left").withColumn(
-        "weight", F.coalesce(F.col("weight"), F.lit(1.0)))
+    """Attach ``weight``. The weights table has at most two rows; it is read
+    once and applied as literals (no join back into the data)."""
+    weights = {r["label"]: r["weight"] for r in class_weights(df, downscale).collect()}
+    w = F.lit(1.0)
+    for label in sorted(weights, reverse=True):
+        if label is not None:
+            w = F.when(F.col("label") == F.lit(label), F.lit(float(weights[label]))).otherwise(w)
+    return df.withColumn("weight", w)
 
 
 def key_fraction(seed: int, *cols: str) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from barforge.operators.features import add_features, add_labels
 from barforge.operators.resample import aggregate_candles, last_n_candles
 from barforge.plans import oracle as sql
-from barforge.schema import CANDLE_COLUMNS
+from barforge.schema import CANDLE_COLUMNS, FEATURES
 from barforge.sources.tables import event_trades, table
 
 PLACES = 6
@@ -434,12 +434,7 @@ def _run_live(spark, sf_dir, model) -> str:
 def stream_features(spark, sf_dir):
     tables = _run_live(spark, sf_dir, None)
     preds = spark.read.parquet(f"{tables}/predictions")
-    return rounded(preds.select("symbol", "open_time", "close", *fo_features()))
-
-
-def fo_features():
-    from barforge.schema import FEATURES
-    return list(FEATURES)
+    return rounded(preds.select("symbol", "open_time", "close", *FEATURES))
 
 
 @register("stream_scores")

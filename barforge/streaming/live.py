@@ -66,13 +66,16 @@ def start_live(candles: DataFrame, root: str, checkpoint: str, model: PipelineMo
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
+        # the batch's features are materialised once (a micro-batch is bounded
+        # by the source rate limit), so scoring plans over a flat relation
+        feats = window_features(batch).persist()
         try:
-            feats = window_features(batch)
             rows = (st.score(model, feats, keep=("close", "kind", "seq"))
                     .withColumnRenamed("prob_up", "final_prob") if model is not None else feats)
             rows.write.mode("overwrite").parquet(f"{root}/predictions/batch={batch_id}")
             window_outcomes(batch).write.mode("overwrite").parquet(f"{root}/outcomes/batch={batch_id}")
         finally:
+            feats.unpersist()
             batch.unpersist()
 
     w = (windows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

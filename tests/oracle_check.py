@@ -72,7 +72,7 @@ def main(argv):
     from barforge.session import build_session
     sf_dir = argv[0] if argv and argv[0].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in argv if not a.startswith("/")]
-    spark = build_session("local[8]")
+    spark = build_session("local[8]", driver_memory=os.environ.get("CHECK_DRIVER_MEMORY", "8g"))
     con = duck(sf_dir)
     q, o = queries(), oracle_sql()
     bad = 0
