@@ -58,10 +58,10 @@ def accuracy_f1(df: DataFrame) -> DataFrame:
         rec = _ratio0(tp, tp + fn)
         return F.when(prec + rec == 0, F.lit(0.0)).otherwise(F.lit(2.0) * prec * rec / (prec + rec))
 
-    w1, w0 = (tp1 + fn1) / n, (tp0 + fp1) / n
+    w1, w0 = _ratio0(tp1 + fn1, n), _ratio0(tp0 + fp1, n)
     return c.select(
-        ((tp1 + tp0) / n).alias("accuracy"),
-        (f1(tp1, fp1, fn1) * w1 + f1(tp0, fp0, fn0) * w0).alias("f1"),
+        F.when(n > 0, (tp1 + tp0) / n).alias("accuracy"),
+        F.when(n > 0, f1(tp1, fp1, fn1) * w1 + f1(tp0, fp0, fn0) * w0).alias("f1"),
         F.col("n").alias("count"))
 
 
@@ -89,9 +89,10 @@ def auc_exact(df: DataFrame, score: str = "prob_up", buckets: int = AUC_BUCKETS)
     wi = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     ranked = (per.join(F.broadcast(offsets), "b")
               .withColumn("below", F.col("before") + F.coalesce(F.sum("neg").over(wi), F.lit(0))))
+    pairs = F.lit(2.0) * F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    wins = F.sum(F.col("pos").cast("double") * (F.col("below") * F.lit(2.0) + F.col("neg")))
     return ranked.agg(
-        (F.sum(F.col("pos").cast("double") * (F.col("below") * F.lit(2.0) + F.col("neg")))
-         / (F.lit(2.0) * F.sum("pos").cast("double") * F.sum("neg").cast("double"))).alias("auc"),
+        F.when(pairs > 0, wins / pairs).alias("auc"),      # undefined with one class
         F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
 
 

@@ -24,13 +24,16 @@ from barforge.session import cut_lineage
 ROWS_PER_PARTITION = 500_000     # ~27 doubles a row: ~100-150 MB per partition
 
 
-def sized_for_training(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+def sized_for_training(cached: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
     """Match the partition count to the data: MLlib runs many small jobs (one
     per tree level or iteration), so needless tasks cost more than they give.
-    Only ever narrows (coalesce, no shuffle); large inputs keep their layout."""
-    n = df.count()
+
+    ``cached`` must already be persisted: it was computed at full parallelism,
+    and the coalesce only groups its cached blocks (narrow, no shuffle). Large
+    inputs keep their layout."""
+    n = cached.count()
     want = max(1, -(-n // rows_per_partition))
-    return df.coalesce(want) if df.rdd.getNumPartitions() > want else df
+    return cached.coalesce(want) if cached.rdd.getNumPartitions() > want else cached
 
 
 @dataclass
@@ -45,11 +48,11 @@ def train_stack(features: DataFrame, k: int = 3, downscale: float = 1.0,
                 params: st.StackParams | None = None) -> StackResult:
     """Train the stacked model on ``features`` (symbol, open_time, label, FEATURES)."""
     params = params or st.StackParams()
-    base = features.select("symbol", "open_time", "label", *FEATURES)
-    base = sized_for_training(base).persist()
-    weights = class_weights(base, downscale).collect()           # at most two rows
+    base = features.select("symbol", "open_time", "label", *FEATURES).persist()
+    table0 = sized_for_training(base)
+    weights = class_weights(table0, downscale).collect()         # at most two rows
     use_weights = len(weights) == 2
-    table = add_class_weights(base, downscale) if use_weights else base.withColumn("weight", F.lit(1.0))
+    table = add_class_weights(table0, downscale) if use_weights else table0.withColumn("weight", F.lit(1.0))
     table = walk_forward_folds(table, k).persist()
     try:
         parts = []

@@ -119,3 +119,11 @@ def test_f1_matches_mllib(spark):
     got = ev.accuracy_f1(df.select(F.col("label").cast("int").alias("label"),
                                    F.col("prediction").cast("int").alias("prediction"))).first()
     assert abs(got["f1"] - f1) < 1e-12 and abs(got["accuracy"] - acc) < 1e-12
+
+
+def test_reports_on_one_class_and_empty_input(spark):
+    one = spark.createDataFrame([(0.7, 1, 1), (0.6, 1, 0)], "prob_up double, label int, prediction int")
+    assert ev.auc_exact(one).first()["auc"] is None
+    empty = one.filter("label = 2")
+    r = ev.accuracy_f1(empty).first()
+    assert r["count"] == 0 and r["accuracy"] is None
