@@ -29,7 +29,7 @@ def next_candle_label(close: Column, next_close: Column) -> Column:
 def add_features(candles: DataFrame, lookback: int = LOOKBACK, label: bool = True,
                  tail: str = "drop", candle_minutes: int = CANDLE_MINUTES,
                  chunk_ms: int | None = None, keep: str = "model",
-                 complete: bool = True) -> DataFrame:
+                 complete: bool = True, require_contiguous: bool = False) -> DataFrame:
     """Features of every candle that has a full lookback, one row per candle.
 
     ``candles``: symbol, open_time (Long ms), open, high, low, close, volume,
@@ -43,6 +43,11 @@ def add_features(candles: DataFrame, lookback: int = LOOKBACK, label: bool = Tru
     keep     "model": symbol, open_time, close, label and the 27 inputs;
              "all": every candle column, lag, derived and working column.
     complete True: apply the NULL/NaN row test below; False: keep every candle.
+    require_contiguous
+             lags count rows, so a missing candle stretches the lookback
+             (kept by default, as in the original); True also requires the
+             candle ``lookback`` rows back to be exactly ``lookback`` intervals
+             earlier.
 
     A row is kept only when no candle column, lag or feature is NULL or NaN
     (the ``dropna()`` rule; the first ``lookback`` candles of each symbol drop
@@ -66,12 +71,13 @@ def add_features(candles: DataFrame, lookback: int = LOOKBACK, label: bool = Tru
     rows = rows.select(*CANDLE_COLUMNS, HALO,
                        *[F.col(n).alias(f"_x_{n}_0") for n in CANDLE_COLUMNS[2:]],
                        *[lagged(n, k).alias(f"_x_{n}_{k}") for n, k in needed],
+                       lagged("open_time", lookback).alias("_t_back"),
                        (F.lead("close", 1).over(w) if label else F.lit(0.0)).alias("_next_close"))
     feats = column_formulas("_x_", lookback)
     work = column_formulas("_x_", lookback, working=True) if keep == "all" else {}
     next_close = F.col("_next_close")
     label_col = next_candle_label(F.col("close"), next_close) if label else F.lit(0)
-    wide = rows.select(*CANDLE_COLUMNS, HALO,
+    wide = rows.select(*CANDLE_COLUMNS, HALO, "_t_back",
                        *[c.alias(n) for n, c in feats.items()],
                        *[c.alias(n) for n, c in work.items()],
                        label_col.alias("label"), next_close.alias("_next_close"))
@@ -84,6 +90,9 @@ def add_features(candles: DataFrame, lookback: int = LOOKBACK, label: bool = Tru
         keep_rows = keep_rows & complete_row(checked, doubles)
     if label and tail == "drop":
         keep_rows = keep_rows & F.col("_next_close").isNotNull()
+    if require_contiguous:
+        span = lookback * candle_minutes * 60_000
+        keep_rows = keep_rows & ((F.col("open_time") - F.col("_t_back")) == F.lit(span))
     out = wide.filter(keep_rows)
     if keep == "all":
         return out.select(*CANDLE_COLUMNS, *feature_names(lookback), *work, "label")

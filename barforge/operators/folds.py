@@ -90,10 +90,18 @@ def _at_or_after(cut: tuple, time_col: str, tie_col: str) -> Column:
 
 
 def walk_forward_folds(df: DataFrame, k: int = 3, time_col: str = "open_time",
-                       tie_col: str = "symbol") -> DataFrame:
-    """Add ``fold`` = ntile(k) over (time, symbol) - 1, computed exactly."""
+                       tie_col: str = "symbol", snap_to_time: bool = False) -> DataFrame:
+    """Add ``fold`` = ntile(k) over (time, symbol) - 1, computed exactly.
+
+    ``snap_to_time`` moves each fold edge to the start of its timestamp, so
+    all symbols of one moment share a fold (no moment is split across train
+    and validation); folds are then only approximately equal in size.
+    """
     _, cuts = rows_at_ranks(df, lambda n: ntile_starts(n, k), time_col, tie_col)
-    terms = [_at_or_after(c, time_col, tie_col).cast("int") for c in cuts if c is not None]
+    if snap_to_time:
+        terms = [(F.col(time_col) >= F.lit(c[0])).cast("int") for c in cuts if c is not None]
+    else:
+        terms = [_at_or_after(c, time_col, tie_col).cast("int") for c in cuts if c is not None]
     fold = reduce(lambda a, b: a + b, terms) if terms else F.lit(0)
     return df.withColumn("fold", fold.cast("int"))
 

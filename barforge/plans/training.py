@@ -45,20 +45,31 @@ class StackResult:
 
 
 def train_stack(features: DataFrame, k: int = 3, downscale: float = 1.0,
-                params: st.StackParams | None = None) -> StackResult:
-    """Train the stacked model on ``features`` (symbol, open_time, label, FEATURES)."""
+                params: st.StackParams | None = None, fold_weights: str = "global",
+                snap_folds: bool = False) -> StackResult:
+    """Train the stacked model on ``features`` (symbol, open_time, label, FEATURES).
+
+    fold_weights  "global": class weights from all training rows (as the
+                  original); "per_fold": each fold's base models use weights
+                  from their own training rows only (no look-ahead).
+    snap_folds    fold edges on whole timestamps (see ``walk_forward_folds``).
+    """
+    if fold_weights not in ("global", "per_fold"):
+        raise ValueError("fold_weights must be 'global' or 'per_fold'")
     params = params or st.StackParams()
     base = features.select("symbol", "open_time", "label", *FEATURES).persist()
     table0 = sized_for_training(base)
     weights = class_weights(table0, downscale).collect()         # at most two rows
     use_weights = len(weights) == 2
     table = add_class_weights(table0, downscale) if use_weights else table0.withColumn("weight", F.lit(1.0))
-    table = walk_forward_folds(table, k).persist()
+    table = walk_forward_folds(table, k, snap_to_time=snap_folds).persist()
     try:
         parts = []
         for f in range(1, k):
             train = table.filter(F.col("fold") < f)
             valid = table.filter(F.col("fold") == f)
+            if fold_weights == "per_fold" and use_weights:
+                train = add_class_weights(train.drop("weight"), downscale)
             models = st.fit_base_models(train, params, use_weights)
             scored = st.base_probabilities(st.base_pipeline(models).transform(valid))
             keep = scored.select("symbol", "open_time", "label", "weight", "fold",

@@ -153,3 +153,39 @@ def test_last_n_group_limit_plan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert df.groupBy("symbol").count().agg(F.max("count")).first()[0] == 21
     assert "WindowGroupLimit" in plan or "RankLimit" in plan
+
+
+def test_require_contiguous(spark):
+    rows = _walk("G", 50)
+    rows = [r for r in rows if r[1] != 30]          # one missing candle
+    loose = {r["open_time"] for r in add_features(_candles(spark, rows), label=False).collect()}
+    strict = {r["open_time"] for r in add_features(_candles(spark, rows), label=False,
+                                                   require_contiguous=True).collect()}
+    t = 1_700_000_000_000
+    gap_rows = {t + i * HALF_HOUR for i in range(31, 51)}
+    assert loose - strict == gap_rows & loose and strict < loose
+
+
+def test_halo_hot_key_exact_and_bounded(spark):
+    """One symbol holds most rows; chunks are uneven (some empty, some shorter
+    than the lookback). Lags equal the unsplit window; groups stay bounded."""
+    from pyspark.sql import Window
+    from barforge.operators.halo import HALO, with_halo
+    import random
+    rnd = random.Random(1)
+    times = sorted(rnd.sample(range(0, 20_000), 3000))          # gaps of all sizes
+    rows = [("HOT", t, float(i)) for i, t in enumerate(times)]
+    rows += [(f"C{s}", t, float(t)) for s in range(3) for t in range(0, 20_000, 997)]
+    df = spark.createDataFrame(rows, "symbol string, t long, v double")
+    chunk = 150
+    split = with_halo(df.withColumn("c", (F.col("t") / chunk).cast("long")), ["symbol"], "t", "c",
+                      back=20, forward=1)
+    w = Window.partitionBy("symbol", "c").orderBy("t")
+    got = split.select("symbol", "t", HALO, *[F.lag("v", k).over(w).alias(f"l{k}") for k in (1, 7, 20)],
+                       F.lead("v", 1).over(w).alias("n1")).filter(~F.col(HALO)).drop(HALO)
+    wf = Window.partitionBy("symbol").orderBy("t")
+    want = df.select("symbol", "t", *[F.lag("v", k).over(wf).alias(f"l{k}") for k in (1, 7, 20)],
+                     F.lead("v", 1).over(wf).alias("n1"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    biggest = split.groupBy("symbol", "c").count().agg(F.max("count")).first()[0]
+    assert biggest <= chunk + 21

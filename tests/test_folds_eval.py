@@ -127,3 +127,13 @@ def test_reports_on_one_class_and_empty_input(spark):
     empty = one.filter("label = 2")
     r = ev.accuracy_f1(empty).first()
     assert r["count"] == 0 and r["accuracy"] is None
+
+
+def test_snapped_folds_keep_moments_whole(spark):
+    rows = [(f"S{s}", 1000 * t, 0) for t in range(10) for s in range(7)]
+    df = spark.createDataFrame(rows, "symbol string, open_time long, label int")
+    out = fo.walk_forward_folds(df, 3, snap_to_time=True)
+    per_time = out.groupBy("open_time").agg(F.countDistinct("fold").alias("n")).agg(F.max("n")).first()[0]
+    assert per_time == 1
+    edges = out.groupBy("fold").agg(F.min("open_time").alias("a"), F.max("open_time").alias("b")).orderBy("fold").collect()
+    assert all(edges[i]["b"] < edges[i + 1]["a"] for i in range(len(edges) - 1))

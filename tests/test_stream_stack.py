@@ -114,3 +114,24 @@ def test_oof_covers_later_folds_only(spark, small_stack):
     folds = {r["fold"] for r in result.oof.select("fold").distinct().collect()}
     assert folds == {1, 2}
     assert result.oof.count() < feats.count()
+
+
+def test_two_queries_ticks_to_live_windows(spark):
+    """Query A: trades -> watermark candles appended to a table; query B reads
+    that table as a stream into the live window state."""
+    from barforge.sources.tables import event_trades, table
+    from barforge.streaming.resample import stream_candles
+    root = scratch_path(spark, "t-two-queries")
+    events = table(spark, SMALL, "events")
+    trades_stream = spark.readStream.schema(events.schema).parquet(os.path.join(SMALL, "event[s].parquet"))
+    a = lv.start(stream_candles(event_trades(trades_stream), 30, "10 minutes", order_col="trade_order"),
+                 f"{root}/candles", f"{root}/ck-a", {"availableNow": True})
+    a.awaitTermination()
+    candles = spark.read.parquet(f"{root}/candles")
+    stream = spark.readStream.schema(candles.schema).parquet(f"{root}/candles")
+    b = lv.start_live(stream, f"{root}/tables", f"{root}/ck-b", None, {"availableNow": True})
+    b.awaitTermination()
+    got = spark.read.parquet(f"{root}/tables/predictions").select("symbol", "open_time", "close", *FEATURES)
+    want = add_features(candles, label=False).select("symbol", "open_time", "close", *FEATURES)
+    assert got.count() > 0
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
