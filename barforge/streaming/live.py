@@ -24,20 +24,24 @@ from barforge.schema import FEATURES
 from barforge.streaming.window_state import VALUES, live_windows
 
 
-def window_features(windows: DataFrame) -> DataFrame:
-    """Features of the newest candle of each emitted window (same formulas as
-    batch, read from the arrays). Rows failing the NULL/NaN test are dropped."""
+def window_lags(windows: DataFrame) -> DataFrame:
+    """One column per (value, k) the formulas read, from the newest candle of
+    each emitted window (``_x_close_0`` = current close, ``_x_close_3`` = three
+    candles back; NULL where the window is shorter)."""
     full = windows.filter(F.col("kind").isin("window", "update"))
-    # read each needed position once into its own column (keeps generated code
-    # small), then apply the shared formulas to those columns
     arr = array_accessor("w_")
     needed = dict.fromkeys([(v, 0) for v in VALUES] + lags_used())
-    full = full.select("symbol", "open_time", "kind", "seq",
+    return full.select("symbol", "open_time", "kind", "seq",
                        *[arr(n, k).alias(f"_x_{n}_{k}") for n, k in needed])
+
+
+def features_from_lags(lags: DataFrame) -> DataFrame:
+    """The shared formulas over the lag columns; rows failing the NULL/NaN
+    test are dropped (same rule as batch)."""
     L = column_accessor("_x_")
     feats = column_formulas("_x_")
     current = {v: L(v, 0) for v in VALUES}
-    wide = full.select("symbol", "open_time", "kind", "seq",
+    wide = lags.select("symbol", "open_time", "kind", "seq",
                        *[c.alias(v) for v, c in current.items()],
                        *[c.alias(n) for n, c in feats.items()])
     checked = list(current) + list(feats)
@@ -46,6 +50,12 @@ def window_features(windows: DataFrame) -> DataFrame:
             .select("symbol", "open_time", "kind", "seq", "close", *FEATURES))
 
 
+def window_features(windows: DataFrame) -> DataFrame:
+    """Features of the newest candle of each emitted window (same formulas as
+    batch, read from the arrays)."""
+    return features_from_lags(window_lags(windows))
+
+
 def window_outcomes(windows: DataFrame) -> DataFrame:
     """Outcome of each candle, known when the next one arrives."""
     return windows.filter(F.col("outcome_open_time").isNotNull()).select(
@@ -66,9 +76,11 @@ def start_live(candles: DataFrame, root: str, checkpoint: str, model: PipelineMo
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        # the batch's features are materialised once (a micro-batch is bounded
-        # by the source rate limit), so scoring plans over a flat relation
-        feats = window_features(batch).persist()
+        # the batch's lag columns and features are materialised once (a
+        # micro-batch is bounded by the source rate limit): the formulas then
+        # compile over plain columns, and scoring plans over a flat relation
+        lags = window_lags(batch).persist()
+        feats = features_from_lags(lags).persist()
         try:
             rows = (st.score(model, feats, keep=("close", "kind", "seq"))
                     .withColumnRenamed("prob_up", "final_prob") if model is not None else feats)
@@ -76,6 +88,7 @@ def start_live(candles: DataFrame, root: str, checkpoint: str, model: PipelineMo
             window_outcomes(batch).write.mode("overwrite").parquet(f"{root}/outcomes/batch={batch_id}")
         finally:
             feats.unpersist()
+            lags.unpersist()
             batch.unpersist()
 
     w = (windows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
