@@ -122,20 +122,22 @@ def holdout_by_time(df: DataFrame, train_fraction: float = 0.8, time_col: str =
     return df.withColumn("split", split)
 
 
-def symbol_ranks(df: DataFrame, train_fraction: float = 0.8) -> DataFrame:
+def symbol_ranks(df: DataFrame, train_fraction: float = 0.8, per_symbol: bool = False) -> DataFrame:
     """Distinct symbols with ``split`` (first int(f * n) sorted symbols train)
     and ``split_rank`` (0-based rank inside the split).
 
     The window runs over the distinct-symbol table (one row per instrument), not
-    over the data.
+    over the data. ``per_symbol``: ``df`` already has one row per symbol (e.g.
+    per-symbol counts); its other columns are kept, and no distinct is needed.
     """
-    syms = df.select("symbol").distinct()
+    syms = df if per_symbol else df.select("symbol").distinct()
+    extra = [c for c in syms.columns if c != "symbol"]
     w = Window.orderBy("symbol")
-    ranked = syms.select("symbol", (F.row_number().over(w) - 1).alias("_rank"),
+    ranked = syms.select("symbol", *extra, (F.row_number().over(w) - 1).alias("_rank"),
                          F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"))
     n_train = F.floor(F.col("_n") * F.lit(train_fraction))
     return ranked.select(
-        "symbol",
+        "symbol", *extra,
         F.when(F.col("_rank") < n_train, F.lit("train")).otherwise(F.lit("test")).alias("split"),
         F.when(F.col("_rank") < n_train, F.col("_rank"))
         .otherwise(F.col("_rank") - n_train).cast("long").alias("split_rank"),

@@ -158,8 +158,7 @@ def _lineitem_daily(spark, sf_dir) -> DataFrame:
 def holdout_by_symbol(spark, sf_dir):
     daily = _lineitem_daily(spark, sf_dir)
     counts = daily.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_candles"))
-    ranks = fo.symbol_ranks(counts, 0.8).select("symbol", "split")
-    return counts.join(ranks, "symbol").select("symbol", "split", "n_candles")
+    return fo.symbol_ranks(counts, 0.8, per_symbol=True).select("symbol", "split", "n_candles")
 
 
 @register("sample_symbols", sql.q_sample_symbols(0.2))

@@ -7,12 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Sides joined by broadcast must be proven small: we count them first and
-# only broadcast below this many rows.
-BROADCAST_MAX_ROWS = 1_000_000
-
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app: str = "barforge", driver_memory: str = "8g", **conf: str) -> SparkSession:
@@ -68,15 +62,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join ``small`` into ``big``, broadcasting it only after counting it.
-
-    Above ``max_rows`` the join is left to the planner (sort-merge or shuffle
-    hash), so a side that grows with the data never lands whole on one node.
-    """
-    n = small.count()
-    side = F.broadcast(small) if n <= max_rows else small
-    return big.join(side, on, how)
