@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barforge.functions.time import floor_to
+from barforge.session import cut_lineage
 
 DAY_MS = 86_400_000
 
@@ -122,27 +123,50 @@ def holdout_by_time(df: DataFrame, train_fraction: float = 0.8, time_col: str =
     return df.withColumn("split", split)
 
 
+KEYS_PER_PART = 1_000_000
+
+
+def key_ranks(df: DataFrame, key: str = "symbol", per_key: bool = False,
+              keys_per_part: int = KEYS_PER_PART) -> tuple[DataFrame, int]:
+    """(distinct keys with ``_rank`` = 0-based position in sorted order, count).
+
+    No step sees all keys in one task: the keys are range-partitioned (sorted
+    blocks), the layout is frozen with a reliable checkpoint so a recomputation
+    cannot re-sample different bounds, and each key's rank is its block's
+    offset (one row per block, broadcast) plus its row number inside the block.
+    ``per_key``: ``df`` already has one row per key; its other columns are kept.
+    """
+    keys = df if per_key else df.select(key).distinct()
+    n = keys.count()
+    parts = max(1, -(-n // keys_per_part))
+    ranged = cut_lineage(keys.repartitionByRange(parts, key)
+                         .withColumn("_block", F.spark_partition_id()))
+    sizes = ranged.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_block").orderBy(key)
+    ranked = (ranged.join(F.broadcast(offsets), "_block")             # <= parts rows
+              .withColumn("_rank", F.col("_off") + F.row_number().over(inside) - 1)
+              .drop("_block", "_off"))
+    return ranked, n
+
+
 def symbol_ranks(df: DataFrame, train_fraction: float = 0.8, per_symbol: bool = False) -> DataFrame:
-    """Distinct symbols with ``split`` (first int(f * n) sorted symbols train)
-    and ``split_rank`` (0-based rank inside the split).
+    """Distinct symbols with ``split`` (first int(f * n) sorted symbols train),
+    ``split_rank`` (0-based rank inside the split) and ``split_size``.
 
-    The window runs over the distinct-symbol table (one row per instrument), not
-    over the data. ``per_symbol``: ``df`` already has one row per symbol (e.g.
-    per-symbol counts); its other columns are kept, and no distinct is needed.
+    ``per_symbol``: ``df`` already has one row per symbol (e.g. per-symbol
+    counts); its other columns are kept.
     """
-    syms = df if per_symbol else df.select("symbol").distinct()
-    extra = [c for c in syms.columns if c != "symbol"]
-    w = Window.orderBy("symbol")
-    ranked = syms.select("symbol", *extra, (F.row_number().over(w) - 1).alias("_rank"),
-                         F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"))
-    n_train = F.floor(F.col("_n") * F.lit(train_fraction))
+    ranked, n = key_ranks(df, "symbol", per_key=per_symbol)
+    extra = [c for c in ranked.columns if c not in ("symbol", "_rank")]
+    n_train = int(n * train_fraction)
+    train = F.col("_rank") < F.lit(n_train)
     return ranked.select(
         "symbol", *extra,
-        F.when(F.col("_rank") < n_train, F.lit("train")).otherwise(F.lit("test")).alias("split"),
-        F.when(F.col("_rank") < n_train, F.col("_rank"))
-        .otherwise(F.col("_rank") - n_train).cast("long").alias("split_rank"),
-        F.when(F.col("_rank") < n_train, n_train)
-        .otherwise(F.col("_n") - n_train).cast("long").alias("split_size"))
+        F.when(train, F.lit("train")).otherwise(F.lit("test")).alias("split"),
+        F.when(train, F.col("_rank")).otherwise(F.col("_rank") - F.lit(n_train)).cast("long").alias("split_rank"),
+        F.when(train, F.lit(n_train)).otherwise(F.lit(n - n_train)).cast("long").alias("split_size"))
 
 
 def sample_symbols(ranks: DataFrame, fraction: float = 0.2) -> DataFrame:

@@ -137,3 +137,12 @@ def test_snapped_folds_keep_moments_whole(spark):
     assert per_time == 1
     edges = out.groupBy("fold").agg(F.min("open_time").alias("a"), F.max("open_time").alias("b")).orderBy("fold").collect()
     assert all(edges[i]["b"] < edges[i + 1]["a"] for i in range(len(edges) - 1))
+
+
+def test_key_ranks_distributed_equal_sorted(spark):
+    rnd = random.Random(4)
+    keys = list({"".join(rnd.choice("ABCDEFGH") for _ in range(rnd.randint(1, 6))) for _ in range(3000)})
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys * 2)], "symbol string, x long")
+    ranked, n = fo.key_ranks(df, "symbol", keys_per_part=97)           # many blocks
+    got = {r["symbol"]: r["_rank"] for r in ranked.collect()}
+    assert n == len(keys) and got == {k: i for i, k in enumerate(sorted(keys))}
