@@ -7,17 +7,29 @@ places in both (engines sum in different orders).
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barforge.operators.features import add_features, add_labels
+from barforge.functions import signals as sg
+from barforge.operators import evaluate as ev
+from barforge.operators import folds as fo
+from barforge.operators import outcomes as oc
+from barforge.operators.features import add_features, add_labels, feature_names
 from barforge.operators.resample import aggregate_candles, last_n_candles
 from barforge.plans import oracle as sql
-from barforge.schema import CANDLE_COLUMNS, FEATURES
-from barforge.sources.tables import event_trades, table
+from barforge.plans import stack as st
+from barforge.plans import training as tr
+from barforge.schema import FEATURES
+from barforge.session import scratch_path
+from barforge.sources import raw as rw
+from barforge.sources import replay as rp
+from barforge.sources.tables import event_trades, lineitem_trades, table
+from barforge.streaming import live as lv
+from barforge.streaming.resample import stream_candles
 
 PLACES = 6
 
@@ -80,7 +92,6 @@ def _all_features(spark, sf_dir) -> DataFrame:
 
 @register("lag_features", sql.q_lag_features())
 def lag_features(spark, sf_dir):
-    from barforge.operators.features import feature_names
     lags = [c for c in feature_names() if "_lag" in c]
     return rounded(_all_features(spark, sf_dir).select("symbol", "open_time", *lags))
 
@@ -121,14 +132,8 @@ def feature_matrix_zero_tail(spark, sf_dir):
     return rounded(event_features(spark, sf_dir, tail="zero"))
 
 
-assert CANDLE_COLUMNS[0] == "symbol"
-
-
 # ---- splits, folds, balance -------------------------------------------------
 
-from barforge.operators import folds as fo  # noqa: E402
-from barforge.sources.tables import lineitem_trades  # noqa: E402
-
 
 def _fm(spark, sf_dir) -> DataFrame:
     return event_features(spark, sf_dir, tail="drop").select("symbol", "open_time", "close", "label")
@@ -184,8 +189,6 @@ def undersample_majority(spark, sf_dir):
 
 # ---- ingest ------------------------------------------------------------------
 
-from barforge.sources import raw as rw  # noqa: E402
-from barforge.sources import replay as rp  # noqa: E402
 
 _RECORD_OUT = ["open_time", "open", "high", "low", "close", "volume", "quote_asset_volume",
                "number_of_trades", "taker_buy_base_asset_volume", "taker_buy_quote_asset_volume",
@@ -227,10 +230,6 @@ def latest_closed(spark, sf_dir):
 
 # ---- scores, signals, evaluation -------------------------------------------
 
-from barforge.functions import signals as sg  # noqa: E402
-from barforge.operators import evaluate as ev  # noqa: E402
-from barforge.operators import outcomes as oc  # noqa: E402
-
 
 def momentum_score(momentum):
     """Transparent stand-in score for checking the reports against SQL:
@@ -317,8 +316,6 @@ def live_hit_rate(spark, sf_dir):
 
 # ---- stacked model (rows-only checks: MLlib training has no SQL twin) --------
 
-from barforge.plans import stack as st  # noqa: E402
-from barforge.plans import training as tr  # noqa: E402
 
 _TRAINED: dict = {}
 
@@ -382,12 +379,6 @@ def stack_evaluation(spark, sf_dir):
 
 # ---- streaming ---------------------------------------------------------------
 
-import os  # noqa: E402
-
-from barforge.session import scratch_path  # noqa: E402
-from barforge.streaming import live as lv  # noqa: E402
-from barforge.streaming.resample import stream_candles  # noqa: E402
-
 
 def _events_stream(spark, sf_dir) -> DataFrame:
     """The events table as a file stream (glob: the source wants a pattern)."""
