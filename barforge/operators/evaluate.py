@@ -18,7 +18,8 @@ def _count_if(cond: Column) -> Column:
 
 def confusion(df: DataFrame) -> DataFrame:
     """(label, prediction, count) for the cells that occur (AGG-5)."""
-    return df.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("count"))
+    return (df.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("count"))
+            .orderBy("label", "prediction"))
 
 
 def _cells(df: DataFrame) -> DataFrame:
@@ -107,7 +108,8 @@ def calibration_table(df: DataFrame, prob: str = "prob_up") -> DataFrame:
             .agg(F.count(F.lit(1)).alias("count"),
                  F.avg(prob).alias("avg_predicted_prob"),
                  F.avg(F.when(F.col("label") == 1, F.lit(1.0)).otherwise(F.lit(0.0))).alias("actual_prob_up"))
-            .withColumn("calibration_error", F.col("actual_prob_up") - F.col("avg_predicted_prob")))
+            .withColumn("calibration_error", F.col("actual_prob_up") - F.col("avg_predicted_prob"))
+            .orderBy("prob_bin"))
 
 
 def calibration_error(df: DataFrame, prob: str = "prob_up") -> DataFrame:
@@ -143,7 +145,7 @@ def confidence_bands(df: DataFrame, prob: str = "prob_up") -> DataFrame:
     """Predictions per confidence band, with a numeric band id (AGG-13)."""
     band, name = confidence_band(F.col(prob))
     return df.groupBy(band.alias("band"), name.alias("confidence_range")).agg(
-        F.count(F.lit(1)).alias("count"))
+        F.count(F.lit(1)).alias("count")).orderBy("band")
 
 
 def confident_subset(df: DataFrame, thresholds=(0.6, 0.7), prob: str = "prob_up") -> DataFrame:

@@ -111,7 +111,7 @@ def fold_summary(folded: DataFrame, time_col: str = "open_time") -> DataFrame:
     """Per fold: first and last time and row count (AGG-4)."""
     return folded.groupBy("fold").agg(
         F.min(time_col).alias("start_time"), F.max(time_col).alias("end_time"),
-        F.count(F.lit(1)).alias("count"))
+        F.count(F.lit(1)).alias("count")).orderBy("fold")
 
 
 def holdout_by_time(df: DataFrame, train_fraction: float = 0.8, time_col: str = "open_time",
@@ -178,7 +178,7 @@ def class_balance(df: DataFrame) -> DataFrame:
     """label, count and percent of rows (AGG-2)."""
     counts = df.groupBy("label").agg(F.count(F.lit(1)).alias("count"))
     return counts.withColumn(
-        "pct", F.col("count") * F.lit(100.0) / F.sum("count").over(Window.partitionBy()))
+        "pct", F.col("count") * F.lit(100.0) / F.sum("count").over(Window.partitionBy())).orderBy("label")
 
 
 def class_weights(df: DataFrame, downscale: float = 1.0) -> DataFrame:
