@@ -391,7 +391,8 @@ def stream_resample(spark, sf_dir):
     out = scratch_path(spark, "stream-resample")
     candles = stream_candles(event_trades(_events_stream(spark, sf_dir)), 30, "10 minutes",
                              order_col="trade_order")
-    q = lv.start(candles, f"{out}/table", f"{out}/checkpoint", {"availableNow": True})
+    q = lv.start(candles, f"{out}/table", f"{out}/checkpoint", {"availableNow": True},
+                 state_partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     return rounded(spark.read.parquet(f"{out}/table"))
 
@@ -415,7 +416,8 @@ def _run_live(spark, sf_dir, model) -> str:
     schema = spark.read.parquet(feed).schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed)
     out = scratch_path(spark, "live")
-    q = lv.start_live(stream, f"{out}/tables", f"{out}/checkpoint", model, {"availableNow": True})
+    q = lv.start_live(stream, f"{out}/tables", f"{out}/checkpoint", model, {"availableNow": True},
+                      state_partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     return f"{out}/tables"
 

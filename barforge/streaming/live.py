@@ -63,8 +63,25 @@ def window_outcomes(windows: DataFrame) -> DataFrame:
         F.col("outcome_label").alias("actual_label"), "seq")
 
 
+def _started(writer, spark, state_partitions: int | None) -> StreamingQuery:
+    """Start ``writer``; with ``state_partitions`` the query's state store gets
+    that many partitions (a streaming query copies the session conf when it
+    starts, and the number is then fixed in its checkpoint). The session's own
+    setting is restored at once."""
+    if state_partitions is None:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
+
+
 def start_live(candles: DataFrame, root: str, checkpoint: str, model: PipelineModel | None = None,
-               trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+               trigger: dict | None = None, name: str | None = None,
+               state_partitions: int | None = None) -> StreamingQuery:
     """Run the live job: window state -> features -> score, writing two
     append-only tables under ``root`` (SNK-1, SNK-2, STR-4..6).
 
@@ -95,18 +112,18 @@ def start_live(candles: DataFrame, root: str, checkpoint: str, model: PipelineMo
          .trigger(**(trigger or {"processingTime": "10 seconds"})))
     if name:
         w = w.queryName(name)
-    return w.start()
+    return _started(w, candles.sparkSession, state_partitions)
 
 
 def start(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-          name: str | None = None) -> StreamingQuery:
+          name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Append ``df`` to a parquet table with a checkpoint (candle table, etc.)."""
     w = (df.writeStream.format("parquet").option("path", path)
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(**(trigger or {"processingTime": "10 seconds"})))
     if name:
         w = w.queryName(name)
-    return w.start()
+    return _started(w, df.sparkSession, state_partitions)
 
 
 def log_view(predictions: DataFrame, outcomes: DataFrame) -> DataFrame:
