@@ -10,7 +10,10 @@ same expressions the batch job evaluates with ``lag``.
 
 Arrival rules: a candle newer than the window's last is appended (and emits);
 a re-sent candle already in the window replaces it (re-emitting only when it
-is the newest); a candle older than the window's first is reported ``late``.
+is the newest); an older candle is slotted in while the window is filling and
+reported ``late`` once the window is full. Copies of one key inside a single
+micro-batch have no defined order; resolve them upstream by arrival time
+(``sources.raw.latest_closed``).
 """
 
 from __future__ import annotations
@@ -89,13 +92,14 @@ def _step(key, batches: Iterator[pd.DataFrame], state: GroupState, size: int):
     def up(new_close, old_close) -> int:
         return int(bool(new_close is not None and old_close is not None and new_close > old_close))
 
+    pending = False
     for rec in new.itertuples(index=False):
         t = int(rec.open_time)
         prev_time, outcome = None, None
         vals = {v: _py(getattr(rec, v), v in _LONGS) for v in VALUES}
         times = win["open_time"]
-        if times and t < times[0]:
-            add(bare(t, "late"))
+        if len(times) == size and t < times[0]:
+            add(bare(t, "late"))                 # older than a full window
             continue
         if t in times:
             i = times.index(t)
@@ -110,10 +114,13 @@ def _step(key, batches: Iterator[pd.DataFrame], state: GroupState, size: int):
                 add(bare(t, "update", o_time, o_label))
             continue
         if times and t < times[-1]:
+            was_full = len(times) == size
             i = next(j for j, x in enumerate(times) if x > t)
             times.insert(i, t)
             for v in VALUES:
                 win[v].insert(i, vals[v])
+            if not was_full and len(times) >= size:
+                pending = True               # older candles completed the window
         else:
             prev_time = times[-1] if times else None
             prev_close = win["close"][-1] if times else None
@@ -126,8 +133,11 @@ def _step(key, batches: Iterator[pd.DataFrame], state: GroupState, size: int):
             del win[v][:-size]
         if times and times[-1] == t and len(times) == size:
             emit("window", prev_time, outcome)
+            pending = False
         elif times and times[-1] == t and prev_time is not None:
             add(bare(t, "warmup", prev_time, outcome))
+    if pending and len(win["open_time"]) == size:
+        emit("window")                       # once the whole batch is merged
     state.update(tuple(win[c] for c in ("open_time",) + VALUES) + (seq,))
     if out:
         yield pd.DataFrame(out, columns=[f.name for f in OUTPUT_SCHEMA.fields])

@@ -135,3 +135,22 @@ def test_two_queries_ticks_to_live_windows(spark):
     want = add_features(candles, label=False).select("symbol", "open_time", "close", *FEATURES)
     assert got.count() > 0
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_out_of_order_while_filling(spark):
+    """Candles of the warm-up arrive newest-first across batches: the window
+    still fills in time order and the first full window is scored."""
+    root = scratch_path(spark, "t-fill")
+    rows = [("B", t, 50.0 + math.cos(t)) for t in range(22)]
+    _c(spark, rows[10:]).coalesce(1).write.parquet(f"{root}/feed/part=0000")
+    _run(spark, f"{root}/feed", root)
+    _c(spark, rows[:10]).coalesce(1).write.parquet(f"{root}/feed/part=0001")
+    _run(spark, f"{root}/feed", root)
+    _c(spark, [("B", 22, 51.0)]).coalesce(1).write.parquet(f"{root}/feed/part=0002")
+    _run(spark, f"{root}/feed", root)
+    preds = spark.read.parquet(f"{root}/tables/predictions").filter(F.col("kind") == "window")
+    got = preds.select("symbol", "open_time", "close", *FEATURES).collect()
+    # only windows that end at the newest candle are scored: rows 21 and 22
+    want = add_features(_c(spark, rows + [("B", 22, 51.0)]), label=False).filter(
+        F.col("open_time") >= 21 * 1_800_000).select("symbol", "open_time", "close", *FEATURES).collect()
+    assert sorted(tuple(r) for r in got) == sorted(tuple(r) for r in want)
