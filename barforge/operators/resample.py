@@ -12,7 +12,7 @@ from barforge.schema import CANDLE_COLUMNS, CANDLE_MINUTES
 
 def aggregate_candles(bars: DataFrame, candle_minutes: int = CANDLE_MINUTES,
                       time_col: str = "open_time", order_col: str | None = None,
-                      sort: bool = False) -> DataFrame:
+                      sort: bool = False, tiebreak_col: str | None = None) -> DataFrame:
     """Resample bars (or single-trade ticks) into ``candle_minutes`` candles.
 
     ``bars`` has symbol, a time column (Long ms, TIMESTAMP or TIMESTAMP_NTZ),
@@ -21,7 +21,9 @@ def aggregate_candles(bars: DataFrame, candle_minutes: int = CANDLE_MINUTES,
     latest event time (``min_by`` / ``max_by`` on a Long, so the plan stays a
     HashAggregate with a map-side partial aggregate; a hot symbol is split by
     its buckets). ``order_col`` overrides the ordering key (Long). The result is
-    unsorted unless ``sort``.
+    unsorted unless ``sort``. ``tiebreak_col`` orders trades that share a time
+    (open = lowest, close = highest tiebreak); it makes the key a struct, so
+    Spark plans a sort-based aggregate: use it only where times can repeat.
     """
     t_us = epoch_micros(bars, time_col)
     step_ms = candle_minutes * 60_000
@@ -31,7 +33,10 @@ def aggregate_candles(bars: DataFrame, candle_minutes: int = CANDLE_MINUTES,
         (F.col(order_col).cast("long") if order_col else t_us).alias("_t"),
         "open", "high", "low", "close", "volume", "number_of_trades",
         "taker_buy_quote_asset_volume",
+        *([F.col(tiebreak_col).alias("_tb")] if tiebreak_col else []),
     )
+    if tiebreak_col is not None:
+        prepared = prepared.withColumn("_t", F.struct("_t", "_tb")).drop("_tb")
     out = prepared.groupBy("symbol", "open_time").agg(
         F.min_by("open", "_t").alias("open"),
         F.max("high").alias("high"),

@@ -189,3 +189,12 @@ def test_halo_hot_key_exact_and_bounded(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     biggest = split.groupBy("symbol", "c").count().agg(F.max("count")).first()[0]
     assert biggest <= chunk + 21
+
+
+def test_tiebreak_makes_shared_times_deterministic(spark):
+    from barforge.schema import CANDLE_SCHEMA as S
+    rows = [("T", 1_700_000_000_000, p, p, p, p, p, 1, 0.0) for p in (5.0, 7.0, 6.0)]
+    df = spark.createDataFrame(rows, S).withColumn("seq", F.when(F.col("open") == 5.0, 3).when(F.col("open") == 7.0, 1).otherwise(2))
+    for n in (1, 3):
+        c = aggregate_candles(df.repartition(n), 30, tiebreak_col="seq").first()
+        assert (c["open"], c["close"]) == (7.0, 5.0)
