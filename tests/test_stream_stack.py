@@ -154,3 +154,30 @@ def test_out_of_order_while_filling(spark):
     want = add_features(_c(spark, rows + [("B", 22, 51.0)]), label=False).filter(
         F.col("open_time") >= 21 * 1_800_000).select("symbol", "open_time", "close", *FEATURES).collect()
     assert sorted(tuple(r) for r in got) == sorted(tuple(r) for r in want)
+
+
+def test_watermark_drops_late_trades(spark):
+    """A trade older than the watermark does not reopen its (already emitted)
+    candle. Spark judges lateness against the watermark of the previous
+    micro-batch, so the late trade arrives two batches after the data that
+    moved the watermark past its candle."""
+    from barforge.streaming.resample import stream_candles
+    root = scratch_path(spark, "t-late")
+    schema = ("symbol string, open_time long, open double, high double, low double, close double, "
+              "volume double, number_of_trades long, taker_buy_quote_asset_volume double")
+    hour = 3_600_000
+
+    def trades(minutes, price=1.0):
+        return [("X", m * 60_000, price, price, price, price, 1.0, 1, 0.0) for m in minutes]
+
+    parts = [trades(range(0, 180)), trades(range(180, 240)), [("X", 5 * 60_000 + 1, 9.0, 9.0, 9.0, 9.0, 1.0, 1, 0.0)]]
+    for i, rows in enumerate(parts):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{root}/feed/part={i:04d}")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/feed")
+    q = lv.start(stream_candles(stream.drop("part"), 30, "10 minutes"), f"{root}/out", f"{root}/ck",
+                 {"availableNow": True})
+    q.awaitTermination()
+    rows = spark.read.parquet(f"{root}/out").collect()
+    first = [r for r in rows if r["open_time"] == 0]
+    assert len(first) == 1 and first[0]["number_of_trades"] == 30 and first[0]["high"] == 1.0
+    assert max(r["open_time"] for r in rows) == 3 * hour          # 3:00-3:30 closed, 3:30 still open
