@@ -112,6 +112,8 @@ def _step(key, batches: Iterator[pd.DataFrame], state: GroupState, size: int):
                 emit("update", o_time, o_label)
             elif o_time is not None:
                 add(bare(t, "update", o_time, o_label))
+            if i + 1 < len(times):               # ...and so does its own
+                add(bare(t, "update", t, up(win["close"][i + 1], win["close"][i])))
             continue
         if times and t < times[-1]:
             was_full = len(times) == size

@@ -181,3 +181,16 @@ def test_watermark_drops_late_trades(spark):
     first = [r for r in rows if r["open_time"] == 0]
     assert len(first) == 1 and first[0]["number_of_trades"] == 30 and first[0]["high"] == 1.0
     assert max(r["open_time"] for r in rows) == 3 * hour          # 3:00-3:30 closed, 3:30 still open
+
+
+def test_resent_middle_candle_updates_both_outcomes(spark):
+    root = scratch_path(spark, "t-middle")
+    rows = [("M", t, 10.0 + t) for t in range(25)]                  # always up
+    _c(spark, rows).coalesce(1).write.parquet(f"{root}/feed/part=0000")
+    _run(spark, f"{root}/feed", root)
+    _c(spark, [("M", 22, 100.0)]).coalesce(1).write.parquet(f"{root}/feed/part=0001")   # spike
+    _run(spark, f"{root}/feed", root)
+    outs = spark.read.parquet(f"{root}/tables/outcomes")
+    latest = {r["open_time"] // 1_800_000: r["a"] for r in
+              outs.groupBy("open_time").agg(F.max_by("actual_label", "seq").alias("a")).collect()}
+    assert latest[21] == 1 and latest[22] == 0 and latest[23] == 1
