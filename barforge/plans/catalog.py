@@ -24,7 +24,7 @@ from barforge.plans import oracle as sql
 from barforge.plans import stack as st
 from barforge.plans import training as tr
 from barforge.schema import FEATURES
-from barforge.session import scratch_path
+from barforge.session import cut_lineage, scratch_path
 from barforge.sources import raw as rw
 from barforge.sources import replay as rp
 from barforge.sources.tables import event_trades, lineitem_trades, table
@@ -139,19 +139,25 @@ def _fm(spark, sf_dir) -> DataFrame:
     return event_features(spark, sf_dir, tail="drop").select("symbol", "open_time", "close", "label")
 
 
+def _stored_fm(spark, sf_dir) -> DataFrame:
+    """The feature rows written once to the shared checkpoint folder, for the
+    operators that read their input several times (fold cuts, counts)."""
+    return cut_lineage(_fm(spark, sf_dir))
+
+
 @register("walk_forward_folds", sql.q_walk_forward_folds(3))
 def walk_forward_folds(spark, sf_dir):
-    return fo.walk_forward_folds(_fm(spark, sf_dir), 3).select("symbol", "open_time", "label", "fold")
+    return fo.walk_forward_folds(_stored_fm(spark, sf_dir), 3).select("symbol", "open_time", "label", "fold")
 
 
 @register("fold_summary", sql.q_fold_summary(3))
 def fold_summary(spark, sf_dir):
-    return fo.fold_summary(fo.walk_forward_folds(_fm(spark, sf_dir), 3))
+    return fo.fold_summary(fo.walk_forward_folds(_stored_fm(spark, sf_dir), 3))
 
 
 @register("holdout_by_time", sql.q_holdout_by_time(0.8))
 def holdout_by_time(spark, sf_dir):
-    return fo.holdout_by_time(_fm(spark, sf_dir), 0.8).select("symbol", "open_time", "label", "split")
+    return fo.holdout_by_time(_stored_fm(spark, sf_dir), 0.8).select("symbol", "open_time", "label", "split")
 
 
 def _lineitem_daily(spark, sf_dir) -> DataFrame:
@@ -184,7 +190,7 @@ def class_weights(spark, sf_dir):
 
 @register("undersample_majority", sql.q_undersample_majority(42))
 def undersample_majority(spark, sf_dir):
-    return fo.undersample_majority(_fm(spark, sf_dir), 42).select("symbol", "open_time", "label")
+    return fo.undersample_majority(_stored_fm(spark, sf_dir), 42).select("symbol", "open_time", "label")
 
 
 # ---- ingest ------------------------------------------------------------------
@@ -270,7 +276,7 @@ def accuracy_f1(spark, sf_dir):
 
 @register("auc_exact", sql.q_auc_exact())
 def auc_exact(spark, sf_dir):
-    return rounded(ev.auc_exact(_preds(spark, sf_dir)))
+    return rounded(ev.auc_exact(cut_lineage(_preds(spark, sf_dir))))
 
 
 @register("calibration_table", sql.q_calibration_table())
