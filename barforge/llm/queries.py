@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import quality
+from barforge.llm import quality, simhash
 from barforge.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,8 @@ def op10_quality(spark, sf_dir):
     return quality.score(docs, model).select(
         "doc_id", (quality.fold(F.col("doc_id")) == 0).alias("held_out"), "score",
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@register("op1_simhash")
+def op1_simhash(spark, sf_dir):
+    return simhash.with_components(read_table(spark, sf_dir, "documents"))
