@@ -90,10 +90,11 @@ def bit_moments(fps: DataFrame) -> tuple[int, np.ndarray]:
         total, n = np.zeros((BITS, BITS)), 0
         for b in batches:
             x = b["fp"].to_numpy(np.int64)
-            for k in range(0, len(x), SLICE):
-                bits = unpack(x[k:k + SLICE])
-                total += bits.T @ bits
-                n += len(bits)
+            bits = columns(x)  # 64 rows of packed bits; counting them needs no matrix of floats
+            for i in range(BITS):
+                total[i, i:] += np.bitwise_count(bits[i:] & bits[i]).sum(1)
+            n += len(x)
+        total += np.triu(total, 1).T
         yield pd.DataFrame({"n": [n], "both": [total.ravel().tolist()]})
 
     rows = fps.select("fp").mapInPandas(partial, "n long, both array<double>")
@@ -105,9 +106,10 @@ def bit_moments(fps: DataFrame) -> tuple[int, np.ndarray]:
     return (int(cells[0]["n"]) if cells else 0), both.reshape(BITS, BITS)
 
 
-def unpack(x: np.ndarray) -> np.ndarray:
-    return np.unpackbits(x.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1,
-                         bitorder="little").astype(np.float32)
+def columns(x: np.ndarray) -> np.ndarray:
+    """Row b: bit b of every fingerprint, packed."""
+    bits = np.unpackbits(x.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return np.packbits(bits, axis=0).T
 
 
 def grouped_bits(n: int, both: np.ndarray, m: int) -> list[list[int]]:
