@@ -30,6 +30,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``; its session hands Python tasks at most ``BATCH_BYTES`` of text at a
+    time (a single longer text passes alone), so that a worker's memory follows
+    the longest text and not the number of rows. A lower setting stays."""
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES),
+                      ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)):
+        now = conf.get(key, "") or ""
+        if not now.rstrip("bB").isdigit() or not 0 < int(now.rstrip("bB")) <= most:
+            conf.set(key, str(most))
+    return df
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z only; every other code point stays."""
     return F.translate(text, UPPER, LOWER)

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barforge.llm.common import text_bytes
+from barforge.llm.common import small_batches, text_bytes
 
 PIECE = 1024
 LEVEL = 3
@@ -146,4 +146,4 @@ def score(docs: DataFrame, model: CompressionModel, text_col: str = "text",
     def scored(texts: pd.Series) -> pd.Series:
         return pd.Series(model.scores(texts.tolist()))
 
-    return docs.withColumn(score_col, scored(text_bytes(F.col(text_col))))
+    return small_batches(docs).withColumn(score_col, scored(text_bytes(F.col(text_col))))

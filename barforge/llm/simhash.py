@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barforge.llm.common import components, stored, text_bytes
+from barforge.llm.common import components, small_batches, stored, text_bytes
 
 BITS = 64
 SEED = 42
@@ -271,7 +271,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataF
 def with_components(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """``(id, fingerprint hex, component_id)``, a row for each row of ``docs``."""
-    rows = stored(docs.select(F.col(id_col).alias("id"), fingerprints(F.col(text_col), words).alias("fp")), "simhash")
+    rows = stored(small_batches(docs).select(F.col(id_col).alias("id"), fingerprints(F.col(text_col), words).alias("fp")), "simhash")
     least = rows.groupBy("fp").agg(F.min("id").alias("least"))
     fps = stored(least, "fingerprints")
     comp = components(links(fps.select("fp"), max_bits))
