@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import quality, simhash
+from barforge.llm import decontaminate, quality, secrets, simhash
 from barforge.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,47 @@ def op10_quality(spark, sf_dir):
 @register("op1_simhash")
 def op1_simhash(spark, sf_dir):
     return simhash.with_components(read_table(spark, sf_dir, "documents"))
+
+
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+iw AS (
+  SELECT DISTINCT item, list_slice(w, s, least(s + 9, len(w))) AS words, least(10, len(w)) AS n
+  FROM (SELECT item, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS s FROM b WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT n FROM iw),
+dw AS (
+  SELECT doc_id, s, n, list_slice(w, s, s + n - 1) AS words
+  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS s FROM d, lens WHERE len(w) >= n)),
+hits AS (SELECT doc_id, s, dw.n, item FROM dw JOIN iw USING (words)),
+pos AS (SELECT DISTINCT doc_id, unnest(generate_series(s, s + n - 1)) AS p FROM hits),
+h AS (SELECT doc_id, count(*) AS n_hit FROM pos GROUP BY doc_id),
+i AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items
+      FROM hits GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
+"""
+
+
+@register("op2_decontaminate", OP2_SQL)
+def op2_decontaminate(spark, sf_dir):
+    found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@register("op6_secrets")
+def op6_secrets(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    f = F.col("found")
+    return secrets.findings(docs, secrets.fit(docs)).select(
+        "doc_id", f["n_assign"].alias("n_assign"), f["n_access"].alias("n_access"), f["n_hex"].alias("n_hex"),
+        F.sha2(f["base"], 256).alias("base_sha256"), f["spans"].alias("spans"))
