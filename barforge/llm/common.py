@@ -40,7 +40,7 @@ def small_batches(df: DataFrame) -> DataFrame:
     conf = df.sparkSession.conf
     for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES),
                       ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)):
-        now = conf.get(key, "0")
+        now = conf.get(key)
         if not now.rstrip("bB").isdigit() or not 0 < int(now.rstrip("bB")) <= most:
             conf.set(key, str(most))
     return df
