@@ -22,8 +22,8 @@ broadcast and what stands in a plan is bounded whatever its size.
 Words: A-Z lower-cased, maximal runs of characters other than ASCII
 non-alphanumerics. Defined cases: a null text has no words; an item without
 words has no window, one of fewer than ``WINDOW`` words is one window; repeated
-items and repeated documents each get their own, equal, rows; two documents
-are the same one if id and text are equal; an empty benchmark leaves every
+items count once, an item with a null id marks words but is not named;
+repeated documents get equal rows; two documents are the same one if id and text are equal; an empty benchmark leaves every
 document clean; further columns are ignored.
 """
 
@@ -130,7 +130,7 @@ def phrase_matches(docs: DataFrame, windows: DataFrame, counts: DataFrame, block
         at = F.col("lead") - F.col("seed_at")  # where the window starts inside ``around``
         c = c.where((at >= 0) & (at + F.col("n") <= F.size("around")))
         c = c.where(F.col("second").isNull() | (F.get("around", at + F.col("second_at")) == F.col("second")))
-        c = c.where(F.slice("around", at + 1, F.col("n")) == F.col("words"))
+        c = c.where(F.slice("around", F.greatest(at, F.lit(0)) + 1, F.col("n")) == F.col("words"))
         c = c.select("id", "key", (F.col("pos") - F.col("seed_at")).alias("start"), "words")
         out = c if out is None else out.unionByName(c)
     if out is None:
