@@ -6,12 +6,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import decontaminate, quality, secrets, simhash
+from barforge.llm import bpe, decontaminate, quality, secrets, simhash
 from barforge.llm.common import read_table
 
+
+WORD_BPE = "word_bpe_49k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -81,3 +85,12 @@ def op6_secrets(spark, sf_dir):
     return secrets.findings(docs, secrets.fit(docs)).select(
         "doc_id", f["n_assign"].alias("n_assign"), f["n_access"].alias("n_access"), f["n_hex"].alias("n_hex"),
         F.sha2(f["base"], 256).alias("base_sha256"), f["spans"].alias("spans"))
+
+
+@register("op3_bpe")
+def op3_bpe(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    b = F.col("bpe")
+    coded = bpe.encode(docs, bpe.prepare(docs, tokenizer_path(WORD_BPE)), outputs=("packed", "decoded", "n_tokens"))
+    return coded.select("doc_id", b["n_tokens"].alias("n_tokens"), F.sha2(b["packed"], 256).alias("ids_sha256"),
+                        F.sha2(b["decoded"], 256).alias("decoded_sha256"))
