@@ -192,5 +192,5 @@ def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without the documents that hold a window of an item."""
     found = contamination(docs, items, window).where("n_hit > 0").select(
         F.col("id").alias("_id"), F.col("key").alias("_key")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id"))
-                     & (text_key(F.col("text")) == F.col("_key")), "left_anti")
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["_id"])
+                     & (text_key(docs["text"]) == found["_key"]), "left_anti")

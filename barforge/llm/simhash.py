@@ -268,16 +268,36 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataF
             .mapInPandas(lambda it: bucket_links(it, max_bits), "a long, b long").distinct())
 
 
-def with_components(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """``(id, fingerprint hex, component_id)``, a row for each row of ``docs``."""
-    rows = stored(small_batches(docs).select(F.col(id_col).alias("id"), fingerprints(F.col(text_col), words).alias("fp")), "simhash")
-    least = rows.groupBy("fp").agg(F.min("id").alias("least"))
-    fps = stored(least, "fingerprints")
+def classes(docs: DataFrame, words: int, max_bits: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Stored rows ``(id, fp)``, and ``(fp, component, component_id)`` of each
+    distinct fingerprint."""
+    rows = stored(small_batches(docs).select(
+        F.col(id_col).alias("id"), fingerprints(F.col(text_col), words).alias("fp")), "simhash")
+    fps = stored(rows.groupBy("fp").agg(F.min("id").alias("least")), "fingerprints")
     comp = components(links(fps.select("fp"), max_bits))
     merged = fps.join(comp, fps.fp == comp.node, "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component"))
     ids = merged.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = merged.join(ids, "component").select("fp", "component_id")
+    return rows, merged.join(ids, "component").select("fp", "component", "component_id")
+
+
+def with_components(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """``(id, fingerprint hex, component_id)``, a row for each row of ``docs``."""
+    rows, named = classes(docs, words, max_bits, id_col, text_col)
     return rows.join(named, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the one of least id (a null id only
+    where no row of the component has one); of rows with that id, the one of
+    least fingerprint; of equal rows, one."""
+    rows, named = classes(docs, words, max_bits, id_col, text_col)
+    kept = (rows.distinct().join(named, "fp").groupBy("component")
+            .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp")).alias("r"))
+            .select(F.col("r.id").alias("_id"), F.col("r.fp").alias("_fp")))
+    marked = small_batches(docs).withColumn("__simhash", fingerprints(F.col(text_col), words))
+    return (marked.join(kept, marked[id_col].eqNullSafe(kept["_id"]) & (marked["__simhash"] == kept["_fp"]), "left_semi")
+            .dropDuplicates([id_col, "__simhash"]).drop("__simhash"))
