@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from barforge.llm.common import ascii_lower, stored
+from barforge.llm.common import ascii_lower, evaluated, stored
 
 WINDOW = 10
 BLOCK = 4000
@@ -47,14 +47,6 @@ def words(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
-def evaluated(df: DataFrame, name: str) -> DataFrame:
-    """``df`` with column ``name`` computed once a row. Projections are merged and
-    would repeat the expression wherever the column is used, inside a lambda even
-    for each element; a generator of one row is not merged."""
-    rest = [c for c in df.columns if c != name]
-    return df.select(*rest, F.explode(F.array(name)).alias(name))
-
-
 def text_key(text: Column) -> Column:
     """With the id it names a document: 64-bit hash of the whole text."""
     return F.xxhash64(F.coalesce(text, F.lit("")))

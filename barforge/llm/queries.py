@@ -10,7 +10,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import bpe, decontaminate, quality, secrets, simhash
+from barforge.llm import bpe, decontaminate, quality, secrets, sharding, simhash, urls
 from barforge.llm.common import read_table
 
 
@@ -94,3 +94,16 @@ def op3_bpe(spark, sf_dir):
     coded = bpe.encode(docs, bpe.prepare(docs, tokenizer_path(WORD_BPE)), outputs=("packed", "decoded", "n_tokens"))
     return coded.select("doc_id", b["n_tokens"].alias("n_tokens"), F.sha2(b["packed"], 256).alias("ids_sha256"),
                         F.sha2(b["decoded"], 256).alias("decoded_sha256"))
+
+
+@register("op5_urls")
+def op5_urls(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.verdicts(pages, urls.fit(urls.label_by_terms(pages))).select("page_id", "host", "path", "rule", "verdict")
+
+
+@register("op7_shards")
+def op7_shards(spark, sf_dir):
+    return sharding.shards(read_table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("rows").alias("law"), "shard",
+        F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
