@@ -32,6 +32,7 @@ import unicodedata
 import uuid
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,16 +41,17 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm.common import small_batches
+from barforge.llm.common import small_batches, stored
 
-LEXICON = 65536
+LEXICON = 1 << 18
 CACHE = 200_000
 COUNTED = 300_000
 END = "</w>"
 #: blanks as the splitter sees them; U+001C to U+001F are not among them
 BLANK = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
                           0x202F, 0x205F, 0x3000]))
-PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{BLANK}\p{{L}}\p{{N}}]+")
+#: the file's alternatives; no two of letters, digits and signs start alike, so letters may come first
+PIECE = regex.compile(rf"\p{{L}}+|'(?:s|t|re|ve|m|ll|d)|\p{{N}}|[^{BLANK}\p{{L}}\p{{N}}]+")
 
 
 def byte_symbols() -> list[str]:
@@ -65,13 +67,20 @@ SYMBOLS = byte_symbols()
 @dataclass
 class Vocabulary:
     ids: dict[str, int]
-    ranks: dict[tuple[str, str], int]
+    merges: list[tuple[str, str]]
     special: dict[str, int]
 
     def __post_init__(self):
         self.strings = {i: s for s, i in self.ids.items()} | {i: s for s, i in self.special.items()}
         marks = sorted(self.special, key=len, reverse=True)
         self.marks = plain_re.compile("(" + "|".join(map(plain_re.escape, marks)) + ")") if marks else None
+        # a pair of ids as one number -> rank; rank -> id of the merged string
+        self.ranks: dict[int, int] = {}
+        for r, (a, b) in enumerate(self.merges):
+            self.ranks.setdefault(self.ids[a] << 32 | self.ids[b], r)
+        self.result = [self.ids[a + b] for a, b in self.merges]
+        self.inner = [self.ids.get(c) for c in SYMBOLS]
+        self.ending = [self.ids.get(c + END) for c in SYMBOLS]
 
     def words(self, text: str) -> list[str]:
         """Pieces in order; special strings stand as themselves."""
@@ -83,19 +92,27 @@ class Vocabulary:
         return out
 
     def merged(self, word: str) -> tuple[int, ...]:
-        """The ids of one piece by exact merging."""
+        """The ids of one piece by exact merging: again and again the pair of least
+        rank, the leftmost of equal ones; only the pairs beside a merge change."""
         if word in self.special:
             return (self.special[word],)
-        s = [SYMBOLS[b] for b in word.encode("utf-8")]
-        s[-1] += END
-        ranks = self.ranks
-        while len(s) > 1:
-            best = min((ranks.get(p, 1 << 60), i) for i, p in enumerate(zip(s, s[1:])))
-            if best[0] == 1 << 60:
+        raw, none = word.encode("utf-8"), 1 << 60
+        s = [self.inner[b] for b in raw[:-1]] + [self.ending[raw[-1]]]
+        s = [x for x in s if x is not None]
+        rank, result = self.ranks.get, self.result
+        r = [rank(a << 32 | b, none) for a, b in zip(s, s[1:])]
+        while r:
+            best = min(r)
+            if best == none:
                 break
-            i = best[1]
-            s[i:i + 2] = [s[i] + s[i + 1]]
-        return tuple(self.ids[x] for x in s if x in self.ids)
+            i = r.index(best)
+            s[i:i + 2] = [result[best]]
+            del r[i]
+            if i:
+                r[i - 1] = rank(s[i - 1] << 32 | s[i], none)
+            if i < len(r):
+                r[i] = rank(s[i] << 32 | s[i + 1], none)
+        return tuple(s)
 
     def decode(self, ids) -> str:
         return " ".join([self.strings[i] for i in ids if i in self.strings])
@@ -105,7 +122,7 @@ def load(path: str) -> Vocabulary:
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
-    return Vocabulary(spec["model"]["vocab"], {m: i for i, m in enumerate(merges)},
+    return Vocabulary(spec["model"]["vocab"], merges,
                       {t["content"]: t["id"] for t in spec["added_tokens"] if t["special"]})
 
 
@@ -252,15 +269,29 @@ class Encoder:
         rows = look_up(lexicon, [w.encode("utf-8") for w in new]) if new and len(lexicon["key"]) else [-1] * len(new)
         for w, r in zip(new, rows):
             cache[w] = tuple(ids[first[r]:first[r + 1]].tolist()) if r >= 0 else vocab.merged(w)
-        return [[x for w in words for x in cache[w]] for words in split]
+        return [list(chain.from_iterable(map(cache.__getitem__, words))) for words in split]
+
+
+def frequent(counts: DataFrame, most: int) -> list[str]:
+    """The words above the least count that at most ``most`` words reach: a
+    histogram of the counts (16 steps an octave) gives that count, so only the
+    chosen words travel to the driver."""
+    step = F.floor(F.log2("n") * 16).cast("int")
+    total, least = 0, None
+    for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("words")).orderBy(F.desc("step")).collect():
+        total += r["words"]
+        if total > most:
+            break
+        least = r["step"]
+    return [] if least is None else [r["word"] for r in counts.where(step >= least).select("word").collect()]
 
 
 def prepare(docs: DataFrame, path: str, lexicon: int = LEXICON, text_col: str = "text") -> Encoder:
-    """Count words over all documents and compile the most frequent ``lexicon``."""
+    """Count words over all documents and compile the most frequent ones."""
     spark = docs.sparkSession
     vocab = spark.sparkContext.broadcast(load(path))
-    top = word_counts(docs, vocab, text_col).orderBy(F.desc("n"), "word").limit(lexicon).select("word")
-    return Encoder(vocab, ship(spark, vocab.value, [r["word"] for r in top.collect()]))
+    counts = stored(word_counts(docs, vocab, text_col), "words")
+    return Encoder(vocab, ship(spark, vocab.value, frequent(counts, lexicon)))
 
 
 OUTPUTS = {"ids": "array<int>", "packed": "binary", "decoded": "string", "n_tokens": "bigint"}
