@@ -10,7 +10,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import bpe, decontaminate, quality, secrets, sharding, simhash, urls
+from barforge.llm import bpe, decontaminate, editprint, quality, secrets, sharding, simhash, urls
 from barforge.llm.common import read_table
 
 
@@ -107,3 +107,8 @@ def op7_shards(spark, sf_dir):
     return sharding.shards(read_table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("rows").alias("law"), "shard",
         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op8_editprints")
+def op8_editprints(spark, sf_dir):
+    return editprint.described(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
