@@ -10,7 +10,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import bpe, decontaminate, editprint, quality, secrets, sharding, simhash, urls
+from barforge.llm import bpe, decontaminate, editprint, quality, secrets, sharding, simhash, suffixes, urls
 from barforge.llm.common import read_table
 
 
@@ -112,3 +112,9 @@ def op7_shards(spark, sf_dir):
 @register("op8_editprints")
 def op8_editprints(spark, sf_dir):
     return editprint.described(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@register("op9_suffixes")
+def op9_suffixes(spark, sf_dir):
+    kept = suffixes.dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
