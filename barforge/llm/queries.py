@@ -10,7 +10,8 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import bpe, decontaminate, editprint, quality, secrets, sharding, simhash, suffixes, urls
+from barforge.llm import (bpe, decontaminate, editprint, licenses, quality, secrets, sharding, simhash, suffixes,
+                         urls)
 from barforge.llm.common import read_table
 
 
@@ -118,3 +119,13 @@ def op8_editprints(spark, sf_dir):
 def op9_suffixes(spark, sf_dir):
     kept = suffixes.dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op4_licenses")
+def op4_licenses(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    f = F.col("licenses")
+    return licenses.findings(docs).select(
+        "doc_id", F.size(f).cast("long").alias("n_findings"), F.array_join(F.array_sort(F.array_distinct(f["license"])), ",").alias("licenses"),
+        F.array_join(F.transform(f, lambda x: F.concat_ws(":", x["license"], x["start"], x["end"])), ",").alias("spans"),
+        F.coalesce(F.round(F.array_max(f["coverage"]), 6), F.lit(0.0)).alias("coverage"))
