@@ -120,21 +120,31 @@ def fingerprints(text: Column, edited: Column) -> Column:
     return printed(F.coalesce(text, F.lit("")), F.coalesce(edited, F.lit("")))
 
 
+def at_spacing(digits: np.ndarray, own: np.ndarray, wide: np.ndarray) -> np.ndarray:
+    """Rows of digits taken at a coarser spacing; ends where they reach no further."""
+    at = np.arange(SAMPLES) << np.minimum(wide - own, 8)[:, None]
+    got = np.take_along_axis(digits, np.minimum(at, SAMPLES - 1), 1)
+    return np.where(at < SAMPLES, got, ord("-"))
+
+
+def likenesses(a: list[str], b: list[str]) -> np.ndarray:
+    """Share of common sampling times, not past both ends, at which pairs agree."""
+    x, y = (np.frombuffer("".join(p).encode(), np.uint8).reshape(len(p), SAMPLES + 1) for p in (a, b))
+    ex, ey = x[:, 0].astype(np.int64), y[:, 0].astype(np.int64)
+    e = np.maximum(ex, ey)
+    u, v = at_spacing(x[:, 1:], ex, e), at_spacing(y[:, 1:], ey, e)
+    live = (u != ord("-")) | (v != ord("-"))
+    share = ((u == v) & live).sum(1) / np.maximum(live.sum(1), 1)
+    return np.where((x == y).all(1), 1.0, share)
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """Share of common sampling times at which two fingerprints agree (0 to 1)."""
-    ea, eb = F.ascii(a), F.ascii(b)
-    wide = F.sequence(F.lit(0), F.lit(SAMPLES - 1))
-
-    def on(s: Column, e: Column) -> Column:
-        # the digits at the coarser of the two spacings
-        step = F.pow(F.lit(2), F.least(F.greatest(ea, eb) - e, F.lit(8))).cast("int")
-        return F.transform(wide, lambda i: F.substring(s, 2 + i * step, F.lit(1)))
-
-    pairs = F.zip_with(on(a, ea), on(b, eb), lambda x, y: F.when(((x == "-") | (x == "")) & ((y == "-") | (y == "")), F.lit(None))
-                       .otherwise((x == y).cast("int")))
-    live = F.filter(pairs, lambda v: v.isNotNull())
-    return F.when(a == b, 1.0).when(F.size(live) == 0, 0.0).otherwise(
-        F.aggregate(live, F.lit(0), lambda s, v: s + v) / F.size(live)).cast("double")
+    """Likeness (0 to 1) of two columns of fingerprints."""
+    @F.arrow_udf("double")
+    def compared(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array(likenesses(a.to_pylist(), b.to_pylist()) if len(a) else [], pa.float64())
+
+    return compared(a, b)
 
 
 # ---- successors -----------------------------------------------------------------
