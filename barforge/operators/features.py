@@ -77,23 +77,26 @@ def add_features(candles: DataFrame, lookback: int = LOOKBACK, label: bool = Tru
     work = column_formulas("_x_", lookback, working=True) if keep == "all" else {}
     next_close = F.col("_next_close")
     label_col = next_candle_label(F.col("close"), next_close) if label else F.lit(0)
-    wide = rows.select(*CANDLE_COLUMNS, HALO, "_t_back",
-                       *[c.alias(n) for n, c in feats.items()],
-                       *[c.alias(n) for n, c in work.items()],
-                       label_col.alias("label"), next_close.alias("_next_close"))
+    # what needs no formula is filtered first, on the candle and lag columns
+    rows = rows.filter(~F.col(HALO))
+    if label and tail == "drop":
+        rows = rows.filter(F.col("_next_close").isNotNull())
+    if require_contiguous:
+        span = lookback * candle_minutes * 60_000
+        rows = rows.filter((F.col("open_time") - F.col("_t_back")) == F.lit(span))
+    if complete:
+        direct = [f"_x_{n}_0" for n in CANDLE_COLUMNS[2:]] + [f"_x_close_{k}" for k in range(1, lookback + 1)]
+        rows = rows.filter(complete_row(direct, {c for c in direct if "number_of_trades" not in c}))
+    # a generator of one row: the filter below is not pushed through it, so every
+    # formula is evaluated once and the filter reads plain columns
+    wide = rows.select(F.inline(F.array(F.struct(
+        *CANDLE_COLUMNS, *[c.alias(n) for n, c in feats.items()], *[c.alias(n) for n, c in work.items()],
+        label_col.alias("label")))))
 
     checked = list(CANDLE_COLUMNS) + list(feats) + ["label"]
     doubles = {c for c in checked
                if c not in _INT_COLUMNS and not c.startswith("number_of_trades")}
-    keep_rows = ~F.col(HALO)
-    if complete:
-        keep_rows = keep_rows & complete_row(checked, doubles)
-    if label and tail == "drop":
-        keep_rows = keep_rows & F.col("_next_close").isNotNull()
-    if require_contiguous:
-        span = lookback * candle_minutes * 60_000
-        keep_rows = keep_rows & ((F.col("open_time") - F.col("_t_back")) == F.lit(span))
-    out = wide.filter(keep_rows)
+    out = wide.filter(complete_row(checked, doubles)) if complete else wide
     if keep == "all":
         return out.select(*CANDLE_COLUMNS, *feature_names(lookback), *work, "label")
     return out.select("symbol", "open_time", "close", "label", *FEATURES)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barforge.functions.time import bucket_ms, epoch_micros
-from barforge.schema import CANDLE_COLUMNS, CANDLE_MINUTES
+from barforge.schema import CANDLE_MINUTES
 
 
 def aggregate_candles(bars: DataFrame, candle_minutes: int = CANDLE_MINUTES,
@@ -63,17 +63,8 @@ def last_n_candles(candles: DataFrame, n: int, key: str = "symbol",
 
 def latest_per_key(records: DataFrame, keys: list[str], version_col: str,
                    value_cols: list[str]) -> DataFrame:
-    """Keep the newest version (largest ``version_col``, a Long) per key.
-
-    One ``max_by`` per value column: primitive buffers keep a HashAggregate
-    with partial aggregation, so many copies of one key are combined before
-    the shuffle.
-    """
-    aggs = [F.max_by(c, version_col).alias(c) for c in value_cols]
-    aggs.append(F.max(version_col).alias(version_col))
-    return records.groupBy(*keys).agg(*aggs)
-
-
-def candle_table(candles: DataFrame) -> DataFrame:
-    """Project to the canonical candle columns."""
-    return candles.select(*CANDLE_COLUMNS)
+    """Keep the newest version (largest ``version_col``, a Long) per key; of equal
+    versions the one with the larger values. One maximum over (version, values),
+    so a row is never put together from two versions."""
+    best = records.groupBy(*keys).agg(F.max(F.struct(version_col, *value_cols)).alias("_b"))
+    return best.select(*keys, *[F.col(f"_b.{c}").alias(c) for c in (*value_cols, version_col)])

@@ -10,7 +10,8 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import event_fixtures as rp
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +20,7 @@ from barforge.operators import evaluate as ev
 from barforge.operators import folds as fo
 from barforge.operators import outcomes as oc
 from barforge.operators.features import add_features, add_labels, feature_names
+from barforge.functions.time import bucket_ms, epoch_micros
 from barforge.operators.resample import aggregate_candles, last_n_candles
 from barforge.plans import oracle as sql
 from barforge.plans import stack as st
@@ -26,7 +28,6 @@ from barforge.plans import training as tr
 from barforge.schema import FEATURES
 from barforge.session import cut_lineage, scratch_path
 from barforge.sources import raw as rw
-from barforge.sources import replay as rp
 from barforge.sources.tables import event_trades, lineitem_trades, table
 from barforge.streaming import live as lv
 from barforge.streaming.resample import stream_candles
@@ -165,19 +166,42 @@ def _lineitem_daily(spark, sf_dir) -> DataFrame:
                              order_col="trade_order")
 
 
+def _lineitem_days(spark, sf_dir) -> DataFrame:
+    """(symbol, day) pairs with a trade: the key of a daily candle, from two columns."""
+    t = lineitem_trades(table(spark, sf_dir, "lineitem"))
+    return t.select("symbol", bucket_ms(epoch_micros(t, "open_time"), 86_400_000).alias("open_time")).distinct()
+
+
 @register("holdout_by_symbol", sql.q_holdout_by_symbol())
 def holdout_by_symbol(spark, sf_dir):
-    daily = _lineitem_daily(spark, sf_dir)
-    counts = daily.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_candles"))
+    counts = _lineitem_days(spark, sf_dir).groupBy("symbol").agg(F.count(F.lit(1)).alias("n_candles"))
     return fo.symbol_ranks(counts, 0.8, per_symbol=True).select("symbol", "split", "n_candles")
 
 
 @register("sample_symbols", sql.q_sample_symbols(0.2))
 def sample_symbols(spark, sf_dir):
-    ranks = fo.symbol_ranks(_lineitem_daily(spark, sf_dir), 0.8)
+    ranks = fo.symbol_ranks(_lineitem_days(spark, sf_dir), 0.8)
     return fo.sample_symbols(ranks, 0.2).select("symbol", "split", "split_rank")
 
 
+@register("holdout_rows_by_symbol", sql.q_holdout_rows_by_symbol())
+def holdout_rows_by_symbol(spark, sf_dir):
+    """The daily candles themselves, split by symbol."""
+    ranks = fo.symbol_ranks(_lineitem_days(spark, sf_dir), 0.8)
+    return rounded(_lineitem_daily(spark, sf_dir).join(ranks.select("symbol", "split"), "symbol").select(
+        "symbol", "open_time", "number_of_trades", "split"))
+
+
+@register("sample_rows", sql.q_sample_rows(0.2))
+def sample_rows(spark, sf_dir):
+    """The daily candles of the leading fifth of the symbols of each split: a semi
+    join, and the candles of other symbols are never aggregated."""
+    ranks = fo.sample_symbols(fo.symbol_ranks(_lineitem_days(spark, sf_dir), 0.8), 0.2)
+    trades = lineitem_trades(table(spark, sf_dir, "lineitem")).join(ranks.select("symbol"), "symbol", "left_semi")
+    return rounded(aggregate_candles(trades, 1440, order_col="trade_order").select(
+        "symbol", "open_time", "number_of_trades"))
+
+
 @register("class_balance", sql.q_class_balance())
 def class_balance(spark, sf_dir):
     return rounded(fo.class_balance(_fm(spark, sf_dir)))
@@ -230,8 +254,18 @@ def route_intervals(spark, sf_dir):
 
 @register("latest_closed", sql.q_latest_closed())
 def latest_closed(spark, sf_dir):
-    versions = rp.candle_versions(event_candles(spark, sf_dir), "30m")
-    return rounded(rw.latest_closed(versions))
+    half_hour = rp.candle_versions(event_candles(spark, sf_dir), "30m")
+    minute = rp.candle_versions(event_candles(spark, sf_dir, minutes=1), "1m")
+    minute = minute.withColumn("interval", F.when(F.col("symbol") != "view", F.col("interval")))
+    return rounded(rw.latest_closed(half_hour.unionByName(minute)))
+
+
+@register("parse_candle_records", sql.q_parse_candle_records())
+def parse_candle_records(spark, sf_dir):
+    """The bus record: one-minute candles as JSON text and back."""
+    records = rp.candle_records(event_candles(spark, sf_dir, minutes=1), "1m")
+    text = records.select(F.to_json(F.struct(*records.columns)).alias("value"))
+    return rounded(rw.parse_candle_records(text)[0])
 
 
 # ---- scores, signals, evaluation -------------------------------------------
@@ -330,7 +364,8 @@ def _trained(spark, sf_dir, split: str):
     """Train once per session, data folder and split; reused by the queries."""
     key = (spark.sparkContext.applicationId, sf_dir, split)
     if key not in _TRAINED:
-        feats = event_features(spark, sf_dir, tail="drop")
+        # stored: fold cuts, training and every later scoring read it
+        feats = cut_lineage(event_features(spark, sf_dir, tail="drop"))
         if split == "holdout":
             feats = fo.holdout_by_time(feats, 0.8)
             train = feats.filter(F.col("split") == "train").drop("split")
@@ -365,7 +400,7 @@ def feature_importance(spark, sf_dir):
 @register("stack_evaluation")
 def stack_evaluation(spark, sf_dir):
     """The evaluation bundle on the stacked model's holdout predictions."""
-    preds = stack_scores(spark, sf_dir)
+    preds = cut_lineage(stack_scores(spark, sf_dir))
     acc = ev.accuracy_f1(preds)
     rec = ev.class_recall(preds)
     auc = ev.auc_exact(preds)
@@ -383,6 +418,77 @@ def stack_evaluation(spark, sf_dir):
     return out
 
 
+def _near(a, b, places: float = 1e-9):
+    return F.coalesce(F.abs(a - b) < places, a.isNull() & b.isNull())
+
+
+@register("stack_oof_check", sql.q_stack_oof_check(3))
+def stack_oof_check(spark, sf_dir):
+    """Keys, labels, weights and folds of the out-of-fold rows; every probability in [0, 1]."""
+    inside = F.lit(True)
+    for c in ("rf_prob", "gbt_prob", "lr_prob"):
+        inside = inside & F.col(c).between(0.0, 1.0)
+    return rounded(stack_oof(spark, sf_dir).select("symbol", "open_time", "label", "weight", "fold", inside.alias("in_range")))
+
+
+@register("stack_scores_check", sql.q_stack_scores_check())
+def stack_scores_check(spark, sf_dir):
+    """Holdout keys; the stacked probability equals the meta model's sigmoid of the
+    three base probabilities, and prediction, signal and confidence follow from it."""
+    result, _ = _trained(spark, sf_dir, "holdout")
+    meta = result.model.stages[-1]
+    w, b = [float(x) for x in meta.coefficients.toArray()], float(meta.intercept)
+    z = F.lit(b)
+    for c, x in zip(("rf_prob", "gbt_prob", "lr_prob"), w):
+        z = z + F.lit(x) * F.col(c)
+    p = F.col("prob_up")
+    ok = (_near(p, 1 / (1 + F.exp(-z))) & (F.col("prediction") == (p > 0.5).cast("int"))
+          & (F.col("signal") == F.expr("CASE WHEN prob_up > 0.4 AND prob_up < 0.6 THEN 'WAIT' WHEN prob_up > 0.5 THEN 'BUY (Long)' ELSE 'SELL (Short)' END"))
+          & (F.col("confidence") == F.expr("CASE WHEN prob_up >= 0.7 OR prob_up <= 0.3 THEN 'VERY HIGH' "
+                                           "WHEN prob_up >= 0.6 OR prob_up <= 0.4 THEN 'HIGH' ELSE 'Low' END")))
+    return rounded(stack_scores(spark, sf_dir).select("symbol", "open_time", "close", "label", ok.alias("consistent")))
+
+
+@register("feature_importance_check", sql.q_feature_importance_check())
+def feature_importance_check(spark, sf_dir):
+    """The 27 inputs, each ranked 1 to 27 by either model, importances summing to one."""
+    imp = feature_importance(spark, sf_dir)
+    sums = imp.agg(F.sum("rf_importance").alias("rf"), F.sum("gbt_importance").alias("gbt"),
+                   *[F.count_distinct(f"{m}_rank").alias(f"{m}_n") for m in ("rf", "gbt", "avg")])
+    ranked = F.lit(True)
+    for m in ("rf", "gbt", "avg"):
+        ranked = ranked & F.col(f"{m}_rank").between(1, len(FEATURES)) & (F.col(f"{m}_n") == len(FEATURES))
+    return imp.join(F.broadcast(sums)).select(      # one row
+        "feature", ranked.alias("ranked"), (_near(F.col("rf"), F.lit(1.0), 1e-6) & _near(F.col("gbt"), F.lit(1.0), 1e-6)).alias("sums_to_one"))
+
+
+@register("stack_evaluation_check", sql.q_stack_evaluation_check())
+def stack_evaluation_check(spark, sf_dir):
+    """The reported metrics equal a recount of the stored holdout predictions: one
+    aggregate, and for AUC the share of ordered pairs from counts per score."""
+    preds = cut_lineage(stack_scores(spark, sf_dir))
+    hit = (F.col("label") == F.col("prediction")).cast("double")
+    tp = F.sum(F.col("label") * F.col("prediction"))
+    per = preds.groupBy("prob_up").agg(F.sum("label").alias("p"), F.sum(1 - F.col("label")).alias("n"))
+    below = F.coalesce(F.sum("n").over(Window.orderBy("prob_up").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    pairs = per.select("p", "n", below.alias("b")).agg(
+        (F.sum(F.col("p") * (F.col("b") + F.col("n") / 2)) / (F.sum("p") * F.sum("n"))).alias("auc"))
+
+    def f1(c):
+        both = F.sum(((F.col("label") == c) & (F.col("prediction") == c)).cast("double"))
+        have = F.sum((F.col("label") == c).cast("double"))
+        said = F.sum((F.col("prediction") == c).cast("double"))
+        return F.coalesce(2 * both / (have + said), F.lit(0.0)) * have
+    again = preds.agg(F.avg(hit).alias("accuracy"), ((f1(0) + f1(1)) / F.count(F.lit(1))).alias("f1"),
+                      (tp / F.sum("label")).alias("up_recall"),
+                      (F.sum((1 - F.col("label")) * (1 - F.col("prediction"))) / F.sum(1 - F.col("label"))).alias("down_recall"))
+    wide = again.join(F.broadcast(pairs)).join(F.broadcast(ev.calibration_error(preds).select(
+        F.col("mean_abs_calibration_error").alias("calibration_error"))))      # one row each
+    names = ["accuracy", "f1", "up_recall", "down_recall", "auc", "calibration_error"]
+    tall = wide.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("again")) for m in names])))
+    return stack_evaluation(spark, sf_dir).join(tall, "metric").select("metric", _near(F.col("value"), F.col("again")).alias("equal"))
+
+
 # ---- streaming ---------------------------------------------------------------
 
 
@@ -403,27 +509,29 @@ def stream_resample(spark, sf_dir):
     return rounded(spark.read.parquet(f"{out}/table"))
 
 
+FEED_FILES = 2
+
+
 def _replay_candles(spark, sf_dir, parts: int = 4) -> str:
-    """Write the 30-minute candles as ``parts`` files in time order (one per
-    micro-batch) and return the folder; the stream reads them in order."""
+    """Write the 30-minute candles in ``parts`` steps of time, ``FEED_FILES`` files
+    each, and return the folder; a micro-batch reads as many files."""
     out = scratch_path(spark, "candle-feed")
-    candles = event_candles(spark, sf_dir).persist()
+    candles = cut_lineage(event_candles(spark, sf_dir))
     lo, hi = candles.agg(F.min("open_time"), F.max("open_time")).first()
     step = (hi - lo) // parts + 1
     for i in range(parts):
         part = candles.filter((F.col("open_time") >= lo + i * step) & (F.col("open_time") < lo + (i + 1) * step))
-        part.coalesce(1).write.parquet(f"{out}/part={i:04d}")
-    candles.unpersist()
+        part.repartition(FEED_FILES, "symbol", "open_time").write.parquet(f"{out}/part={i:04d}")
     return out
 
 
-def _run_live(spark, sf_dir, model) -> str:
-    feed = _replay_candles(spark, sf_dir)
+def _run_live(spark, sf_dir, model, feed: str | None = None, tail: int = lv.TAIL) -> str:
+    feed = feed or _replay_candles(spark, sf_dir)
     schema = spark.read.parquet(feed).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", FEED_FILES).parquet(feed)
     out = scratch_path(spark, "live")
     q = lv.start_live(stream, f"{out}/tables", f"{out}/checkpoint", model, {"availableNow": True},
-                      state_partitions=spark.sparkContext.defaultParallelism)
+                      state_partitions=spark.sparkContext.defaultParallelism, tail=tail)
     q.awaitTermination()
     return f"{out}/tables"
 
@@ -431,10 +539,34 @@ def _run_live(spark, sf_dir, model) -> str:
 @register("stream_features", sql.q_stream_features())
 def stream_features(spark, sf_dir):
     tables = _run_live(spark, sf_dir, None)
-    preds = spark.read.parquet(f"{tables}/predictions")
+    preds = lv.newest(spark.read.parquet(f"{tables}/predictions"))
     return rounded(preds.select("symbol", "open_time", "close", *FEATURES))
 
 
+@register("stream_out_of_order", sql.q_stream_out_of_order())
+def stream_out_of_order(spark, sf_dir):
+    """The candles arrive in any order over the micro-batches, some twice, and every
+    thirteenth first with a wrong close and an older stamp: features and outcomes
+    equal the batch's."""
+    candles = cut_lineage(event_candles(spark, sf_dir))
+    stamped = candles.withColumn("ingested_at", F.lit("2030-01-01T00:00:00.000000+00:00"))
+    place = F.pmod(F.xxhash64("symbol", "open_time"), F.lit(4))
+    wrong = (stamped.filter(F.pmod(F.col("open_time") / 1_800_000, F.lit(13)) == 0)
+             .withColumn("close", F.col("close") * 2).withColumn("ingested_at", F.lit("2029-01-01T00:00:00.000000+00:00")))
+    twice = stamped.filter(F.pmod(F.xxhash64("open_time", "symbol"), F.lit(5)) == 0)
+    feed = scratch_path(spark, "mixed-feed")
+    for i in range(4):
+        part = stamped.filter(place == i).unionByName(wrong.filter(F.pmod(place + 2, F.lit(4)) == i)).unionByName(
+            twice.filter(F.pmod(place + 1, F.lit(4)) == i))
+        part.repartition(FEED_FILES, "symbol", "open_time").write.parquet(f"{feed}/part={i:04d}")
+    # the tail must hold what may still be moved: here, everything
+    tables = _run_live(spark, sf_dir, None, feed, tail=1 << 40)
+    preds = lv.newest(spark.read.parquet(f"{tables}/predictions"))
+    outs = lv.newest(spark.read.parquet(f"{tables}/outcomes"))
+    return rounded(preds.join(outs, ["symbol", "open_time"], "left").select(
+        "symbol", "open_time", "close", *FEATURES, "actual_label"))
+
+
 @register("stream_scores")
 def stream_scores(spark, sf_dir):
     result, _ = _trained(spark, sf_dir, "holdout")
@@ -443,3 +575,15 @@ def stream_scores(spark, sf_dir):
     outs = spark.read.parquet(f"{tables}/outcomes")
     return lv.log_view(preds.select("symbol", "open_time", "close", "final_prob", "prediction", "seq"),
                        outs.select("symbol", "open_time", "actual_label", "seq"))
+
+
+@register("stream_scores_check", sql.q_stream_scores_check())
+def stream_scores_check(spark, sf_dir):
+    """Every live score equals the batch score of the same candle."""
+    result, _ = _trained(spark, sf_dir, "holdout")
+    tables = _run_live(spark, sf_dir, result.model)
+    live = lv.newest(spark.read.parquet(f"{tables}/predictions")).select("symbol", "open_time", "final_prob")
+    batch = st.score(result.model, cut_lineage(event_features(spark, sf_dir, label=False))).select(
+        "symbol", "open_time", "prob_up")
+    return live.join(batch, ["symbol", "open_time"], "full").select(
+        "symbol", "open_time", _near(F.col("final_prob"), F.col("prob_up")).alias("equal"))

@@ -264,6 +264,23 @@ def q_sample_symbols(f: float = 0.2) -> str:
             f"WHERE split_rank < floor(split_size * {f}::DOUBLE)")
 
 
+_DAILY = """
+daily AS (
+  SELECT CAST(l_partkey AS VARCHAR) AS symbol, epoch_ms(date_trunc('day', l_shipdate)) AS open_time,
+         CAST(count(*) AS BIGINT) AS number_of_trades
+  FROM lineitem GROUP BY 1, 2)"""
+
+
+def q_holdout_rows_by_symbol() -> str:
+    return (f"WITH {LINEITEM_SYMBOLS}, {_DAILY} SELECT symbol, open_time, number_of_trades, split "
+            f"FROM daily JOIN splits USING (symbol)")
+
+
+def q_sample_rows(f: float = 0.2) -> str:
+    return (f"WITH {LINEITEM_SYMBOLS}, {_DAILY} SELECT symbol, open_time, number_of_trades FROM daily "
+            f"WHERE symbol IN (SELECT symbol FROM splits WHERE split_rank < floor(split_size * {f}::DOUBLE))")
+
+
 def q_class_balance() -> str:
     return f"""{_fm()}, c AS (SELECT label, CAST(count(*) AS BIGINT) AS count FROM fm GROUP BY label)
 SELECT label, count, {rnd('count * 100.0::DOUBLE / sum(count) OVER ()', 'pct')} FROM c"""
@@ -338,9 +355,21 @@ def q_route_intervals() -> str:
 
 
 def q_latest_closed() -> str:
-    out = CANDLE_OUT.replace(rnd("volume"), rnd(
-        "CASE WHEN (open_time // 1800000) % 7 = 0 THEN volume + 1.0::DOUBLE ELSE volume END", "volume"))
-    return f"WITH {TRADES}, {candles_cte()} SELECT {out} FROM candles"
+    def out(step: int, interval: str, table: str) -> str:
+        cols = CANDLE_OUT.replace(rnd("volume"), rnd(
+            f"CASE WHEN (open_time // {step}) % 7 = 0 THEN volume + 1.0::DOUBLE ELSE volume END", "volume"))
+        return f"SELECT '{interval}' AS interval, {cols} FROM {table}"
+    return (f"WITH {TRADES}, {candles_cte()}, {candles_cte(1, 'minutes')} "
+            f"{out(1_800_000, '30m', 'candles')} UNION ALL {out(60_000, '1m', 'minutes')}")
+
+
+def q_parse_candle_records() -> str:
+    return f"""WITH {TRADES}, {candles_cte(1)}
+SELECT open_time, {rnd('open')}, {rnd('high')}, {rnd('low')}, {rnd('close')}, {rnd('volume')},
+       {rnd('volume', 'quote_asset_volume')}, CAST(number_of_trades AS INTEGER) AS number_of_trades,
+       0.0::DOUBLE AS taker_buy_base_asset_volume, {rnd('taker_buy_quote_asset_volume')}, symbol, '1m' AS interval,
+       strftime(make_timestamp((open_time + 65000) * 1000), '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS ingested_at
+FROM candles"""
 
 
 # ---- scores, signals, evaluation -------------------------------------------
@@ -504,3 +533,43 @@ def q_stream_features() -> str:
     ints = {f"number_of_trades_lag{k}" for k in (1, 2, 3)}
     cols = ["symbol", "open_time", rnd("close")] + [f if f in ints else rnd(f) for f in FEATURES]
     return f"{_feature_base()} SELECT {', '.join(cols)} FROM feats WHERE {complete_where()}"
+
+
+def q_stream_out_of_order() -> str:
+    out = "CAST(CASE WHEN next_close IS NOT NULL THEN label END AS INTEGER) AS actual_label"
+    return q_stream_features().replace(" FROM feats WHERE", f", {out} FROM feats WHERE")
+
+
+# ---- model queries: keys, folds, weights and consistency flags ------------------
+
+def _split() -> str:
+    return f"""{_fm()}, r AS (
+  SELECT *, row_number() OVER (ORDER BY open_time, symbol) - 1 AS rk, count(*) OVER () AS n FROM fm),
+train AS (SELECT symbol, open_time, close, label FROM r WHERE rk < floor(n * 0.8::DOUBLE)),
+test AS (SELECT symbol, open_time, close, label FROM r WHERE rk >= floor(n * 0.8::DOUBLE))"""
+
+
+def q_stack_oof_check(k: int = 3) -> str:
+    return f"""{_split()},
+c AS (SELECT label, count(*) AS m FROM train GROUP BY label), t AS (SELECT sum(m) AS total, count(*) AS classes FROM c),
+w AS (SELECT label, CASE WHEN classes = 2 THEN total / (2.0::DOUBLE * m) ELSE 1.0::DOUBLE END AS weight FROM c, t),
+f AS (SELECT *, CAST(ntile({k}) OVER (ORDER BY open_time, symbol) - 1 AS INTEGER) AS fold FROM train)
+SELECT symbol, open_time, label, {rnd('weight')}, fold, TRUE AS in_range FROM f JOIN w USING (label) WHERE fold > 0"""
+
+
+def q_stack_scores_check() -> str:
+    return f"{_split()} SELECT symbol, open_time, {rnd('close')}, label, TRUE AS consistent FROM test"
+
+
+def q_feature_importance_check() -> str:
+    names = ", ".join(f"('{f}')" for f in FEATURES)
+    return f"SELECT feature, TRUE AS ranked, TRUE AS sums_to_one FROM (VALUES {names}) AS t(feature)"
+
+
+def q_stack_evaluation_check() -> str:
+    names = ("accuracy", "f1", "up_recall", "down_recall", "auc", "calibration_error")
+    return "SELECT metric, TRUE AS equal FROM (VALUES " + ", ".join(f"('{m}')" for m in names) + ") AS t(metric)"
+
+
+def q_stream_scores_check() -> str:
+    return f"{_feature_base()} SELECT symbol, open_time, TRUE AS equal FROM feats WHERE {complete_where()}"

@@ -28,7 +28,7 @@ BASE = ("rf", "gbt", "lr")
 
 @dataclass
 class StackParams:
-    """Hyper-parameters; defaults are the original training values."""
+    """Hyper-parameters; defaults are the original training values (fixed values)."""
     rf: dict = field(default_factory=lambda: dict(numTrees=50, maxDepth=6, maxBins=24,
                                                   subsamplingRate=0.7, seed=42))
     gbt: dict = field(default_factory=lambda: dict(maxIter=50, maxDepth=5, stepSize=0.1,
@@ -37,6 +37,7 @@ class StackParams:
     meta: dict = field(default_factory=lambda: dict(maxIter=100, regParam=0.001))
     gbt_undersample: bool = True     # GBT on class-balanced rows instead of weights
     sample_seed: int = 42
+    partitions: int = 8              # of the training table; set it to the cluster's cores
 
 
 def assembler() -> VectorAssembler:

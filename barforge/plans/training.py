@@ -21,19 +21,11 @@ from barforge.schema import FEATURES
 from barforge.session import cut_lineage
 
 
-ROWS_PER_PARTITION = 500_000     # ~27 doubles a row: ~100-150 MB per partition
-
-
-def sized_for_training(cached: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Match the partition count to the data: MLlib runs many small jobs (one
-    per tree level or iteration), so needless tasks cost more than they give.
-
-    ``cached`` must already be persisted: it was computed at full parallelism,
-    and the coalesce only groups its cached blocks (narrow, no shuffle). Large
-    inputs keep their layout."""
-    n = cached.count()
-    want = max(1, -(-n // rows_per_partition))
-    return cached.coalesce(want) if cached.rdd.getNumPartitions() > want else cached
+def laid_out(features: DataFrame, partitions: int) -> DataFrame:
+    """The rows in an order that depends on their keys only: MLlib seeds its
+    bagging by partition and position, so the layout of the input must not
+    reach it. The number of partitions is a parameter, never taken from the data."""
+    return features.repartition(partitions, "symbol", "open_time").sortWithinPartitions("symbol", "open_time")
 
 
 @dataclass
@@ -57,12 +49,14 @@ def train_stack(features: DataFrame, k: int = 3, downscale: float = 1.0,
     if fold_weights not in ("global", "per_fold"):
         raise ValueError("fold_weights must be 'global' or 'per_fold'")
     params = params or st.StackParams()
-    base = features.select("symbol", "open_time", "label", *FEATURES).persist()
-    table0 = sized_for_training(base)
-    weights = class_weights(table0, downscale).collect()         # at most two rows
+    if k < 2:
+        raise ValueError("k must be at least 2: the first fold is never scored")
+    base = laid_out(features.select("symbol", "open_time", "label", *FEATURES), params.partitions).persist()
+    weights = class_weights(base, downscale).collect()         # at most two rows
     use_weights = len(weights) == 2
-    table = add_class_weights(table0, downscale) if use_weights else table0.withColumn("weight", F.lit(1.0))
-    table = walk_forward_folds(table, k, snap_to_time=snap_folds).persist()
+    # weights and folds are literals over the one cached table
+    table = add_class_weights(base, downscale) if use_weights else base.withColumn("weight", F.lit(1.0))
+    table = walk_forward_folds(table, k, snap_to_time=snap_folds)
     try:
         parts = []
         for f in range(1, k):
@@ -82,7 +76,6 @@ def train_stack(features: DataFrame, k: int = 3, downscale: float = 1.0,
         final = st.fit_base_models(table, params, use_weights)
         return StackResult(st.stacked_pipeline(final, meta), oof, final, use_weights)
     finally:
-        table.unpersist()
         base.unpersist()
 
 

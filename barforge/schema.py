@@ -35,7 +35,6 @@ VALID_INTERVALS = ("1m", "30m")
 # Columns of a candle (bar) table, keyed by (symbol, open_time).
 CANDLE_COLUMNS = ("symbol", "open_time", "open", "high", "low", "close", "volume",
                   "number_of_trades", "taker_buy_quote_asset_volume")
-CANDLE_VALUES = CANDLE_COLUMNS[2:]
 
 CANDLE_SCHEMA = T.StructType([
     T.StructField("symbol", T.StringType()),

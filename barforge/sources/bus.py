@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from barforge.operators.resample import last_n_candles
 from barforge.schema import CANDLE_COLUMNS, STREAM_RECORD_SCHEMA, WINDOW_SIZE
+from barforge.sources.raw import latest_closed
 
 
 def read_bus(spark: SparkSession, fmt: str = "kafka", options: dict | None = None,
@@ -60,10 +61,14 @@ def read_bootstrap_json(spark: SparkSession, path: str, array_file: bool = False
     return reader.json(path)
 
 
-def seed_feed(history: DataFrame, feed_path: str, n: int = WINDOW_SIZE) -> None:
+def seed_feed(history: DataFrame, feed_path: str, n: int = WINDOW_SIZE, interval: str = "30m") -> None:
     """Warm-up (STR-7): write the newest ``n`` closed candles of each symbol as
     the first part of the candle feed the live job reads, so the first live
     candle is scored at once (the group limit ships at most n rows per symbol
-    per task)."""
+    per task). History with arrival stamps is filtered and merged first
+    (``latest_closed``): an unclosed last candle is never seeded."""
+    if "ingested_at" in history.columns:
+        records = history if "interval" in history.columns else history.withColumn("interval", F.lit(interval))
+        history = latest_closed(records).filter(F.col("interval") == interval)
     seed = last_n_candles(history.select(*CANDLE_COLUMNS), n).drop("recency")
     seed.write.mode("append").parquet(feed_path)

@@ -29,21 +29,38 @@ def iso_now() -> Column:
     return F.date_format(F.convert_timezone(None, F.lit("UTC"), F.current_timestamp()), ISO_UTC)
 
 
-def _split(df: DataFrame, reason: Column, record_cols: list[Column], text: str):
-    tagged = df.withColumn("_reason", reason)
-    records = tagged.filter(F.col("_reason").isNull()).select(*record_cols)
-    rejects = tagged.filter(F.col("_reason").isNotNull()).select(
-        F.col(text).alias("raw"), F.col("_reason").alias("reason"))
-    return records, rejects
+def _once(df: DataFrame, keep: list[str], parsed: Column) -> DataFrame:
+    """``keep`` and the parsed value ``_j``, through a generator of one row: filters
+    are not pushed through it, so the text is parsed once."""
+    return df.select(*keep, F.explode(F.array(parsed)).alias("_j"))
+
+
+def _tagged(df: DataFrame, reason: Column, record_cols: list[Column], text: str) -> DataFrame:
+    """Every message once: ``raw``, ``reason`` (NULL for a good one) and ``record``."""
+    return df.select(F.col(text).alias("raw"), F.inline(F.array(F.struct(
+        reason.alias("reason"), F.struct(*record_cols).alias("record")))))
+
+
+def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(records, rejects)`` of a tagged table. To keep both at the cost of one
+    parse, store the tagged table first and split what was stored."""
+    return (tagged.filter(F.col("reason").isNull()).select("record.*"),
+            tagged.filter(F.col("reason").isNotNull()).select("raw", "reason"))
 
 
 def parse_candle_records(df: DataFrame, text: str = "value"):
     """Bus value (bytes or text) -> the flat 13-field candle record (SRC-7)."""
-    parsed = df.select(F.col(text).cast("string").alias(text)).withColumn(
-        "_j", F.from_json(F.col(text), _with_corrupt(STREAM_RECORD_SCHEMA), _JSON_OPTS))
-    reason = F.when(F.col(f"_j.{CORRUPT}").isNotNull(), F.lit("malformed"))
+    return split_tagged(tag_candle_records(df, text))
+
+
+def tag_candle_records(df: DataFrame, text: str = "value") -> DataFrame:
+    """Rejected: text that is not JSON, a record without symbol or open_time."""
+    parsed = _once(df.select(F.col(text).cast("string").alias(text)), [text],
+                   F.from_json(F.col(text), _with_corrupt(STREAM_RECORD_SCHEMA), _JSON_OPTS))
+    reason = (F.when(F.col("_j").isNull() | F.col(f"_j.{CORRUPT}").isNotNull(), F.lit("malformed"))
+              .when(F.col("_j.symbol").isNull() | F.col("_j.open_time").isNull(), F.lit("no_key")))
     cols = [F.col(f"_j.{f.name}").alias(f.name) for f in STREAM_RECORD_SCHEMA.fields]
-    return _split(parsed, reason, cols, text)
+    return _tagged(parsed, reason, cols, text)
 
 
 def parse_exchange_events(df: DataFrame, text: str = "value", symbols: list[str] | None = None,
@@ -55,8 +72,14 @@ def parse_exchange_events(df: DataFrame, text: str = "value", symbols: list[str]
     or non-numeric field, an interval other than 1m / 30m, and (when
     ``symbols`` is given) other symbols. Symbols are upper-cased.
     """
-    parsed = df.select(F.col(text).cast("string").alias(text)).withColumn(
-        "_j", F.from_json(F.col(text), _with_corrupt(EXCHANGE_EVENT_SCHEMA), _JSON_OPTS))
+    return split_tagged(tag_exchange_events(df, text, symbols, ingested_at))
+
+
+def tag_exchange_events(df: DataFrame, text: str = "value", symbols: list[str] | None = None,
+                        ingested_at: Column | None = None) -> DataFrame:
+    """The events once each, with their reject reason (see ``parse_exchange_events``)."""
+    parsed = _once(df.select(F.col(text).cast("string").alias(text)), [text],
+                   F.from_json(F.col(text), _with_corrupt(EXCHANGE_EVENT_SCHEMA), _JSON_OPTS))
     body = F.when(F.col("_j.data").isNotNull(), F.struct(
         F.col("_j.data.s").alias("s"), F.col("_j.data.k").cast(KLINE_NAMED).alias("k"))).otherwise(
         F.struct(F.col("_j.s").alias("s"), F.col("_j.k").cast(KLINE_NAMED).alias("k")))
@@ -90,7 +113,7 @@ def parse_exchange_events(df: DataFrame, text: str = "value", symbols: list[str]
             nums["taker_buy_quote_asset_volume"].alias("taker_buy_quote_asset_volume"),
             symbol.alias("symbol"), F.col(f"{k}.i").alias("interval"),
             (ingested_at if ingested_at is not None else iso_now()).alias("ingested_at")]
-    return _split(p, reason, cols, text)
+    return _tagged(p, reason, cols, text)
 
 
 # Positions in a REST kline array (0-based): fixed by the exchange format.
@@ -106,11 +129,9 @@ def parse_kline_arrays(df: DataFrame, text: str = "response", symbol: str = "sym
     One output row per inner array; a short array or a non-numeric value
     rejects that row only.
     """
-    rows = (df.select(F.col(text).alias("_text"), F.col(symbol).alias("_sym"),
-                      F.col(interval).alias("_int"),
-                      F.from_json(F.col(text), KLINE_ARRAY_SCHEMA).alias("_arr"))
-            .withColumn("_bad_json", F.col("_arr").isNull())
-            .withColumn("_k", F.explode_outer("_arr")))
+    rows = _once(df.select(F.col(text).alias("_text"), F.col(symbol).alias("_sym"), F.col(interval).alias("_int")),
+                 ["_text", "_sym", "_int"], F.from_json(F.col("_text"), KLINE_ARRAY_SCHEMA))
+    rows = rows.withColumn("_bad_json", F.col("_j").isNull()).withColumn("_k", F.explode_outer("_j"))
 
     def at(name: str, to: str) -> Column:
         return F.try_element_at(F.col("_k"), F.lit(KLINE_POSITIONS[name] + 1)).try_cast(to)
@@ -131,7 +152,7 @@ def parse_kline_arrays(df: DataFrame, text: str = "response", symbol: str = "sym
             F.col("_sym").alias("symbol"), F.col("_int").alias("interval"),
             (ingested_at if ingested_at is not None else iso_now()).alias("ingested_at")]
     rows = rows.withColumn("_raw", F.coalesce(F.to_json("_k"), F.col("_text")))
-    return _split(rows, reason, cols, "_raw")
+    return split_tagged(_tagged(rows, reason, cols, "_raw"))
 
 
 def route_intervals(records: DataFrame, candle_minutes: int = 30) -> DataFrame:
@@ -148,24 +169,36 @@ def route_intervals(records: DataFrame, candle_minutes: int = 30) -> DataFrame:
     return native.unionByName(built)
 
 
+def split_closed(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(closed, rejects)``: records whose bar had ended when it was stamped
+    (open_time + interval <= ingested_at; records carry no closed flag), and the
+    others with a reason. A NULL interval is 1m, as in ``route_intervals``."""
+    interval = F.coalesce(F.col("interval"), F.lit("1m"))
+    step = F.coalesce(*[F.when(interval == i, F.lit(interval_ms(i))) for i in VALID_INTERVALS])
+    stamp = F.unix_micros(F.to_timestamp("ingested_at")) / F.lit(1000)
+    reason = (F.when(F.col("symbol").isNull() | F.col("open_time").isNull(), "no_key")
+              .when(step.isNull(), "bad_interval").when(stamp.isNull(), "no_stamp")
+              .when(F.col("open_time") + step > stamp, "not_closed"))
+    tagged = records.withColumn("interval", interval).withColumn("reason", reason)
+    return (tagged.filter(F.col("reason").isNull()).drop("reason"), tagged.filter(F.col("reason").isNotNull()))
+
+
 def closed_only(records: DataFrame) -> DataFrame:
-    """Keep records whose bar had ended when it was stamped:
-    open_time + interval <= ingested_at (records carry no closed flag)."""
-    step = F.coalesce(*[F.when(F.col("interval") == i, F.lit(interval_ms(i))) for i in VALID_INTERVALS])
-    ingested_ms = F.unix_micros(F.to_timestamp("ingested_at")) / F.lit(1000)
-    return records.filter(F.col("open_time") + step <= ingested_ms)
+    """The closed records alone (see ``split_closed``)."""
+    return split_closed(records)[0]
 
 
 def latest_closed(records: DataFrame) -> DataFrame:
-    """Closed records, newest version per (symbol, open_time) by arrival (D3)."""
+    """Closed records, newest version per (symbol, interval, open_time) by arrival (D3)."""
     closed = closed_only(records).withColumn(
         "_v", F.unix_micros(F.to_timestamp("ingested_at")))
     values = ["open", "high", "low", "close", "volume", "number_of_trades",
               "taker_buy_quote_asset_volume"]
-    out = latest_per_key(closed, ["symbol", "open_time"], "_v", values)
-    return out.select("symbol", "open_time", *values).withColumn(
+    out = latest_per_key(closed, ["symbol", "interval", "open_time"], "_v", values)
+    return out.select("symbol", "interval", "open_time", *values).withColumn(
         "number_of_trades", F.col("number_of_trades").cast("long"))
 
 
-__all__ = ["parse_candle_records", "parse_exchange_events", "parse_kline_arrays",
-           "route_intervals", "closed_only", "latest_closed", "epoch_micros"]
+__all__ = ["parse_candle_records", "parse_exchange_events", "parse_kline_arrays", "tag_candle_records",
+           "tag_exchange_events", "split_tagged", "route_intervals", "split_closed", "closed_only",
+           "latest_closed", "epoch_micros"]

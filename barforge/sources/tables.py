@@ -69,12 +69,3 @@ def lineitem_trades(lineitem: DataFrame) -> DataFrame:
     order = day * F.lit(1 << 43) + F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber") % 8
     return lineitem.select(*_trade_bars(F.col("l_partkey").cast("string"), F.col("l_shipdate"),
                                         price, taker, order))
-
-
-def order_trades(orders: DataFrame) -> DataFrame:
-    price = F.col("o_totalprice")
-    taker = F.when(F.col("o_custkey") % 2 == 0, price).otherwise(F.lit(0.0))
-    day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
-    order = day * F.lit(1 << 43) + F.col("o_orderkey")
-    return orders.select(*_trade_bars(F.col("o_orderpriority"), F.col("o_orderdate"),
-                                      price, taker, order))

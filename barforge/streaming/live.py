@@ -1,66 +1,106 @@
-"""Live scoring: candle stream -> window state -> features -> stacked score.
-
-    records ──route/closed──► candle table (append) ──readStream──► live_windows
-        ──► window_features ──► score (PipelineModel) ──► live table (append)
-
-One sink table holds predictions and, on later rows, the outcome of the
-previous candle; ``predictions`` / ``outcomes`` / the prediction log are
-views over it (append only, never rewritten). Checkpoints live in the shared
-folder, so a restart resumes offsets and every symbol's window (D5).
+"""Live scoring: candle stream -> tail and batch -> features -> stacked score.
+
+    records ──route/closed──► candle table (append) ──readStream──► micro-batch
+        ──► (stored tail ∪ batch) ──► add_features ──► score ──► tables (append)
+
+Every micro-batch joins the last ``TAIL`` candles of each symbol, kept as a small
+table in the query's folder, with the arriving ones and runs the batch
+operators on both: the same ``add_features`` and the same label rule. A candle
+that is new, late, out of order or corrected changes every row from its place
+on, and exactly those are written again with a higher ``seq`` (the batch id);
+``predictions`` / ``outcomes`` / the prediction log are views that take the
+newest. Of two versions of one candle the later ``ingested_at`` wins, of equal
+stamps the one that arrived last, of equal ones in a batch the larger values.
+
+A candle so old that its place or its lookback has left the tail goes to the
+``late`` table with all its values; nothing is dropped. The tail of batch n is
+written to slot ``n % 3`` and read from slot ``(n - 1) % 3``, so a batch replayed
+after a failure reads and writes the same files.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from barforge.functions.features import (array_accessor, column_accessor, column_formulas,
-                                         complete_row, lags_used)
+from barforge.operators.features import add_features, next_candle_label
 from barforge.operators.outcomes import prediction_log
 from barforge.plans import stack as st
-from barforge.schema import FEATURES
-from barforge.streaming.window_state import VALUES, live_windows
-
-
-def window_lags(windows: DataFrame) -> DataFrame:
-    """One column per (value, k) the formulas read, from the newest candle of
-    each emitted window (``_x_close_0`` = current close, ``_x_close_3`` = three
-    candles back; NULL where the window is shorter)."""
-    full = windows.filter(F.col("kind").isin("window", "update"))
-    arr = array_accessor("w_")
-    needed = dict.fromkeys([(v, 0) for v in VALUES] + lags_used())
-    return full.select("symbol", "open_time", "kind", "seq",
-                       *[arr(n, k).alias(f"_x_{n}_{k}") for n, k in needed])
-
-
-def features_from_lags(lags: DataFrame) -> DataFrame:
-    """The shared formulas over the lag columns; rows failing the NULL/NaN
-    test are dropped (same rule as batch)."""
-    L = column_accessor("_x_")
-    feats = column_formulas("_x_")
-    current = {v: L(v, 0) for v in VALUES}
-    wide = lags.select("symbol", "open_time", "kind", "seq",
-                       *[c.alias(v) for v, c in current.items()],
-                       *[c.alias(n) for n, c in feats.items()])
-    checked = list(current) + list(feats)
-    doubles = {c for c in checked if not c.startswith("number_of_trades")}
-    return (wide.filter(complete_row(checked, doubles))
-            .select("symbol", "open_time", "kind", "seq", "close", *FEATURES))
-
-
-def window_features(windows: DataFrame) -> DataFrame:
-    """Features of the newest candle of each emitted window (same formulas as
-    batch, read from the arrays)."""
-    return features_from_lags(window_lags(windows))
-
-
-def window_outcomes(windows: DataFrame) -> DataFrame:
-    """Outcome of each candle, known when the next one arrives."""
-    return windows.filter(F.col("outcome_open_time").isNotNull()).select(
-        "symbol", F.col("outcome_open_time").alias("open_time"),
-        F.col("outcome_label").alias("actual_label"), "seq")
+from barforge.schema import CANDLE_COLUMNS, FEATURES, LOOKBACK, WINDOW_SIZE
+
+VALUES = CANDLE_COLUMNS[2:]
+KEY = ["symbol", "open_time"]
+TAIL = 2 * WINDOW_SIZE
+
+
+def versioned(candles: DataFrame) -> DataFrame:
+    """Candle columns and ``version``, the arrival stamp in microseconds (0 without one)."""
+    stamp = (F.coalesce(F.unix_micros(F.to_timestamp("ingested_at")), F.lit(0)) if "ingested_at" in candles.columns
+             else F.lit(0)).cast("long")
+    return candles.select(*[F.col(c).cast("long").alias(c) if c == "number_of_trades" else F.col(c)
+                            for c in CANDLE_COLUMNS], stamp.alias("version"))
+
+
+def merge(batch: DataFrame, tail: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(candles, late): tail and batch with one version a candle, flags ``changed``
+    and ``known`` and the symbol's ``floor`` (the oldest candle kept, once any was
+    let go); and the arrivals below the floor."""
+    new = versioned(batch).withColumn("fresh", F.lit(1))
+    if tail is None:
+        rows, late = new.withColumn("floor", F.lit(None).cast("long")), new.limit(0)
+    else:
+        floors = tail.groupBy("symbol").agg(F.max("floor").alias("floor"))
+        placed = new.join(floors, "symbol", "left")
+        below = F.coalesce(F.col("open_time") < F.col("floor"), F.lit(False))
+        late = placed.filter(below)
+        rows = placed.filter(~below).unionByName(tail.withColumn("fresh", F.lit(0)))
+    values = F.struct(*VALUES)
+    best = rows.groupBy(*KEY).agg(
+        F.max(F.struct("version", "fresh", *VALUES)).alias("w"),
+        F.max(F.when(F.col("fresh") == 0, values)).alias("old"), F.max("floor").alias("floor"))
+    now = F.struct(*[F.col(f"w.{v}").alias(v) for v in VALUES])
+    return best.select(*KEY, *[F.col(f"w.{v}").alias(v) for v in VALUES], F.col("w.version").alias("version"),
+                       F.col("old").isNotNull().alias("known"),
+                       ((F.col("w.fresh") == 1) & ~now.eqNullSafe(F.col("old"))).alias("changed"), "floor"), late
+
+
+def affected(candles: DataFrame) -> DataFrame:
+    """``candles`` with their place among the symbol's, the next candle, and whether
+    a change lies at or before them (``moved``) or at the next one (``answered``)."""
+    w = Window.partitionBy("symbol").orderBy("open_time")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = F.min(F.when(F.col("changed"), F.col("open_time"))).over(whole)
+    out = candles.select("*", first.alias("_first"), F.lead("open_time").over(w).alias("_next_time"),
+                         F.lead("close").over(w).alias("_next_close"), F.row_number().over(w).alias("_place"),
+                         F.count(F.lit(1)).over(whole).alias("_count"), F.max("floor").over(whole).alias("_floor"))
+    return out.select("*", F.coalesce(F.col("open_time") >= F.col("_first"), F.lit(False)).alias("moved"),
+                      F.coalesce(F.col("_next_time") >= F.col("_first"), F.lit(False)).alias("answered"))
+
+
+def outcomes_of(rows: DataFrame) -> DataFrame:
+    """Outcome of each candle whose next one is known and new, or moved."""
+    return rows.filter("answered").select(*KEY, next_candle_label(F.col("close"), F.col("_next_close")).alias("actual_label"))
+
+
+def features_of(rows: DataFrame) -> DataFrame:
+    """Features of every moved candle with a full lookback, by the batch operator."""
+    feats = add_features(rows, label=False).select(*KEY, "close", *FEATURES)
+    kinds = rows.filter("moved").select(*KEY, F.when(F.col("known"), "update").otherwise("window").alias("kind"))
+    return feats.join(kinds, KEY).select(*KEY, "kind", "close", *FEATURES)
+
+
+def without_lookback(rows: DataFrame) -> DataFrame:
+    """Moved candles whose lookback has left the tail: they cannot be scored again."""
+    return rows.filter(F.col("moved") & F.col("_floor").isNotNull() & (F.col("_place") <= LOOKBACK))
+
+
+def tail_of(rows: DataFrame, size: int) -> DataFrame:
+    kept = F.col("_place") > F.col("_count") - size
+    cut = F.when((F.col("_count") > size) | F.col("_floor").isNotNull(), F.min(F.when(kept, F.col("open_time"))).over(
+        Window.partitionBy("symbol")))
+    return rows.withColumn("_cut", cut).filter(kept).select(*KEY, *VALUES, "version", F.col("_cut").alias("floor"))
 
 
 def _started(writer, spark, state_partitions: int | None) -> StreamingQuery:
@@ -81,34 +121,36 @@ def _started(writer, spark, state_partitions: int | None) -> StreamingQuery:
 
 def start_live(candles: DataFrame, root: str, checkpoint: str, model: PipelineModel | None = None,
                trigger: dict | None = None, name: str | None = None,
-               state_partitions: int | None = None) -> StreamingQuery:
-    """Run the live job: window state -> features -> score, writing two
-    append-only tables under ``root`` (SNK-1, SNK-2, STR-4..6).
-
-    ``predictions`` (features and, with a model, final_prob / prediction) and
-    ``outcomes`` are written per micro-batch into ``batch=<id>`` folders with
-    overwrite, so a batch replayed after a failure rewrites the same files.
-    """
-    windows = live_windows(candles)
+               state_partitions: int | None = None, tail: int = TAIL) -> StreamingQuery:
+    """Run the live job, writing append-only tables under ``root`` (SNK-1, SNK-2,
+    STR-4..6, STR-8): ``predictions`` (features and, with a model, final_prob /
+    prediction), ``outcomes`` and ``late``, each batch in its ``batch=<id>``
+    folder with overwrite. ``tail`` candles of each symbol are carried over.
+    The source's rate limit bounds a micro-batch."""
+    if tail < WINDOW_SIZE:
+        raise ValueError("the tail must hold a whole window")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        # the batch's lag columns and features are materialised once (a
-        # micro-batch is bounded by the source rate limit): the formulas then
-        # compile over plain columns, and scoring plans over a flat relation
-        lags = window_lags(batch).persist()
-        feats = features_from_lags(lags).persist()
+        spark = batch.sparkSession
+        kept = spark.read.parquet(f"{root}/tail/slot={(batch_id - 1) % 3}") if batch_id else None
+        merged, late = merge(batch, kept)
+        rows = affected(merged).persist()
+        feats = features_of(rows).persist()
         try:
-            rows = (st.score(model, feats, keep=("close", "kind", "seq"))
-                    .withColumnRenamed("prob_up", "final_prob") if model is not None else feats)
-            rows.write.mode("overwrite").parquet(f"{root}/predictions/batch={batch_id}")
-            window_outcomes(batch).write.mode("overwrite").parquet(f"{root}/outcomes/batch={batch_id}")
+            # scored from the stored rows: the formulas are not planned again
+            out = (st.score(model, feats, keep=("close", "kind")).withColumnRenamed("prob_up", "final_prob")
+                   if model is not None else feats)
+            seq = F.lit(batch_id).cast("long").alias("seq")
+            for table, df in (("predictions", out), ("outcomes", outcomes_of(rows)),
+                              ("late", late.select(*KEY, *VALUES, "version").unionByName(
+                                  without_lookback(rows).select(*KEY, *VALUES, "version")))):
+                df.select("*", seq).write.mode("overwrite").parquet(f"{root}/{table}/batch={batch_id}")
+            tail_of(rows, tail).write.mode("overwrite").parquet(f"{root}/tail/slot={batch_id % 3}")
         finally:
             feats.unpersist()
-            lags.unpersist()
-            batch.unpersist()
+            rows.unpersist()
 
-    w = (windows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    w = (candles.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
          .trigger(**(trigger or {"processingTime": "10 seconds"})))
     if name:
         w = w.queryName(name)
@@ -126,11 +168,14 @@ def start(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
     return _started(w, df.sparkSession, state_partitions)
 
 
+def newest(table: DataFrame) -> DataFrame:
+    """The newest version of every key (one row a key and batch)."""
+    rest = [c for c in table.columns if c not in (*KEY, "seq", "batch")]
+    best = table.groupBy(*KEY).agg(F.max_by(F.struct(*rest), "seq").alias("v"))
+    return best.select(*KEY, *[F.col(f"v.{c}").alias(c) for c in rest])
+
+
 def log_view(predictions: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Prediction log over the append-only tables; the newest version per key
-    wins when a candle was re-sent (``seq`` orders versions of a symbol)."""
-    predictions = predictions.groupBy("symbol", "open_time").agg(
-        *[F.max_by(c, "seq").alias(c) for c in ("close", "final_prob", "prediction")])
-    latest = outcomes.groupBy("symbol", "open_time").agg(
-        F.max_by("actual_label", "seq").alias("actual_label"))
-    return prediction_log(predictions, latest)
+    """Prediction log over the append-only tables; the newest version per key wins."""
+    return prediction_log(newest(predictions.select(*KEY, "close", "final_prob", "prediction", "seq")),
+                          newest(outcomes.select(*KEY, "actual_label", "seq")))

@@ -1,4 +1,4 @@
-"""Replay stored tables as raw bus traffic, for backtests and ingest checks.
+"""Stored tables as raw bus messages, input for the ingest queries and tests.
 
 Each ``events`` row becomes one exchange kline message (a one-trade 1-minute
 candle, or a 30-minute one for a share of rows), in the exchange's nested
@@ -81,9 +81,10 @@ def kline_responses(events: DataFrame, rows_per_response: int = 100) -> DataFram
 
 
 def candle_versions(candles: DataFrame, interval: str = "30m") -> DataFrame:
-    """Re-send every candle as the bus would: an unclosed snapshot 10 minutes
-    in (close off by 0.1%), the closed candle 5 s after its end, and for every
-    seventh bucket a correction 15 minutes later (volume + 1)."""
+    """Re-send every candle as the bus would: an unclosed snapshot a third
+    of the bar in (close off by 0.1%), the closed candle 5 s after its end, and for every
+    seventh bucket a correction 15 minutes later (volume + 1), for every
+    eleventh one more copy with the closed candle's stamp (volume - 1)."""
     step_ms = 1_800_000 if interval == "30m" else 60_000
 
     def iso(ms: Column) -> Column:
@@ -92,12 +93,14 @@ def candle_versions(candles: DataFrame, interval: str = "30m") -> DataFrame:
     base = candles.select("symbol", "open_time", "open", "high", "low", "close", "volume",
                           "number_of_trades", "taker_buy_quote_asset_volume")
     snap = base.withColumn("close", F.col("close") * F.lit(0.999)).withColumn(
-        "ingested_at", iso(F.col("open_time") + F.lit(600_000)))
+        "ingested_at", iso(F.col("open_time") + F.lit(step_ms // 3)))
     closed = base.withColumn("ingested_at", iso(F.col("open_time") + F.lit(step_ms + 5_000)))
     fix = (base.filter((F.col("open_time") / F.lit(step_ms)).cast("long") % 7 == 0)
            .withColumn("volume", F.col("volume") + F.lit(1.0))
            .withColumn("ingested_at", iso(F.col("open_time") + F.lit(step_ms + 900_000))))
-    return (snap.unionByName(closed).unionByName(fix)
+    same = (closed.filter((F.col("open_time") / F.lit(step_ms)).cast("long") % 11 == 0)
+            .withColumn("volume", F.col("volume") - F.lit(1.0)))
+    return (snap.unionByName(closed).unionByName(fix).unionByName(same)
             .withColumn("interval", F.lit(interval)))
 
 

@@ -97,6 +97,36 @@ def test_latest_closed_keeps_newest_version(spark):
     assert len(out) == 1 and out[0]["close"] == 1.3
 
 
+def test_merge_keeps_intervals_apart_and_rejects_with_a_reason(spark):
+    from barforge.schema import STREAM_RECORD_SCHEMA
+    base = dict(open_time=0, open=1.0, high=2.0, low=0.5, close=1.5, volume=3.0, quote_asset_volume=4.0,
+                number_of_trades=5, taker_buy_base_asset_volume=1.0, taker_buy_quote_asset_volume=2.0,
+                symbol="X", interval="30m", ingested_at="1970-01-01T01:00:00.000000+00:00")
+    rows = [base, dict(base, interval="1m", close=1.1), dict(base, interval=None, close=1.05),
+            dict(base, close=0.9, volume=9.0), dict(base, interval="5m"), dict(base, symbol=None), dict(base, open_time=None),
+            dict(base, ingested_at=None), dict(base, open_time=1_800_000 * 5)]
+    df = spark.createDataFrame(rows, STREAM_RECORD_SCHEMA)
+    out = {r["interval"]: (r["close"], r["volume"]) for r in raw.latest_closed(df).collect()}
+    # equal stamps: one whole version, the one with the larger values
+    assert out == {"30m": (1.5, 3.0), "1m": (1.1, 3.0)}
+    kept, rejects = raw.split_closed(df)
+    assert kept.count() + rejects.count() == len(rows)
+    assert sorted(r["reason"] for r in rejects.collect()) == ["bad_interval", "no_key", "no_key", "no_stamp", "not_closed"]
+
+
+def test_events_are_parsed_once(spark):
+    from event_fixtures import exchange_messages
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    messages = exchange_messages(events)
+    tagged = raw.tag_exchange_events(messages)
+    for df in (tagged, *raw.split_tagged(tagged)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1, plan.count("from_json")
+    good, bad = raw.split_tagged(tagged)
+    assert good.count() + bad.count() == events.count()
+    assert raw.parse_candle_records(spark.createDataFrame([('{"open_time": 1}',), ("x",)], "value string"))[1].count() == 2
+
+
 def test_route_default_interval(spark):
     from barforge.schema import STREAM_RECORD_SCHEMA
     base = dict(open=1.0, high=2.0, low=0.5, close=1.5, volume=3.0, quote_asset_volume=4.0,
@@ -140,3 +170,16 @@ def test_seed_feed_keeps_last_window(spark, tmp_path):
     seeded = spark.read.parquet(str(tmp_path / "feed"))
     per = seeded.groupBy("symbol").count().collect()
     assert per and all(r["count"] == 21 for r in per)
+
+
+def test_seed_feed_leaves_the_unclosed_candle_out(spark, tmp_path):
+    from event_fixtures import candle_records
+    from barforge.plans.catalog import event_candles
+    from barforge.sources import bus
+    from tests.conftest import SMALL
+    candles = event_candles(spark, SMALL)
+    records = candle_records(candles, "30m")
+    newest = records.agg(F.max("open_time")).first()[0]
+    early = records.withColumn("ingested_at", F.when(F.col("open_time") == newest, F.lit("1970-01-01T00:00:00.000000+00:00")).otherwise(F.col("ingested_at")))
+    bus.seed_feed(early, str(tmp_path / "feed"), 21)
+    assert spark.read.parquet(str(tmp_path / "feed")).where(F.col("open_time") == newest).count() == 0

@@ -148,11 +148,10 @@ def test_out_of_order_while_filling(spark):
     _run(spark, f"{root}/feed", root)
     _c(spark, [("B", 22, 51.0)]).coalesce(1).write.parquet(f"{root}/feed/part=0002")
     _run(spark, f"{root}/feed", root)
-    preds = spark.read.parquet(f"{root}/tables/predictions").filter(F.col("kind") == "window")
+    preds = lv.newest(spark.read.parquet(f"{root}/tables/predictions"))
     got = preds.select("symbol", "open_time", "close", *FEATURES).collect()
-    # only windows that end at the newest candle are scored: rows 21 and 22
-    want = add_features(_c(spark, rows + [("B", 22, 51.0)]), label=False).filter(
-        F.col("open_time") >= 21 * 1_800_000).select("symbol", "open_time", "close", *FEATURES).collect()
+    # every candle is scored once its lookback is complete, whatever the order of arrival: 20, 21 and 22
+    want = add_features(_c(spark, rows + [("B", 22, 51.0)]), label=False).select("symbol", "open_time", "close", *FEATURES).collect()
     assert sorted(tuple(r) for r in got) == sorted(tuple(r) for r in want)
 
 
@@ -194,3 +193,45 @@ def test_resent_middle_candle_updates_both_outcomes(spark):
     latest = {r["open_time"] // 1_800_000: r["a"] for r in
               outs.groupBy("open_time").agg(F.max_by("actual_label", "seq").alias("a")).collect()}
     assert latest[21] == 1 and latest[22] == 0 and latest[23] == 1
+
+
+def test_a_candle_that_comes_late_between_two_others_moves_what_follows(spark):
+    root = scratch_path(spark, "t-between")
+    rows = [("L", t, 20.0 + math.sin(t)) for t in range(45)]
+    missing = rows[33]
+    feed = f"{root}/feed"
+    _c(spark, [r for r in rows if r != missing]).coalesce(1).write.parquet(f"{feed}/part=0000")
+    _run(spark, feed, root)
+    _c(spark, [missing]).coalesce(1).write.parquet(f"{feed}/part=0001")
+    _run(spark, feed, root)
+    got = lv.newest(spark.read.parquet(f"{root}/tables/predictions")).select("symbol", "open_time", "close", *FEATURES)
+    want = add_features(_c(spark, rows), label=False).select("symbol", "open_time", "close", *FEATURES)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    outs = {r["open_time"] // 1_800_000: r["actual_label"] for r in lv.newest(spark.read.parquet(f"{root}/tables/outcomes")).collect()}
+    assert outs == {t: int(b[2] > a[2]) for t, (a, b) in enumerate(zip(rows, rows[1:]))}
+    # far older than the tail: kept, with its values, in the late table
+    _c(spark, [("L", 1, 77.0)]).coalesce(1).write.parquet(f"{feed}/part=0002")
+    _run(spark, feed, root)
+    late = spark.read.parquet(f"{root}/tables/late").collect()
+    assert [(r["open_time"], r["close"]) for r in late if r["close"] == 77.0] == [(1_800_000, 77.0)]
+
+
+def test_training_does_not_depend_on_the_layout(spark):
+    feats = event_features(spark, SMALL, tail="drop").persist()
+    params = st.StackParams(rf=dict(numTrees=5, maxDepth=4, seed=42, subsamplingRate=0.7), gbt=dict(maxIter=3, maxDepth=2, seed=42),
+                            lr=dict(maxIter=10, regParam=0.01), meta=dict(maxIter=10, regParam=0.001))
+    seen = []
+    for n in (1, 4, 32):
+        r = tr.train_stack(feats.repartition(n), k=2, params=params)
+        probs = sorted((x["symbol"], x["open_time"], round(x["rf_prob"], 9), round(x["gbt_prob"], 9), round(x["lr_prob"], 9))
+                       for x in r.oof.collect())
+        seen.append(([round(v, 9) for v in r.base["rf"].featureImportances.toArray()], probs))
+    feats.unpersist()
+    assert seen[0] == seen[1] == seen[2]
+
+
+def test_feature_filter_holds_no_formula(spark):
+    plan = event_features(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    for line in plan.splitlines():
+        if line.strip(" +-:").startswith("Filter"):
+            assert "/" not in line.split("Filter", 1)[1].split("[plan")[0].replace("//", ""), line[:300]
