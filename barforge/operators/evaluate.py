@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-AUC_BUCKETS = 4096
+from barforge.session import cut_lineage
 
 
 def _count_if(cond: Column) -> Column:
@@ -66,24 +66,20 @@ def accuracy_f1(df: DataFrame) -> DataFrame:
         F.col("n").alias("count"))
 
 
-def auc_exact(df: DataFrame, score: str = "prob_up", buckets: int = AUC_BUCKETS) -> DataFrame:
+def auc_exact(df: DataFrame, score: str = "prob_up") -> DataFrame:
     """Exact area under the ROC curve, ties counted half (AGG-9).
 
     AUC = sum over positives of (#negatives scored lower + #tied / 2) / (P N).
-    Scores are first reduced to (score, pos, neg); the running count of
-    negatives is built in two levels so no step sees all scores in one task:
-    per-bucket totals (at most ``buckets`` + 1 rows, broadcast) give each
-    bucket's offset, and a window inside each bucket adds the rest.
+    Scores are first reduced to (score, pos, neg). These rows are range
+    partitioned by score, as evenly as they lie and whatever outliers there are,
+    and frozen by a reliable checkpoint; totals per range (a row a partition,
+    broadcast) give each range's offset, and a window inside each range adds the rest.
     """
     per = df.groupBy(F.col(score).alias("s")).agg(
         F.sum(F.col("label").cast("long")).alias("pos"),
         F.sum((1 - F.col("label")).cast("long")).alias("neg"))
-    lo, hi = per.agg(F.min("s"), F.max("s")).first()      # one row
-    lo, hi = (lo or 0.0), (hi or 0.0)
-    width = (hi - lo) or 1.0
-    b = F.least(F.floor((F.col("s") - F.lit(lo)) / F.lit(width) * F.lit(buckets)),
-                F.lit(buckets)).cast("long")
-    per = per.withColumn("b", b)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per = cut_lineage(per.repartitionByRange(n, "s").withColumn("b", F.spark_partition_id()))
     totals = per.groupBy("b").agg(F.sum("neg").alias("bneg"))
     wb = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("before", F.coalesce(F.sum("bneg").over(wb), F.lit(0))).drop("bneg")
@@ -156,16 +152,10 @@ def confident_subset(df: DataFrame, thresholds=(0.6, 0.7), prob: str = "prob_up"
     for i, t in enumerate(thresholds):
         inside = (p >= F.lit(t)) | (p <= F.lit(1.0 - t))
         aggs += [_count_if(inside).alias(f"n{i}"), _count_if(inside & hit).alias(f"c{i}")]
-    row = df.agg(*aggs)
-    parts = []
-    for i, t in enumerate(thresholds):
-        n, c, total = F.col(f"n{i}"), F.col(f"c{i}"), F.col("total")
-        parts.append(row.select(
-            F.lit(t).alias("threshold"), n.alias("count"),
-            F.when(total > 0, n * F.lit(100.0) / total).otherwise(F.lit(0.0)).alias("pct_of_total"),
-            F.when(n > 0, c / n).alias("accuracy"),
-            F.when(total > 0, F.col("correct") / total).alias("overall_accuracy")))
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    return out
+    n, c, total = (lambda i: F.col(f"n{i}")), (lambda i: F.col(f"c{i}")), F.col("total")
+    return df.agg(*aggs).select(F.inline(F.array(*[F.struct(
+        F.lit(t).alias("threshold"), n(i).alias("count"),
+        F.when(total > 0, n(i) * F.lit(100.0) / total).otherwise(F.lit(0.0)).alias("pct_of_total"),
+        F.when(n(i) > 0, c(i) / n(i)).alias("accuracy"),
+        F.when(total > 0, F.col("correct") / total).alias("overall_accuracy"))
+        for i, t in enumerate(thresholds)])))

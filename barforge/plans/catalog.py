@@ -30,6 +30,7 @@ from barforge.session import cut_lineage, scratch_path
 from barforge.sources import raw as rw
 from barforge.sources.tables import event_trades, lineitem_trades, table
 from barforge.streaming import live as lv
+from barforge.streaming.job import start_job
 from barforge.streaming.resample import stream_candles
 
 PLACES = 6
@@ -567,6 +568,26 @@ def stream_out_of_order(spark, sf_dir):
         "symbol", "open_time", "close", *FEATURES, "actual_label"))
 
 
+@register("stream_end_to_end", sql.q_stream_end_to_end())
+def stream_end_to_end(spark, sf_dir):
+    """One-minute bus messages as text, in steps of time, some sent twice, through both queries."""
+    root = scratch_path(spark, "end-to-end")
+    records = cut_lineage(rp.candle_records(event_candles(spark, sf_dir, minutes=1), "1m"))
+    lo, hi = records.agg(F.min("open_time"), F.max("open_time")).first()
+    step = (hi - lo) // 3 + 1
+    for i in range(3):
+        part = records.filter((F.col("open_time") >= lo + i * step) & (F.col("open_time") < lo + (i + 1) * step))
+        twice = part.unionByName(part.filter(F.pmod(F.xxhash64("symbol", "open_time"), F.lit(7)) == 0))
+        twice.select(F.to_json(F.struct(*records.columns)).alias("value")).repartition(FEED_FILES).write.text(
+            f"{root}/messages/part={i:04d}")
+    messages = spark.readStream.schema("value string").option("maxFilesPerTrigger", FEED_FILES).text(f"{root}/messages")
+    queries = start_job(messages.select("value"), root, trigger={"availableNow": True}, wait=True,
+                        state_partitions=spark.sparkContext.defaultParallelism)
+    queries[-1].awaitTermination()
+    preds = lv.newest(spark.read.parquet(f"{root}/tables/predictions"))
+    return rounded(preds.select("symbol", "open_time", "close", *FEATURES))
+
+
 @register("stream_scores")
 def stream_scores(spark, sf_dir):
     result, _ = _trained(spark, sf_dir, "holdout")

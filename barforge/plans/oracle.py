@@ -573,3 +573,16 @@ def q_stack_evaluation_check() -> str:
 
 def q_stream_scores_check() -> str:
     return f"{_feature_base()} SELECT symbol, open_time, TRUE AS equal FROM feats WHERE {complete_where()}"
+
+
+def q_stream_end_to_end(delay_ms: int = 600_000) -> str:
+    """Candles of the minutes whose end the watermark has passed, and their features."""
+    candles = f"""
+candles AS (
+  SELECT symbol, {_bucket('open_time * 1000', 30 * 60_000)} AS open_time,
+         arg_min(open, open_time) AS open, max(high) AS high, min(low) AS low, arg_max(close, open_time) AS close,
+         sum(volume) AS volume, CAST(sum(number_of_trades) AS BIGINT) AS number_of_trades,
+         sum(taker_buy_quote_asset_volume) AS taker_buy_quote_asset_volume
+  FROM c1, (SELECT max(open_time) - {delay_ms} AS w FROM c1) GROUP BY 1, 2
+  HAVING {_bucket('min(open_time) * 1000', 30 * 60_000)} + 1800000 <= any_value(w))"""
+    return q_stream_features().replace(candles_cte(), candles_cte(1, "c1") + "," + candles, 1)

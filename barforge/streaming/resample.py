@@ -15,15 +15,20 @@ from barforge.functions.time import epoch_micros
 
 
 def stream_candles(bars: DataFrame, candle_minutes: int = 30, watermark: str = "10 minutes",
-                   time_col: str = "open_time", order_col: str | None = None) -> DataFrame:
-    """Streaming (or batch) bars -> candles; open_time is the window start in ms."""
+                   time_col: str = "open_time", order_col: str | None = None, once: bool = False) -> DataFrame:
+    """Streaming (or batch) bars -> candles; open_time is the window start in ms.
+    ``once``: of bars of one symbol and time only the first that arrives counts
+    (re-sent bars within the watermark)."""
     us = epoch_micros(bars, time_col)
     prepared = bars.select(
         "symbol", F.timestamp_micros(us).alias("_event"),
         (F.col(order_col).cast("long") if order_col else us).alias("_t"),
         "open", "high", "low", "close", "volume", "number_of_trades",
         "taker_buy_quote_asset_volume")
-    agg = (prepared.withWatermark("_event", watermark)
+    prepared = prepared.withWatermark("_event", watermark)
+    if once:
+        prepared = prepared.dropDuplicatesWithinWatermark(["symbol", "_t"])
+    agg = (prepared
            .groupBy("symbol", F.window("_event", f"{candle_minutes} minutes").alias("_w"))
            .agg(F.min_by("open", "_t").alias("open"), F.max("high").alias("high"),
                 F.min("low").alias("low"), F.max_by("close", "_t").alias("close"),

@@ -95,7 +95,7 @@ def test_auc_ties_and_brute_force(spark):
     pos = [s for s, y in rows if y == 1]
     neg = [s for s, y in rows if y == 0]
     brute = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
-    got = ev.auc_exact(df, buckets=8).first()["auc"]
+    got = ev.auc_exact(df).first()["auc"]
     assert abs(got - brute) < 1e-12
 
 
@@ -146,3 +146,13 @@ def test_key_ranks_distributed_equal_sorted(spark):
     ranked, n = fo.key_ranks(df, "symbol", keys_per_part=97)           # many blocks
     got = {r["symbol"]: r["_rank"] for r in ranked.collect()}
     assert n == len(keys) and got == {k: i for i, k in enumerate(sorted(keys))}
+
+
+def test_auc_with_narrow_scores_and_outliers(spark):
+    """Nearly all scores within a hair, two far out: ranges follow the scores, the value is exact."""
+    rows = [(i % 2, 0.5 + (i * 7919 % 5000) / 1e7) for i in range(5000)] + [(0, 1e9), (1, -1e9)]
+    df = spark.createDataFrame(rows, "label int, prob_up double")
+    pos, neg = [s for y, s in rows if y], sorted(s for y, s in rows if not y)
+    import bisect
+    wins = sum((bisect.bisect_left(neg, s) + bisect.bisect_right(neg, s)) / 2 for s in pos)
+    assert abs(ev.auc_exact(df).first()["auc"] - wins / (len(pos) * len(neg))) < 1e-12
