@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import lru_cache, reduce
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 from barforge.schema import CANDLE_COLUMNS, FEATURES, LAGS, LOOKBACK
@@ -28,17 +28,6 @@ def lag_accessor(window: WindowSpec) -> Accessor:
     return at
 
 
-def array_accessor(prefix: str = "w_") -> Accessor:
-    """Stream accessor over arrays holding the window, oldest first.
-
-    ``w_close[-1]`` is the current candle; a missing position yields NULL,
-    just like ``lag`` before the first row of a partition.
-    """
-    def at(name: str, k: int) -> Column:
-        return F.try_element_at(F.col(prefix + name), F.lit(-(k + 1)))
-    return at
-
-
 @lru_cache(maxsize=None)
 def lags_used(lookback: int = LOOKBACK) -> list[tuple[str, int]]:
     """Every (column, k) the formulas read, found by running them once with a
@@ -73,10 +62,6 @@ def column_accessor(prefix: str = "_x_") -> Accessor:
     return at
 
 
-def symbol_window(partition: tuple[str, ...] = ("symbol",), order: str = "open_time") -> WindowSpec:
-    return Window.partitionBy(*partition).orderBy(order)
-
-
 def _ratio_to(c: Column, base: Column) -> Column:
     # (c - base) / base, and 0 when base is 0 or NULL (kept as in the original)
     return F.when(base != 0, (c - base) / base).otherwise(F.lit(0.0))

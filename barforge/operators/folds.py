@@ -32,41 +32,34 @@ def rows_at_ranks(df: DataFrame, ranks_of, time_col: str = "open_time",
     """(row count n, [(time, tie) of the row at each 0-based rank]).
 
     ``ranks_of(n)`` gives the wanted ranks. Order is (time_col, tie_col), with
-    time_col a Long. Ranks past the end give None. Three small jobs find all
-    cuts at once: day totals -> counts per time inside the cut days -> the
-    symbols at the cut times.
+    time_col a Long. Ranks past the end give None. All cuts are found at once,
+    from counts only: days, then the minutes of the cut days, then the times of
+    the cut minutes, then the symbols at the cut times. A window sees one row a
+    day, at most 1,440 minutes or at most 60,000 times.
     """
     per_time = df.groupBy(time_col).agg(F.count(F.lit(1)).alias("n")).persist()
     try:
-        day_of = floor_to(F.col(time_col), coarse_ms)
-        days = per_time.groupBy(day_of.alias("_day")).agg(F.sum("n").alias("n"))
-        w = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
-        days = days.select("_day", "n", (F.sum("n").over(w) - F.col("n")).alias("_before"),
-                           F.sum("n").over(Window.partitionBy()).alias("_total"))
-        first = days.select("_total").first()
-        total = int(first[0]) if first else 0
+        total = int(per_time.agg(F.sum("n")).first()[0] or 0)
         ranks = list(ranks_of(total))
         live = [r for r in ranks if r < total]
         if not live:
             return total, [None] * len(ranks)
 
-        hit = reduce(lambda a, b: a | b, [(F.col("_before") <= r) & (F.lit(r) < F.col("_before") + F.col("n"))
-                                          for r in live])
-        cut_days = days.filter(hit).select("_day", "_before").collect()     # <= k-1 rows
-        day_before = {row["_day"]: row["_before"] for row in cut_days}
-        # running count per time inside the cut days, offset by the day's start;
-        # only the rows holding a cut rank come back to the driver
-        start_of_day = F.coalesce(*[F.when(F.col("_day") == d, F.lit(b)) for d, b in day_before.items()])
-        wt = Window.partitionBy("_day").orderBy(time_col).rowsBetween(Window.unboundedPreceding, 0)
-        times = (per_time.withColumn("_day", day_of).filter(F.col("_day").isin(list(day_before)))
-                 .withColumn("_start", start_of_day + F.sum("n").over(wt) - F.col("n")))
-        hit_t = reduce(lambda a, b: a | b, [(F.col("_start") <= r) & (F.lit(r) < F.col("_start") + F.col("n"))
-                                            for r in live])
-        cut_times = {}
-        for row in times.filter(hit_t).select(time_col, "_start", "n").collect():
-            for r in live:
-                if row["_start"] <= r < row["_start"] + row["n"]:
-                    cut_times[r] = (row[time_col], r - row["_start"])
+        def holds(before: str, n: str = "n") -> Column:
+            return reduce(lambda a, b: a | b, [(F.col(before) <= r) & (F.lit(r) < F.col(before) + F.col(n)) for r in live])
+
+        cells, inside = {}, per_time.withColumn("_in", F.lit(0).cast("long"))
+        for level in (coarse_ms, 60_000, 1):
+            unit = floor_to(F.col(time_col), level) if level > 1 else F.col(time_col)
+            counts = inside.groupBy("_in", unit.cast("long").alias("_unit")).agg(F.sum("n").alias("n"))
+            w = Window.partitionBy("_in").orderBy("_unit").rowsBetween(Window.unboundedPreceding, 0)
+            start = F.coalesce(*[F.when(F.col("_in") == c, F.lit(b)) for c, b in cells.items()]) if cells else F.lit(0)
+            placed = counts.select("_unit", "n", (start + F.sum("n").over(w) - F.col("n")).alias("_before"))
+            hit = placed.filter(holds("_before")).collect()            # at most one row a rank
+            cells = {row["_unit"]: row["_before"] for row in hit}
+            inside = per_time.withColumn("_in", unit.cast("long")).filter(F.col("_in").isin(list(cells)))
+        cut_times = {r: (row["_unit"], r - row["_before"]) for row in hit for r in live
+                     if row["_before"] <= r < row["_before"] + row["n"]}
         at = df.filter(F.col(time_col).isin(sorted({t for t, _ in cut_times.values()})))
         wr = Window.partitionBy(time_col).orderBy(tie_col)
         ranked = at.select(time_col, tie_col, (F.row_number().over(wr) - 1).alias("_rn"))
