@@ -48,6 +48,7 @@ CANDLE_SCHEMA = T.StructType([
     T.StructField("taker_buy_quote_asset_volume", T.DoubleType()),
 ])
 
+# --- fixed values: wire formats of the bus and the exchange --------------------
 # The flat candle record carried on the message bus (13 fields, all nullable).
 STREAM_RECORD_SCHEMA = T.StructType([
     T.StructField("open_time", T.LongType()),
@@ -100,6 +101,7 @@ KLINE_NAMED = T.StructType([
 
 # REST kline response: a JSON array of positional arrays.
 KLINE_ARRAY_SCHEMA = T.ArrayType(T.ArrayType(T.StringType()))
+# -----------------------------------------------------------------------------
 
 
 def interval_ms(interval: str) -> int:

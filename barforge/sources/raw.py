@@ -25,7 +25,7 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
 
 
 def iso_now() -> Column:
-    """ISO-8601 UTC arrival stamp, e.g. 2026-02-12T17:36:33.444594+00:00."""
+    """ISO-8601 UTC arrival stamp, e.g. 2027-01-15T18:25:00.000000+00:00."""
     return F.date_format(F.convert_timezone(None, F.lit("UTC"), F.current_timestamp()), ISO_UTC)
 
 

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from barforge.sources import raw
 from barforge.sources.tables import read_symbol_files
 
-K = {"t": 1770881400000, "o": "67228.21", "h": "67254.48", "l": "67090.0", "c": "67217.72",
-     "v": "286.75956", "q": "19262918.39", "n": 86683, "V": "141.9468", "Q": "9535417.89",
-     "i": "30m", "x": True}
+# invented numbers
+K = {"t": 1800000000000, "o": "101.25", "h": "104.5", "l": "99.75", "c": "103.0",
+     "v": "12.5", "q": "1285.5", "n": 321, "V": "6.25", "Q": "640.75", "i": "30m", "x": True}
 
 
 def _msgs(spark, items):
@@ -31,8 +31,8 @@ def test_exchange_events_accept_and_reject(spark):
     got = rec.collect()
     assert {r["symbol"] for r in got} == {"BTCUSDT", "ETHUSDT"}
     r0 = [r for r in got if r["symbol"] == "BTCUSDT"][0]
-    assert r0["open"] == 67228.21 and r0["number_of_trades"] == 86683 and r0["interval"] == "30m"
-    assert r0["taker_buy_base_asset_volume"] == 141.9468 and r0["volume"] == 286.75956
+    assert r0["open"] == 101.25 and r0["number_of_trades"] == 321 and r0["interval"] == "30m"
+    assert r0["taker_buy_base_asset_volume"] == 6.25 and r0["volume"] == 12.5
     reasons = sorted(r["reason"] for r in rej.collect())
     assert reasons == sorted(["not_closed", "no_kline", "bad_field", "bad_field", "bad_interval", "malformed"])
 
@@ -62,7 +62,7 @@ def test_candle_record_round_trip(spark):
     rec = {"open_time": 1, "open": 1.0, "high": 2.0, "low": 0.5, "close": 1.5, "volume": 3.0,
            "quote_asset_volume": 4.0, "number_of_trades": 5, "taker_buy_base_asset_volume": 1.0,
            "taker_buy_quote_asset_volume": 2.0, "symbol": "BTCUSDT", "interval": "30m",
-           "ingested_at": "2026-02-12T17:36:33.444594+00:00"}
+           "ingested_at": "2027-01-15T18:25:00.000000+00:00"}
     df = spark.createDataFrame([rec], STREAM_RECORD_SCHEMA)
     published = df.select(F.to_json(F.struct("*")).alias("value"))        # publish (SRC-11)
     back, rej = raw.parse_candle_records(published.union(spark.createDataFrame([("{bad",)], "value string")))
@@ -71,10 +71,10 @@ def test_candle_record_round_trip(spark):
 
 
 def test_bootstrap_json_array_file(spark, tmp_path):
-    recs = [{"open_time": 1770881400000 + i * 1_800_000, "open": 1.0 + i, "high": 2.0 + i, "low": 0.5,
+    recs = [{"open_time": 1800000000000 + i * 1_800_000, "open": 1.0 + i, "high": 2.0 + i, "low": 0.5,
              "close": 1.5 + i, "volume": 3.0, "quote_asset_volume": 4.0, "number_of_trades": 5,
              "taker_buy_base_asset_volume": 1.0, "taker_buy_quote_asset_volume": 2.0,
-             "symbol": "BTCUSDT", "interval": "30m", "ingested_at": "2026-02-12T17:36:33.444594+00:00"}
+             "symbol": "BTCUSDT", "interval": "30m", "ingested_at": "2027-01-15T18:25:00.000000+00:00"}
             for i in range(21)]
     p = tmp_path / "boot.json"
     p.write_text(json.dumps(recs, indent=2))
@@ -151,7 +151,7 @@ def test_bus_round_trip_and_bootstrap(spark, tmp_path):
     from barforge.sources import bus
     rec = dict(open_time=1, open=1.0, high=2.0, low=0.5, close=1.5, volume=3.0, quote_asset_volume=4.0,
                number_of_trades=5, taker_buy_base_asset_volume=1.0, taker_buy_quote_asset_volume=2.0,
-               symbol="BTCUSDT", interval="30m", ingested_at="2026-02-12T17:36:33.444594+00:00")
+               symbol="BTCUSDT", interval="30m", ingested_at="2027-01-15T18:25:00.000000+00:00")
     df = spark.createDataFrame([rec, dict(rec, open_time=2)], STREAM_RECORD_SCHEMA)
     bus.publish(df, fmt="text", path=str(tmp_path / "topic"))               # a file topic
     msgs = bus.read_bus(spark, fmt="text", path=str(tmp_path / "topic"), stream=False)
