@@ -289,17 +289,21 @@ def window_rows(length: int):
     return run
 
 
-def repeated_ranges(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
+def repeated_ranges(texts: DataFrame, chosen: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """``(digest, lo, hi)``: windows starting at lo..hi of the text are repeated.
-    ``texts``: ``digest, text`` (bytes), distinct."""
+    ``texts``: ``id, digest, text`` (bytes), copies included; ``chosen``: for each
+    ``digest`` the id ``of`` the copy that is read again."""
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = stored(texts.mapInArrow(key_rows(length), KEYS), "window-keys")
-    twice = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("k"))
+    keys = stored(texts.select("digest", "text").mapInArrow(key_rows(length), KEYS), "window-keys")
+    # a key is repeated if it stands at two places of different texts; copies share their places
+    place = F.xxhash64("digest", "first")
+    twice = (keys.groupBy("key").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi")
+             .select(F.col("key").alias("k")))
     sought = (keys.join(twice, F.col("key") == F.col("k")).groupBy("digest")
-              .agg(F.collect_list(F.struct("key", "first", "last", "anchor")).alias("sides"))
-              .select(F.col("digest").alias("d"), "sides"))  # as many as the text has, at most
-    found = stored(texts.join(sought, F.col("digest") == F.col("d")).select("digest", "text", "sides")
-                   .mapInArrow(stretch_rows(length), STRETCHES), "stretches")
+              .agg(F.collect_set(F.struct("key", "first", "last", "anchor")).alias("sides")))  # at most the text's own
+    sought = sought.join(chosen.select(F.col("digest").alias("d"), "of"), F.col("digest") == F.col("d")).select("d", "of", "sides")
+    found = stored(texts.join(sought, (F.col("digest") == F.col("d")) & F.col("id").eqNullSafe(F.col("of")))
+                   .select("digest", "text", "sides").mapInArrow(stretch_rows(length), STRETCHES), "stretches")
     owners = found.select("digest", "key", "first", "own")
     distinct = stored(found.groupBy("key", "own").agg(F.count("*").alias("n"), F.first("stretch").alias("stretch")), "distinct")
     size = distinct.groupBy("key").agg(F.sum(F.length("stretch")).alias("bytes"), F.count("*").alias("m")).select(
@@ -336,13 +340,9 @@ def dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_co
     rows = small_batches(docs).select(F.col(id_col).alias("id"), text_bytes(F.col(text_col)).alias("text"))
     rows = rows.withColumn("digest", F.unhex(F.sha2("text", 256)))
     copies = stored(rows.select("digest", "id").groupBy("digest").agg(F.count("*").alias("copies"), F.min("id").alias("of")), "copies")
-    # one row of each long text: texts of one digest are equal, so any of equal (digest, id) rows will do
+    # equal (id, text) rows are all read again, but they are copies and go whole anyway
     long = rows.where(F.length("text") >= length)
-    chosen = copies.select(F.col("digest").alias("cd"), "of")
-    single = (long.join(chosen, (F.col("digest") == F.col("cd")) & F.col("id").eqNullSafe(F.col("of")))
-              .select("digest", "text").dropDuplicates(["digest"]))
-    texts = stored(single, "texts")
-    marks = (repeated_ranges(texts, length, hot).groupBy("digest")
+    marks = (repeated_ranges(long, copies.select("digest", "of"), length, hot).groupBy("digest")
              .agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi")))
     marks = copies.join(marks.select(F.col("digest").alias("md"), "lo", "hi"), F.col("digest") == F.col("md"), "left").select(
         F.col("digest").alias("md"), "copies", "lo", "hi")
