@@ -43,9 +43,9 @@ from pyspark.sql import functions as F
 
 from barforge.llm.common import small_batches, stored
 
-LEXICON = 1 << 18
-CACHE = 200_000
-COUNTED = 300_000
+LEXICON = 200_000
+CACHE = 150_000
+COUNTED = 200_000
 END = "</w>"
 #: blanks as the splitter sees them; U+001C to U+001F are not among them
 BLANK = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
@@ -76,6 +76,7 @@ class Vocabulary:
 
     def __post_init__(self):
         self.strings = {i: s for s, i in self.ids.items()} | {i: s for s, i in self.special.items()}
+        self.by_id = [self.strings.get(i, "") for i in range(max(self.strings) + 1)]
         marks = sorted(self.special, key=len, reverse=True)
         self.marks = plain_re.compile("(" + "|".join(map(plain_re.escape, marks)) + ")") if marks else None
         # a pair of ids as one number -> rank; rank -> id of the merged string
@@ -119,7 +120,7 @@ class Vocabulary:
         return tuple(s)
 
     def decode(self, ids) -> str:
-        return " ".join([self.strings[i] for i in ids if i in self.strings])
+        return " ".join(map(self.by_id.__getitem__, ids))
 
 
 def load(path: str) -> Vocabulary:
@@ -257,24 +258,50 @@ def word_counts(docs: DataFrame, vocab, text_col: str = "text") -> DataFrame:
     return texts.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+class Known:
+    """A task's words so far: word -> row, and the rows' ids end to end. Emptied
+    when it would exceed CACHE words."""
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+        self.ids: list[int] = []
+        self.ends: list[int] = [0]
+
+    def add(self, word: str, ids) -> None:
+        self.rows[word] = len(self.rows)
+        self.ids.extend(ids)
+        self.ends.append(len(self.ids))
+
+
 @dataclass
 class Encoder:
     """What tasks need: the broadcast vocabulary and the lexicon file's name."""
     vocab: object
     name: str
 
-    def encode(self, texts: list[str], cache: dict, lexicon: dict) -> list[list[int]]:
+    def encode(self, texts: list[str], known: Known, lexicon: dict) -> list[np.ndarray]:
+        """The ids of each text: words are numbered by the rows of ``known``, and
+        all rows of the batch are gathered at once."""
         vocab = self.vocab.value
         split = [vocab.words(t) if t else [] for t in texts]
-        new = list(set().union(*split).difference(cache)) if split else []
-        if len(cache) + len(new) > CACHE:
-            cache.clear()
-            new = list(set().union(*split))
+        seen = set().union(*split)
+        new = list(seen.difference(known.rows))
+        if len(known.rows) + len(new) > CACHE:
+            known.__init__()
+            new = list(seen)
         first, ids = lexicon["first"], lexicon["ids"]
-        rows = look_up(lexicon, [w.encode("utf-8") for w in new]) if new and len(lexicon["key"]) else [-1] * len(new)
-        for w, r in zip(new, rows):
-            cache[w] = tuple(ids[first[r]:first[r + 1]].tolist()) if r >= 0 else vocab.merged(w)
-        return [list(chain.from_iterable(map(cache.__getitem__, words))) for words in split]
+        at = look_up(lexicon, [w.encode("utf-8") for w in new]) if new and len(lexicon["key"]) else [-1] * len(new)
+        for w, r in zip(new, at):
+            known.add(w, ids[first[r]:first[r + 1]].tolist() if r >= 0 else vocab.merged(w))
+        count = np.array([len(words) for words in split], np.int64)
+        rows = np.fromiter(map(known.rows.__getitem__, chain.from_iterable(split)), np.int64, int(count.sum()))
+        ends, flat = np.array(known.ends, np.int64), np.array(known.ids, np.int32)
+        size = ends[rows + 1] - ends[rows]
+        upto = np.cumsum(size)
+        out = flat[np.repeat(ends[rows] - (upto - size), size) + np.arange(int(size.sum()))]
+        upto = np.r_[0, upto]
+        stop = upto[np.cumsum(count)]
+        return [out[a:b] for a, b in zip(np.r_[0, stop[:-1]], stop)]
 
 
 def frequent(counts: DataFrame, most: int) -> list[str]:
@@ -312,11 +339,11 @@ def encode(docs: DataFrame, encoder: Encoder, text_col: str = "text", name: str
     @F.arrow_udf("struct<" + ",".join(f"{o}:{OUTPUTS[o]}" for o in outputs) + ">")
     def coded(texts: pa.Array) -> pa.Array:
         if not held:
-            held.update(lexicon=mapped(SparkFiles.get(encoder.name)), cache={})
-        ids = encoder.encode(texts.to_pylist(), held["cache"], held["lexicon"])
+            held.update(lexicon=mapped(SparkFiles.get(encoder.name)), known=Known())
+        ids = encoder.encode(texts.to_pylist(), held["known"], held["lexicon"])
         made = {"ids": lambda: pa.array(ids, pa.list_(pa.int32())),
-                "packed": lambda: pa.array([np.array(x, "<u4").tobytes() for x in ids], pa.binary()),
-                "decoded": lambda: pa.array([encoder.vocab.value.decode(x) for x in ids], pa.string()),
+                "packed": lambda: pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()),
+                "decoded": lambda: pa.array([encoder.vocab.value.decode(x.tolist()) for x in ids], pa.string()),
                 "n_tokens": lambda: pa.array([len(x) for x in ids], pa.int64())}
         return pa.StructArray.from_arrays([made[o]() for o in outputs], list(outputs))
 
