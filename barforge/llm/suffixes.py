@@ -295,10 +295,11 @@ def repeated_ranges(texts: DataFrame, chosen: DataFrame, length: int = LENGTH, h
     ``digest`` the id ``of`` the copy that is read again."""
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = stored(texts.select("digest", "text").mapInArrow(key_rows(length), KEYS), "window-keys")
-    # a key is repeated if it stands at two places of different texts; copies share their places
+    # a key is repeated if it stands at two places of different texts; copies share their places;
+    # stored, so that the join below reads two shuffles and a very common key is split
     place = F.xxhash64("digest", "first")
-    twice = (keys.groupBy("key").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi")
-             .select(F.col("key").alias("k")))
+    twice = stored(keys.groupBy("key").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi")
+                   .select(F.col("key").alias("k")), "repeated-keys")
     sought = (keys.join(twice, F.col("key") == F.col("k")).groupBy("digest")
               .agg(F.collect_set(F.struct("key", "first", "last", "anchor")).alias("sides")))  # at most the text's own
     sought = sought.join(chosen.select(F.col("digest").alias("d"), "of"), F.col("digest") == F.col("d")).select("d", "of", "sides")
