@@ -30,6 +30,7 @@ import os
 import re as plain_re
 import unicodedata
 import uuid
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 from itertools import chain
@@ -44,7 +45,7 @@ from pyspark.sql import functions as F
 from barforge.llm.common import small_batches, stored
 
 LEXICON = 200_000
-CACHE = 150_000
+CACHE = 300_000
 COUNTED = 200_000
 END = "</w>"
 #: blanks as the splitter sees them; U+001C to U+001F are not among them
@@ -264,8 +265,7 @@ class Known:
 
     def __init__(self):
         self.rows: dict[str, int] = {}
-        self.ids: list[int] = []
-        self.ends: list[int] = [0]
+        self.ids, self.ends = array("i"), array("q", [0])
 
     def add(self, word: str, ids) -> None:
         self.rows[word] = len(self.rows)
