@@ -22,11 +22,21 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """``df`` written to the shared folder and read back: the lineage is cut, a
-    lost executor costs nothing, and the rows are computed once."""
+    lost executor costs nothing, and the rows are computed once. With ``free`` the
+    write's shuffle files go when it ends (``df`` itself must not be used again)."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(FREE)
+    conf.set(FREE, str(free or before == "true").lower())
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(FREE, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

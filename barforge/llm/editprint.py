@@ -12,9 +12,10 @@ e the least power that spans it, and keeps four random bits of each sampled
 character (one hex digit; ``-`` past the end), led by e as a letter. Sampling
 times of neighbouring e are nested, so fingerprints of any two texts can be
 compared: ``likeness`` is the share of common times, not past both ends, whose
-digits agree. ``near_links`` finds fingerprints of high likeness by bands of
+digits agree. ``node_links`` finds fingerprints of high likeness by bands of
 sampled digits and verifies them; every pair that shares a band is decided, in
-blocks where a band is hot, and a spanning forest of the links is returned.
+blocks where a band is hot, and links that connect them are returned.
+``with_components`` names the components of these links on the documents.
 
 ``successions`` puts every document beside its successor in ascending id
 without a global sort: documents are dealt to ranges of ids (quantiles in two
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barforge.llm.common import small_batches, stored
+from barforge.llm.common import components, small_batches, stored
 
 SAMPLES = 128
 CLASSES, PERIOD = 64, 1 << 14
@@ -210,53 +211,138 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 # ---- bands ----------------------------------------------------------------------
 
-def comparable(prints: list[str], e: int) -> np.ndarray:
-    """Digits of fingerprints at spacing ``2**e`` (none may be coarser); 0 past the end."""
-    out = np.zeros((len(prints), SAMPLES), np.uint8)
-    for i, p in enumerate(prints):
-        raw = np.frombuffer(p[1:].encode(), np.uint8)[::1 << (e - (ord(p[0]) - 97))]
-        out[i, :len(raw)] = np.where(raw == ord("-"), 0, raw)
-    return out
+WORDS, TINY = SAMPLES // 16, 128
+NIBBLES = np.uint64(0x1111111111111111)
+
+
+def packed(digits: np.ndarray) -> np.ndarray:
+    """Rows of SAMPLES digits 0..15 as WORDS words of 16 digits each."""
+    return np.ascontiguousarray((digits[:, ::2] << 4) | digits[:, 1::2]).view(np.uint64)
+
+
+#: Row n: the first n digits.
+FIRST = packed((np.arange(SAMPLES) < np.arange(SAMPLES + 1)[:, None]).astype(np.uint8))
 
 
-def alike(prints: list[str], e: int, least: float) -> list[tuple[int, int]]:
-    """Spanning links (positions) of the fingerprints whose likeness reaches ``least``."""
-    x = comparable(prints, e)
-    live, free, links = x > 0, np.arange(len(x)), []
+def alike(x: np.ndarray, lx: np.ndarray, y: np.ndarray, ly: np.ndarray, least: float) -> np.ndarray:
+    """Which pairs of packed rows of one spacing reach the likeness ``least``. Two words
+    come first: most pairs disagree there in more digits than the whole may."""
+    x, y = np.broadcast_arrays(x, y)
+    shorter, longer = np.minimum(lx, ly), np.maximum(lx, ly)
+    differ = np.zeros(len(x), np.int64)
+    at = np.arange(len(x))
+    for words in (slice(0, 2), slice(2, WORDS)):
+        d = x[at, words] ^ y[at, words]
+        d |= d >> np.uint64(2)
+        d |= d >> np.uint64(1)
+        d &= NIBBLES & FIRST[shorter[at], words]
+        differ[at] += np.bitwise_count(d).sum(1, dtype=np.int64)
+        at = at[(shorter[at] - differ[at]) / np.maximum(longer[at], 1) >= least]
+    near = np.zeros(len(x), bool)
+    near[at] = True
+    return near
+
+
+def forest(x: np.ndarray, live: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Spanning links (positions) of the rows whose likeness reaches ``least``."""
+    free, links = np.arange(len(x)), []
     while len(free) > 1:
         queue, free = [free[0]], free[1:]
         while queue and len(free):
             i = queue.pop()
-            both = live[free] | live[i]
-            share = ((x[free] == x[i]) & both).sum(1) / np.maximum(both.sum(1), 1)
-            near = free[share >= least]
-            links += [(int(i), int(j)) for j in near]
-            queue += near.tolist()
-            free = free[share < least]
+            hit = alike(x[free], live[free], x[i], live[i], least)
+            links += [(int(i), int(j)) for j in free[hit]]
+            queue += free[hit].tolist()
+            free = free[~hit]
     return links
 
 
-def near_links(prints: DataFrame, least: float = LIKE, block: int = BLOCK, seed: int = 3) -> DataFrame:
-    """Spanning links ``(a, b)`` of fingerprints of likeness ``least`` or more that share
-    a band: BANDS samples of ROWS digits out of the first half of the times (the
-    half that is never past the end, unless the text is shorter than the samples),
-    at the fingerprint's own spacing and at twice it. ``prints``: one distinct column ``fp``."""
+def bucket_links(batches, least: float):
+    """Batches sorted by ``(gid, e)`` -> links ``(a, b)`` of nodes; holds one bucket at a time."""
+    def solve(g, node, x, live):
+        starts = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]).any(1)])
+        size = np.diff(np.r_[starts, len(g)])
+        number = np.repeat(np.arange(len(starts)), size)
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+        tiny = np.flatnonzero(np.repeat(size <= TINY, size))
+        for s in range(1, TINY):
+            i = np.flatnonzero(number[tiny[s:]] == number[tiny[:-s]]) if s < len(tiny) else []
+            if not len(i):
+                break
+            i, j = tiny[i], tiny[i + s]
+            near = alike(x[i], live[i], x[j], live[j], least)
+            found.append((node[i[near]], node[j[near]]))
+        for at, n in zip(starts[size > TINY], size[size > TINY]):
+            links = np.array(forest(x[at:at + n], live[at:at + n], least), np.int64).reshape(-1, 2)
+            found.append((node[at + links[:, 0]], node[at + links[:, 1]]))
+        a, b = (np.concatenate(f) for f in zip(*found))
+        out = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0)
+        return pd.DataFrame({"a": out[:, 0], "b": out[:, 1]})
+
+    rest = None
+    for b in batches:
+        if not len(b):
+            continue
+        x = np.frombuffer(b"".join(bytes(d).ljust(SAMPLES // 2, b"\0") for d in b["digits"]), np.uint64).reshape(-1, WORDS)
+        new = (b[["gid", "e"]].to_numpy(np.int64), b["node"].to_numpy(np.int64), x, b["live"].to_numpy(np.int64))
+        rest = new if rest is None else tuple(np.concatenate(p) for p in zip(rest, new))
+        cut = int(np.flatnonzero((rest[0] != rest[0][-1]).any(1))[-1]) + 1 if (rest[0] != rest[0][-1]).any() else 0
+        if cut:
+            yield solve(*(r[:cut] for r in rest))
+            rest = tuple(r[cut:] for r in rest)
+    if rest is not None:
+        yield solve(*rest)
+
+
+def node_links(prints: DataFrame, least: float = LIKE, block: int = BLOCK, seed: int = 3) -> DataFrame:
+    """Links ``(a, b)`` of nodes that connect the fingerprints of likeness ``least`` or more
+    that share a band: BANDS samples of ROWS digits out of the first half of the times
+    (the half that is never past the end, unless the text is shorter than the samples),
+    at the fingerprint's own spacing and at twice it. ``prints``: distinct ``fp``, each
+    with a long ``node``."""
     places = np.random.default_rng(seed)
     picks = [sorted(places.choice(SAMPLES // 2, ROWS, replace=False).tolist()) for _ in range(BANDS)]
     e = F.ascii("fp") - 97
-    keys = [F.struct((e + up).alias("e"), F.xxhash64(F.lit(b), e + up, *[F.substring("fp", 2 + (i << up), 1) for i in pick]).alias("key"))
+    keys = [F.struct((e + up).alias("e"), F.lit(up).alias("up"),
+                     F.xxhash64(F.lit(b), e + up, *[F.substring("fp", 2 + (i << up), 1) for i in pick]).alias("key"))
             for up in (0, 1) for b, pick in enumerate(picks)]
-    rows = prints.select("fp", F.inline(F.array(*keys)))
-    counts = rows.groupBy("e", "key").count().where("count > 1").select(
+    hot = prints.select(F.inline(F.array(*keys))).groupBy("e", "key").count().where(F.col("count") > block).select(
         F.col("e").alias("ce"), F.col("key").alias("ck"), F.ceil(F.col("count") / block).cast("int").alias("blocks"))
-    rows = rows.join(counts, (F.col("e") == F.col("ce")) & (F.col("key") == F.col("ck")))
-    rows = rows.withColumn("s", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("fp", "e", F.xxhash64("key", F.least("s", "o"), F.greatest("s", "o")).alias("gid"))
+    # the digits at either spacing, once a fingerprint; at twice its own it has every second one
+    digits = F.translate(F.substring("fp", 2, SAMPLES), "-", "0")
+    rows = prints.select("fp", "node", F.length(F.translate("fp", "-", "")).alias("n"), F.unhex(digits).alias("own"),
+                         F.unhex(F.regexp_replace(digits, "(.).", "$1")).alias("wide"))
+    rows = rows.select("node", "n", "own", "wide", F.inline(F.array(*keys)))
+    rows = rows.select("node", "e", "key", F.when(F.col("up") == 0, F.col("n") - 1).otherwise(F.shiftright("n", 1)).alias("live"),
+                       F.when(F.col("up") == 0, F.col("own")).otherwise(F.col("wide")).alias("digits"))
+    rows = rows.join(hot, (F.col("e") == F.col("ce")) & (F.col("key") == F.col("ck")), "left")
+    # one block: the band itself; else each fingerprint meets its own block paired with every block
+    blocks = F.coalesce("blocks", F.lit(1))
+    rows = rows.select("node", "live", "digits", "e", "key", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("s"),
+                       F.explode(F.sequence(F.lit(0), blocks - 1)).alias("o"))
+    rows = rows.select("node", "live", "digits", "e", F.xxhash64("key", F.least("s", "o"), F.greatest("s", "o")).alias("gid"))
+    n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.repartition(n, "gid").sortWithinPartitions("gid", "e")
+            .mapInPandas(lambda it: bucket_links(it, least), "a long, b long").distinct())
 
-    def solve(key, group: pd.DataFrame) -> pd.DataFrame:
-        p = sorted(set(group["fp"]))
-        links = alike(p, int(key[1]), least)
-        return pd.DataFrame({"a": [p[i] for i, _ in links], "b": [p[j] for _, j in links]}, dtype=object)
 
-    return rows.groupBy("gid", "e").applyInPandas(solve, "a string, b string").distinct()
+def near_links(prints: DataFrame, least: float = LIKE, block: int = BLOCK, seed: int = 3) -> DataFrame:
+    """``node_links`` between the fingerprints themselves. ``prints``: one distinct column ``fp``."""
+    named = stored(prints.select("fp", F.monotonically_increasing_id().alias("node")), "prints")
+    a, b = (named.select(F.col("fp").alias(c), F.col("node").alias(f"n{c}")) for c in "ab")
+    links = node_links(named, least, block, seed).select(F.col("a").alias("na"), F.col("b").alias("nb"))
+    return links.join(a, "na").join(b, "nb").select("a", "b")
+
+
+def with_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``described`` plus ``component_id``: the least id of the documents whose
+    fingerprints are linked, directly or through others (null ids only where no other is)."""
+    rows = stored(described(docs, id_col, text_col), "editprints", free=True)
+    prints = stored(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("id").alias("least"))
+                    .withColumn("node", F.monotonically_increasing_id()), "prints")
+    comp = components(node_links(prints.select("fp", "node"))).withColumnRenamed("node", "linked")
+    merged = stored(prints.join(comp, F.col("node") == F.col("linked"), "left").select(
+        "fp", "least", F.coalesce("component", "node").alias("component")), "classes")
+    ids = merged.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = merged.join(ids, "component").select("fp", "component_id")
+    return rows.join(named, F.col("fingerprint") == F.col("fp")).select(*rows.columns, "component_id")

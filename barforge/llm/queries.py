@@ -112,7 +112,7 @@ def op7_shards(spark, sf_dir):
 
 @register("op8_editprints")
 def op8_editprints(spark, sf_dir):
-    return editprint.described(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return editprint.with_components(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
 @register("op9_suffixes")

@@ -126,3 +126,42 @@ def test_likeness_of_columns(spark):
     df = spark.createDataFrame([(a, b) for a in p for b in p], "a string, b string")
     for r in df.select("a", "b", ep.likeness(F.col("a"), F.col("b")).alias("v")).collect():
         assert abs(r["v"] - plain_like(r["a"], r["b"])) < 1e-12
+
+
+def test_query_links_documents_as_brute_force_does(spark):
+    rows = queries.QUERIES["op8_editprints"](spark, MEDIUM).collect()
+    prints = sorted({r["fingerprint"] for r in rows})
+    rep = list(range(len(prints)))
+
+    def root(i):
+        while rep[i] != i:
+            i = rep[i]
+        return i
+    near = [(i, i + 1 + int(j)) for i, p in enumerate(prints[:-1])
+            for j in (ep.likenesses([p] * (len(prints) - i - 1), prints[i + 1:]) >= ep.LIKE).nonzero()[0]]
+    for i, j in near:
+        rep[max(root(i), root(j))] = min(root(i), root(j))
+    least = {}
+    for r in rows:
+        k = root(prints.index(r["fingerprint"]))
+        least[k] = min(least.get(k, r["doc_id"]), r["doc_id"])
+    got = {r["fingerprint"]: r["component_id"] for r in rows}
+    assert len(near) > 10 and all(got[r["fingerprint"]] == r["component_id"] for r in rows)
+    recall = sum(got[prints[i]] == got[prints[j]] for i, j in near) / len(near)
+    print("linked pairs", len(near), "recall", recall)
+    assert recall >= 0.99
+    # no component holds documents that brute force keeps apart
+    whole = {}
+    for i, p in enumerate(prints):
+        whole.setdefault(got[p], set()).add(root(i))
+    assert all(len(v) == 1 for v in whole.values())
+    if recall == 1:
+        assert all(r["component_id"] == least[root(prints.index(r["fingerprint"]))] for r in rows)
+
+
+def test_components_of_edge_rows(spark):
+    rows = [(5, "abcdefgh" * 9), (2, None), (3, ""), (8, "abcdefgh" * 9), (None, "no id at all"), (None, ""), (7, "q" * 500 + "w" * 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["id"], r["component_id"]) for r in ep.with_components(docs).collect()), key=repr)
+    assert got == sorted([(5, 5), (2, 2), (3, 2), (8, 5), (None, None), (None, 2), (7, 7)], key=repr)
+    assert ep.with_components(docs.limit(0)).count() == 0
