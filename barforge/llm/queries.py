@@ -6,16 +6,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import PATTERN
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import (bpe, decontaminate, editprint, licenses, quality, secrets, sharding, simhash, suffixes,
+from barforge.llm import (bpe, bytebpe, decontaminate, editprint, licenses, quality, secrets, sharding, simhash, suffixes,
                          urls)
 from barforge.llm.common import read_table
 
 
 WORD_BPE = "word_bpe_49k.json"
+MULTI_BPE = "byte_bpe_multi_50k.tiktoken"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -129,3 +131,13 @@ def op4_licenses(spark, sf_dir):
         "doc_id", F.size(f).cast("long").alias("n_findings"), F.array_join(F.array_sort(F.array_distinct(f["license"])), ",").alias("licenses"),
         F.array_join(F.transform(f, lambda x: F.concat_ws(":", x["license"], x["start"], x["end"])), ",").alias("spans"),
         F.coalesce(F.round(F.array_max(f["coverage"]), 6), F.lit(0.0)).alias("coverage"))
+
+
+@register("op13_bytebpe")
+def op13_bytebpe(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bytebpe.encode(docs, bytebpe.load_ranks(tokenizer_path(MULTI_BPE)),
+                           bytebpe.class_table(bytebpe.joins_by_pattern(PATTERN)), outputs=("packed", "decoded", "n_tokens"))
+    b = F.col("bpe")
+    return coded.select("doc_id", b["n_tokens"].alias("n_tokens"), F.sha2(b["packed"], 256).alias("ids_sha256"),
+                        F.sha2(b["decoded"], 256).alias("decoded_sha256"))
