@@ -11,13 +11,14 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import (bpe, bytebpe, decontaminate, editprint, licenses, quality, secrets, sharding, simhash, suffixes,
+from barforge.llm import (bpe, bytebpe, crossalign, decontaminate, editprint, licenses, quality, secrets, sharding, simhash, suffixes,
                          urls)
 from barforge.llm.common import read_table
 
 
 WORD_BPE = "word_bpe_49k.json"
 MULTI_BPE = "byte_bpe_multi_50k.tiktoken"
+BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -141,3 +142,10 @@ def op13_bytebpe(spark, sf_dir):
     b = F.col("bpe")
     return coded.select("doc_id", b["n_tokens"].alias("n_tokens"), F.sha2(b["packed"], 256).alias("ids_sha256"),
                         F.sha2(b["decoded"], 256).alias("decoded_sha256"))
+
+
+@register("op12_crossalign")
+def op12_crossalign(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = crossalign.agreement(docs, tokenizer_path(BYTE_BPE), tokenizer_path(PIECE_BPE), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
