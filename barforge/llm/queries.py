@@ -11,8 +11,8 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import (bpe, bytebpe, crossalign, decontaminate, editprint, licenses, quality, secrets, sharding, simhash, suffixes,
-                         urls)
+from barforge.llm import (bpe, bytebpe, crossalign, decontaminate, editprint, licenses, quality, ranked, secrets, sharding,
+                         simhash, suffixes, urls)
 from barforge.llm.common import read_table
 
 
@@ -149,3 +149,32 @@ def op12_crossalign(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = crossalign.agreement(docs, tokenizer_path(BYTE_BPE), tokenizer_path(PIECE_BPE), digest=True)
     return found.withColumnRenamed("groups", "groups_sha256")
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, row_number() OVER () AS q, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+s AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+qf AS (SELECT q, item_id, term, count(*) AS qf FROM (SELECT q, item_id, unnest(w) AS term FROM b) GROUP BY ALL),
+wt AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+       FROM tf, s WHERE term IN (SELECT term FROM qf) GROUP BY term, n_docs),
+scored AS (
+  SELECT q, item_id, doc_id,
+         CAST(sum(qf * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM qf JOIN wt USING (term) JOIN tf USING (term), s GROUP BY ALL),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@register("op11_ranked", OP11_SQL)
+def op11_ranked(spark, sf_dir):
+    return ranked.rank_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                 read_table(spark, sf_dir, "benchmark").select("item_id", "text"))
