@@ -43,6 +43,7 @@ from barforge.llm import bytebpe
 from barforge.llm.bpe import SYMBOLS
 from barforge.llm.common import small_batches, stored
 
+BLANK = "▁"  # as sentencepiece writes it
 SLICE = 1 << 20
 LINKS = 1 << 20
 WIDE = 1024
@@ -83,25 +84,57 @@ class Pair:
         self.b = SentencePieceProcessor(model_proto=model)
         size = self.b.get_piece_size()
         self.b_tokens = pa.array([
-            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode("utf-8")
+            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode("utf-8")
             for i, p in enumerate(map(self.b.id_to_piece, range(size)))], pa.binary())
         self.n_a, self.n_b = len(self.a.tokens), size
+        pieces = [self.b.id_to_piece(i) for i in range(size)]
+        self.cut_at_blanks = not any(BLANK in p.lstrip(BLANK) for p in pieces) and BLANK in pieces
+        self.alone = self.b.piece_to_id(BLANK)
+        self.words: dict[bytes, tuple[int, ...]] = {}
         # every id as text: alone, after a comma, after a semicolon; B's after a bar, after a comma
         forms = [f"{c}{i}" for c in ("", ",", ";") for i in range(self.n_a)] + [
             f"{c}{i}" for c in ("|", ",") for i in range(self.n_b)]
         self.forms = pa.array(forms, pa.string())
 
-    def encode_b(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        rows = self.b.encode(texts, num_threads=1)
-        return (np.fromiter(chain.from_iterable(rows), np.int32),
-                np.r_[0, np.cumsum(np.array([len(r) for r in rows], np.int64))])
+    def encode_b(self, raw: bytes, size: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """B's ids of all texts end to end (``raw``: each after its blank), and where each
+        text's begin. Where no piece of B has a blank after anything else, nothing is
+        merged over such a place: there the texts are cut, and each distinct word, with
+        the blanks before it, is encoded once and cached."""
+        if not self.cut_at_blanks:
+            rows = self.b.encode(texts.to_pylist(), num_threads=1)
+            return (np.fromiter(chain.from_iterable(rows), np.int32),
+                    np.r_[0, np.cumsum(np.array([len(r) for r in rows], np.int64))])
+        begin = np.cumsum(size) - size
+        blank = np.frombuffer(raw, np.uint8) == 0x20
+        head = blank & ~np.r_[False, blank[:-1]]
+        head[begin] = True
+        at = np.flatnonzero(head)
+        words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(np.r_[at, len(raw)].astype(np.int32)),
+                                                             pa.py_buffer(raw)]).dictionary_encode()
+        seen, known = words.dictionary.to_pylist(), self.words
+        if len(known) + len(seen) > bytebpe.CACHE:
+            known.clear()
+        new = [w for w in seen if w not in known]
+        # the library puts a blank before each text itself
+        known.update(zip(new, map(tuple, self.b.encode([w[1:].decode("utf-8") for w in new], num_threads=1))))
+        known[b" "] = (self.alone,)
+        rows = [known[w] for w in seen]
+        flat = np.fromiter(chain.from_iterable(rows), np.int32)
+        count = np.array([len(r) for r in rows], np.int64)
+        start = np.cumsum(count) - count
+        which = words.indices.to_numpy(zero_copy_only=False)
+        each = count[which]
+        end = np.cumsum(each)
+        ids = flat[np.repeat(start[which] - (end - each), each) + np.arange(int(end[-1]))]
+        return ids, np.r_[0, end][np.searchsorted(at, np.r_[begin, len(raw)])]
 
     def align(self, texts: pa.Array, digest: bool) -> dict[str, list | np.ndarray]:
         """Per text (none empty): ``n_a, n_b, n_groups, n_links, groups``, and ``pairs``
         (a * n_b + b, ascending) with their ``times``, ended at ``upto``."""
         raw, size = bytebpe.joined(pc.binary_join_element_wise(pa.scalar(" "), texts, pa.scalar("")))
         a, at_a = self.a.encode(raw, size)
-        b, at_b = self.encode_b(texts.to_pylist())
+        b, at_b = self.encode_b(raw, size, texts)
         begin = np.r_[0, np.cumsum(size)]
         right = same_bytes(self.a.tokens, a, at_a, raw, begin) & same_bytes(self.b_tokens, b, at_b, raw, begin)
         if not right.all():
