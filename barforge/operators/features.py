@@ -29,7 +29,8 @@ def next_candle_label(close: Column, next_close: Column) -> Column:
 def add_features(candles: DataFrame, lookback: int = LOOKBACK, label: bool = True,
                  tail: str = "drop", candle_minutes: int = CANDLE_MINUTES,
                  chunk_ms: int | None = None, keep: str = "model",
-                 complete: bool = True, require_contiguous: bool = False) -> DataFrame:
+                 complete: bool = True, require_contiguous: bool = False,
+                 split: bool = True) -> DataFrame:
     """Features of every candle that has a full lookback, one row per candle.
 
     ``candles``: symbol, open_time (Long ms), open, high, low, close, volume,
@@ -40,6 +41,8 @@ def add_features(candles: DataFrame, lookback: int = LOOKBACK, label: bool = Tru
              out; "zero": it is kept with label 0.
     chunk_ms time span of one window partition (default 2^16 candles); see
              ``barforge.operators.halo``.
+    split    False: one window partition a symbol, for callers whose symbols hold few
+             candles each (the live tail); the plan is shorter.
     keep     "model": symbol, open_time, close, label and the 27 inputs;
              "all": every candle column, lag, derived and working column.
     complete True: apply the NULL/NaN row test below; False: keep every candle.
@@ -59,11 +62,13 @@ def add_features(candles: DataFrame, lookback: int = LOOKBACK, label: bool = Tru
     base = candles.select(
         *[F.col(c).cast("long").alias(c) if c == "number_of_trades" else F.col(c)
           for c in CANDLE_COLUMNS])
-    base = base.withColumn("_chunk", chunk_of(F.col("open_time"), chunk_ms))
-    rows = with_halo(base, ["symbol"], "open_time", "_chunk",
-                     back=lookback, forward=1 if label else 0)
-
-    w = Window.partitionBy("symbol", "_chunk").orderBy("open_time")
+    if split:
+        base = base.withColumn("_chunk", chunk_of(F.col("open_time"), chunk_ms))
+        rows = with_halo(base, ["symbol"], "open_time", "_chunk",
+                         back=lookback, forward=1 if label else 0)
+        w = Window.partitionBy("symbol", "_chunk").orderBy("open_time")
+    else:
+        rows, w = base.withColumn(HALO, F.lit(False)), Window.partitionBy("symbol").orderBy("open_time")
     # one Window node computes every lag the formulas read (and the lead);
     # the formulas then run on plain columns, exactly as on streams
     lagged = lag_accessor(w)

@@ -19,6 +19,7 @@ from barforge.functions.time import floor_to
 from barforge.session import cut_lineage
 
 DAY_MS = 86_400_000
+KEYS_PER_PART = 1_000_000
 
 
 def ntile_starts(n: int, k: int) -> list[int]:
@@ -34,8 +35,8 @@ def rows_at_ranks(df: DataFrame, ranks_of, time_col: str = "open_time",
     ``ranks_of(n)`` gives the wanted ranks. Order is (time_col, tie_col), with
     time_col a Long. Ranks past the end give None. All cuts are found at once,
     from counts only: days, then the minutes of the cut days, then the times of
-    the cut minutes, then the symbols at the cut times. A window sees one row a
-    day, at most 1,440 minutes or at most 60,000 times.
+    the cut minutes, then the ties at the cut times. A window sees one row a
+    day, at most 1,440 minutes, at most 60,000 times or one sorted block of ties.
     """
     per_time = df.groupBy(time_col).agg(F.count(F.lit(1)).alias("n")).persist()
     try:
@@ -60,12 +61,7 @@ def rows_at_ranks(df: DataFrame, ranks_of, time_col: str = "open_time",
             inside = per_time.withColumn("_in", unit.cast("long")).filter(F.col("_in").isin(list(cells)))
         cut_times = {r: (row["_unit"], r - row["_before"]) for row in hit for r in live
                      if row["_before"] <= r < row["_before"] + row["n"]}
-        at = df.filter(F.col(time_col).isin(sorted({t for t, _ in cut_times.values()})))
-        wr = Window.partitionBy(time_col).orderBy(tie_col)
-        ranked = at.select(time_col, tie_col, (F.row_number().over(wr) - 1).alias("_rn"))
-        wanted = reduce(lambda a, b: a | b, [(F.col(time_col) == t) & (F.col("_rn") == i)
-                                             for t, i in cut_times.values()])
-        ties = {(row[time_col], row["_rn"]): row[tie_col] for row in ranked.filter(wanted).collect()}
+        ties = ties_at(df, set(cut_times.values()), {row["_unit"]: row["n"] for row in hit}, time_col, tie_col)
         out = []
         for r in ranks:
             if r not in cut_times:
@@ -78,6 +74,33 @@ def rows_at_ranks(df: DataFrame, ranks_of, time_col: str = "open_time",
         per_time.unpersist()
 
 
+def ties_at(df: DataFrame, wanted: set[tuple[int, int]], sizes: dict[int, int], time_col: str, tie_col: str,
+            per_part: int | None = None) -> dict[tuple[int, int], object]:
+    """(time, place) -> the tie value at that 0-based place among the rows of that time.
+
+    ``sizes``: rows at each time. However many symbols share a time, no task sorts them
+    all: the rows of the wanted times are range partitioned into sorted blocks, frozen
+    with a reliable checkpoint, and counted (a row a block and time); the place is then
+    looked up inside the one block that holds it."""
+    times = sorted({t for t, _ in wanted})
+    parts = max(1, -(-sum(sizes[t] for t in times) // (per_part or KEYS_PER_PART)))
+    at = df.filter(F.col(time_col).isin(times)).select(F.col(time_col).alias("_t"), F.col(tie_col).alias("_tie"))
+    blocks = cut_lineage(at.repartitionByRange(parts, "_t", "_tie").withColumn("_block", F.spark_partition_id()))
+    before: dict[int, int] = {}
+    inside: dict[tuple[int, int, int], int] = {}     # (time, block, place in the block) -> place
+    for row in blocks.groupBy("_t", "_block").agg(F.count(F.lit(1)).alias("n")).orderBy("_t", "_block").collect():
+        done = before.get(row["_t"], 0)
+        inside.update({(t, row["_block"], i - done): i for t, i in wanted if t == row["_t"] and done <= i < done + row["n"]})
+        before[row["_t"]] = done + row["n"]
+    if not inside:
+        return {}
+    held = reduce(lambda a, b: a | b, [(F.col("_t") == t) & (F.col("_block") == b) for t, b, _ in inside])
+    place = F.row_number().over(Window.partitionBy("_t", "_block").orderBy("_tie")) - 1
+    found = reduce(lambda a, b: a | b, [(F.col("_t") == t) & (F.col("_block") == b) & (F.col("_place") == i) for t, b, i in inside])
+    return {(row["_t"], inside[(row["_t"], row["_block"], row["_place"])]): row["_tie"]
+            for row in blocks.filter(held).withColumn("_place", place).filter(found).collect()}
+
+
 def _at_or_after(cut: tuple, time_col: str, tie_col: str) -> Column:
     t, s = cut
     return (F.col(time_col) > F.lit(t)) | ((F.col(time_col) == F.lit(t)) & (F.col(tie_col) >= F.lit(s)))
@@ -116,12 +139,10 @@ def holdout_by_time(df: DataFrame, train_fraction: float = 0.8, time_col: str =
     return df.withColumn("split", split)
 
 
-KEYS_PER_PART = 1_000_000
-
-
-def key_ranks(df: DataFrame, key: str = "symbol", per_key: bool = False,
+def key_ranks(df: DataFrame, key: str | list[str] = "symbol", per_key: bool = False,
               keys_per_part: int = KEYS_PER_PART) -> tuple[DataFrame, int]:
-    """(distinct keys with ``_rank`` = 0-based position in sorted order, count).
+    """(distinct keys, of one column or several, with ``_rank`` = 0-based position in
+    sorted order, count).
 
     No step sees all keys in one task: the keys are range-partitioned (sorted
     blocks), the layout is frozen with a reliable checkpoint so a recomputation
@@ -129,15 +150,16 @@ def key_ranks(df: DataFrame, key: str = "symbol", per_key: bool = False,
     offset (one row per block, broadcast) plus its row number inside the block.
     ``per_key``: ``df`` already has one row per key; its other columns are kept.
     """
-    keys = df if per_key else df.select(key).distinct()
+    names = [key] if isinstance(key, str) else key
+    keys = df if per_key else df.select(*names).distinct()
     n = keys.count()
     parts = max(1, -(-n // keys_per_part))
-    ranged = cut_lineage(keys.repartitionByRange(parts, key)
+    ranged = cut_lineage(keys.repartitionByRange(parts, *names)
                          .withColumn("_block", F.spark_partition_id()))
     sizes = ranged.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy("_block").orderBy(key)
+    inside = Window.partitionBy("_block").orderBy(*names)
     ranked = (ranged.join(F.broadcast(offsets), "_block")             # <= parts rows
               .withColumn("_rank", F.col("_off") + F.row_number().over(inside) - 1)
               .drop("_block", "_off"))
@@ -167,6 +189,44 @@ def sample_symbols(ranks: DataFrame, fraction: float = 0.2) -> DataFrame:
     return ranks.filter(F.col("split_rank") < F.floor(F.col("split_size") * F.lit(fraction)))
 
 
+def key_cuts(keys: DataFrame, ranks_of, key: str = "symbol", **kw) -> tuple[int, list]:
+    """(number of distinct keys, [the key at each 0-based rank in sorted order]);
+    ``ranks_of(n)`` gives the wanted ranks, past the end gives None."""
+    ranked, n = key_ranks(keys, key, **kw)
+    ranks = list(ranks_of(n))
+    rows = ranked.filter(F.col("_rank").isin(sorted(set(ranks)))).collect()      # at most a row a rank
+    at = {r["_rank"]: r[key] for r in rows}
+    return n, [at.get(r) for r in ranks]
+
+
+def holdout_files(files: DataFrame, train_fraction: float = 0.8, sample: float = 1.0,
+                  key: str = "symbol") -> tuple[DataFrame, DataFrame]:
+    """``(train, test)`` of a table laid out by symbol, without reading the other side.
+
+    The first int(f * n) sorted symbols train, the rest test; ``sample`` keeps the
+    leading int(sample * size) symbols of each side. Both sides are ranges of sorted
+    symbols, so each is a comparison with one or two literal symbols: on a partition
+    column (``symbol=X`` folders) or a symbol from the file's path
+    (``sources.tables.read_symbol_files``) Spark leaves out the other files when it
+    plans the scan. Only the symbols themselves are looked at to find the cuts."""
+    def ranks(n: int) -> list[int]:
+        n_train = int(n * train_fraction)
+        return [int(n_train * sample), n_train, n_train + int((n - n_train) * sample)]
+
+    _, (end, start, last) = key_cuts(files.select(key).distinct(), ranks, key, per_key=True)
+    symbol = F.col(key)
+    train = files if end is None else files.filter(symbol < F.lit(end))
+    test = files.filter(F.lit(False)) if start is None else files.filter(symbol >= F.lit(start))
+    return train, test if last is None else test.filter(symbol < F.lit(last))
+
+
+def positions(df: DataFrame, order: list[str], name: str = "position") -> DataFrame:
+    """``df`` with its 1-based place in the sorted order of ``order`` (which must name a
+    row), found in sorted blocks: no task sorts more than a block (SRT-1)."""
+    ranked, _ = key_ranks(df, order, per_key=True)
+    return ranked.withColumn(name, F.col("_rank") + 1).drop("_rank")
+
+
 def class_balance(df: DataFrame) -> DataFrame:
     """label, count and percent of rows (AGG-2)."""
     counts = df.groupBy("label").agg(F.count(F.lit(1)).alias("count"))

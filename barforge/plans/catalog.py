@@ -25,12 +25,15 @@ from barforge.operators.resample import aggregate_candles, last_n_candles
 from barforge.plans import oracle as sql
 from barforge.plans import stack as st
 from barforge.plans import training as tr
-from barforge.schema import FEATURES
+from barforge.schema import CANDLE_SCHEMA, FEATURES
 from barforge.session import cut_lineage, scratch_path
+from barforge.sources import bus
 from barforge.sources import raw as rw
-from barforge.sources.tables import event_trades, lineitem_trades, table
+from barforge.sources.tables import (event_trades, lineitem_trades, read_symbol_files, read_symbol_folders,
+                                     table, write_symbol_files)
 from barforge.streaming import live as lv
-from barforge.streaming.job import start_job
+from barforge.streaming import tables as tb
+from barforge.streaming.job import closed_records, rejects, start_job, start_messages
 from barforge.streaming.resample import stream_candles
 
 PLACES = 6
@@ -203,6 +206,52 @@ def sample_rows(spark, sf_dir):
         "symbol", "open_time", "number_of_trades"))
 
 
+@register("holdout_symbol_files", sql.q_holdout_symbol_files(0.2))
+def holdout_symbol_files(spark, sf_dir):
+    """Daily candles of each supplier's parts laid out by symbol (one folder each); both
+    sides of the holdout and the leading fifth of each are scans that list their own
+    folders only."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("l_partkey", F.col("l_suppkey"))
+    path = scratch_path(spark, "symbol-folders")
+    write_symbol_files(aggregate_candles(lineitem_trades(lines), 1440, order_col="trade_order"), path)
+    files = read_symbol_folders(spark, path, CANDLE_SCHEMA)
+    sides = [side.withColumn("split", F.lit(name)).withColumn("part", F.lit(part))
+             for part, share in (("all", 1.0), ("sample", 0.2))
+             for name, side in zip(("train", "test"), fo.holdout_files(files, 0.8, share))]
+    out = sides[0]
+    for s in sides[1:]:
+        out = out.unionByName(s)
+    return out.select("part", "split", "symbol", "open_time", "number_of_trades")
+
+
+@register("symbol_from_file_name", sql.q_symbol_from_file_name())
+def symbol_from_file_name(spark, sf_dir):
+    """One SYMBOL.parquet a symbol, without a symbol column; the name gives it back, and
+    a comparison with it leaves out the other files."""
+    candles = cut_lineage(event_candles(spark, sf_dir))
+    path = scratch_path(spark, "symbol-files")
+    for (symbol,) in candles.select("symbol").distinct().collect():      # the five event types
+        candles.filter(F.col("symbol") == symbol).drop("symbol").write.parquet(f"{path}/{symbol}.parquet")
+    files = read_symbol_files(spark, f"{path}/*.parquet")
+    train, test = fo.holdout_files(files, 0.8)
+    return rounded(train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test"))).select(
+        "symbol", "open_time", "close", "split"))
+
+
+@register("ordered_candles", sql.q_ordered_candles())
+def ordered_candles(spark, sf_dir):
+    """Every candle with its place in the order of symbol and time (SRT-1)."""
+    return rounded(fo.positions(cut_lineage(event_candles(spark, sf_dir)), ["symbol", "open_time"]).select(
+        "symbol", "open_time", "close", "position"))
+
+
+@register("walk_forward_folds_daily", sql.q_walk_forward_folds_daily(3))
+def walk_forward_folds_daily(spark, sf_dir):
+    """Folds over daily candles of all parts: very many symbols share each cut time."""
+    days = cut_lineage(_lineitem_days(spark, sf_dir))
+    return fo.walk_forward_folds(days, 3).select("symbol", "open_time", "fold")
+
+
 @register("class_balance", sql.q_class_balance())
 def class_balance(spark, sf_dir):
     return rounded(fo.class_balance(_fm(spark, sf_dir)))
@@ -261,6 +310,20 @@ def latest_closed(spark, sf_dir):
     return rounded(rw.latest_closed(half_hour.unionByName(minute)))
 
 
+@register("bus_round_trip", sql.q_bus_round_trip())
+def bus_round_trip(spark, sf_dir):
+    """Records published to the bus as messages, read back, parsed, backed up as JSON
+    lines and read again (SRC-6, SRC-10, SRC-11): the records, and none rejected."""
+    path = scratch_path(spark, "bus")
+    records = rp.candle_records(event_candles(spark, sf_dir, minutes=1), "1m")
+    bus.publish(records, "text", path=f"{path}/topic")
+    back, rejects = rw.parse_candle_records(bus.read_bus(spark, "text", path=f"{path}/topic", stream=False))
+    bus.save_bootstrap_json(back, f"{path}/backup")
+    again = bus.read_bootstrap_json(spark, f"{path}/backup")
+    lost = rejects.agg(F.count(F.lit(1)).alias("rejected"))      # one row
+    return rounded(again.crossJoin(F.broadcast(lost)))
+
+
 @register("parse_candle_records", sql.q_parse_candle_records())
 def parse_candle_records(spark, sf_dir):
     """The bus record: one-minute candles as JSON text and back."""
@@ -334,6 +397,35 @@ def confidence_bands(spark, sf_dir):
     return ev.confidence_bands(_preds(spark, sf_dir))
 
 
+def _scored_by_four(spark, sf_dir) -> DataFrame:
+    """Four transparent scores of the same rows, stored, as four models' output."""
+    feats = event_features(spark, sf_dir, tail="drop")
+    p = {m: momentum_score(F.col(c) * w) for m, (c, w) in sql.FOUR_SCORES.items()}
+    return cut_lineage(feats.select("symbol", "open_time", "label", *[c.alias(f"p_{m}") for m, c in p.items()]))
+
+
+@register("evaluation_bundle", sql.q_evaluation_bundle())
+def evaluation_bundle(spark, sf_dir):
+    """Every report for four scores at once (ML-10)."""
+    return rounded(ev.evaluation_bundle(_scored_by_four(spark, sf_dir), {m: f"p_{m}" for m in sql.FOUR_SCORES}))
+
+
+@register("ordered_reports", sql.q_ordered_reports())
+def ordered_reports(spark, sf_dir):
+    """The calibration, band and fold reports with their rows' places (SRT-2); a report
+    has at most 21 rows."""
+    preds = cut_lineage(_preds(spark, sf_dir))
+    folds = fo.fold_summary(fo.walk_forward_folds(preds, 3))
+    reports = {"calibration": (ev.calibration_table(preds), "prob_bin"), "bands": (ev.confidence_bands(preds), "band"),
+               "folds": (folds, "fold"), "classes": (ev.confusion(preds).groupBy("label").agg(F.sum("count").alias("count")), "label")}
+    out = None
+    for name, (report, order) in reports.items():
+        one = report.select(F.lit(name).alias("report"), F.row_number().over(Window.orderBy(order)).alias("position"),
+                            F.col(order).cast("double").alias("item"), F.col("count").cast("long").alias("count"))
+        out = one if out is None else out.unionByName(one)
+    return rounded(out)
+
+
 @register("confident_subset", sql.q_confident_subset())
 def confident_subset(spark, sf_dir):
     return rounded(ev.confident_subset(_preds(spark, sf_dir)))
@@ -419,6 +511,55 @@ def stack_evaluation(spark, sf_dir):
     return out
 
 
+MODELS = {"rf": "rf_prob", "gbt": "gbt_prob", "lr": "lr_prob", "stack": "prob_up"}
+
+
+@register("stack_evaluation_bundle")
+def stack_evaluation_bundle(spark, sf_dir):
+    """Every report (AGG-5..14), AUC included, for the three base models and the stack on
+    the holdout's predictions."""
+    return ev.evaluation_bundle(cut_lineage(stack_scores(spark, sf_dir)), MODELS)
+
+
+def exact_auc_by_mllib(df: DataFrame, score: str) -> float:
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    return BinaryClassificationEvaluator(rawPredictionCol=score, labelCol="label", numBins=0).evaluate(
+        df.select(score, F.col("label").cast("double").alias("label")))
+
+
+@register("stack_evaluation_bundle_check", sql.q_stack_evaluation_bundle_check())
+def stack_evaluation_bundle_check(spark, sf_dir):
+    """Each model's reports equal the single reports of its own predictions, its counts the
+    number of holdout rows, and its AUC MLlib's curve without binning."""
+    preds = cut_lineage(stack_scores(spark, sf_dir))
+    bundle = cut_lineage(ev.evaluation_bundle(preds, MODELS))
+    n = preds.count()
+    again = None
+    for model, column in MODELS.items():
+        own = preds.select("label", F.col(column).alias("prob_up"), (F.col(column) > 0.5).cast("int").alias("prediction"))
+        reports = [
+            ("confusion", ev.confusion(own), "label", "prediction"),
+            ("rates", ev.class_recall(own).join(F.broadcast(ev.accuracy_f1(own))), None, None),      # one row each
+            ("auc", spark.range(1).select(F.lit(exact_auc_by_mllib(own, "prob_up")).alias("auc")), None, None),
+            ("calibration", ev.calibration_table(own), "prob_bin", None), ("calibration_error", ev.calibration_error(own), None, None),
+            ("summary", ev.probability_summary(own), None, None),
+            ("bands", ev.confidence_bands(own).drop("confidence_range"), "band", None),
+            ("confident", ev.confident_subset(own), "threshold", None)]
+        for name, df, item, item2 in reports:
+            values = [c for c in df.columns if c not in (item, item2)]
+            no = F.lit(None).cast("double")
+            tall = df.select(F.lit(model).alias("model"), F.lit(name).alias("report"),
+                             (F.col(item).cast("double") if item else no).alias("item"), (F.col(item2).cast("double") if item2 else no).alias("item2"),
+                             F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("again")) for c in values])))
+            again = tall if again is None else again.unionByName(tall)
+    sides = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("model", "report", "item", "item2", "metric")]
+    both = bundle.filter("metric NOT IN ('positives', 'negatives')").alias("a").join(again.alias("b"), sides, "full")
+    counted = bundle.filter("report = 'confusion'").groupBy("model").agg((F.sum("value") == F.lit(float(n))).alias("complete"))
+    name = {c: F.coalesce(F.col(f"a.{c}"), F.col(f"b.{c}")).alias(c) for c in ("model", "report")}
+    equal = both.groupBy(*name.values()).agg(F.bool_and(_near(F.col("value"), F.col("again"))).alias("equal"))
+    return equal.join(F.broadcast(counted), "model").select("model", "report", "equal", "complete")      # a row a model
+
+
 def _near(a, b, places: float = 1e-9):
     return F.coalesce(F.abs(a - b) < places, a.isNull() & b.isNull())
 
@@ -466,14 +607,11 @@ def feature_importance_check(spark, sf_dir):
 @register("stack_evaluation_check", sql.q_stack_evaluation_check())
 def stack_evaluation_check(spark, sf_dir):
     """The reported metrics equal a recount of the stored holdout predictions: one
-    aggregate, and for AUC the share of ordered pairs from counts per score."""
+    aggregate, and for AUC MLlib's curve without binning."""
     preds = cut_lineage(stack_scores(spark, sf_dir))
     hit = (F.col("label") == F.col("prediction")).cast("double")
     tp = F.sum(F.col("label") * F.col("prediction"))
-    per = preds.groupBy("prob_up").agg(F.sum("label").alias("p"), F.sum(1 - F.col("label")).alias("n"))
-    below = F.coalesce(F.sum("n").over(Window.orderBy("prob_up").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    pairs = per.select("p", "n", below.alias("b")).agg(
-        (F.sum(F.col("p") * (F.col("b") + F.col("n") / 2)) / (F.sum("p") * F.sum("n"))).alias("auc"))
+    auc = exact_auc_by_mllib(preds, "prob_up")
 
     def f1(c):
         both = F.sum(((F.col("label") == c) & (F.col("prediction") == c)).cast("double"))
@@ -483,7 +621,7 @@ def stack_evaluation_check(spark, sf_dir):
     again = preds.agg(F.avg(hit).alias("accuracy"), ((f1(0) + f1(1)) / F.count(F.lit(1))).alias("f1"),
                       (tp / F.sum("label")).alias("up_recall"),
                       (F.sum((1 - F.col("label")) * (1 - F.col("prediction"))) / F.sum(1 - F.col("label"))).alias("down_recall"))
-    wide = again.join(F.broadcast(pairs)).join(F.broadcast(ev.calibration_error(preds).select(
+    wide = again.withColumn("auc", F.lit(auc)).join(F.broadcast(ev.calibration_error(preds).select(
         F.col("mean_abs_calibration_error").alias("calibration_error"))))      # one row each
     names = ["accuracy", "f1", "up_recall", "down_recall", "auc", "calibration_error"]
     tall = wide.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("again")) for m in names])))
@@ -526,13 +664,13 @@ def _replay_candles(spark, sf_dir, parts: int = 4) -> str:
     return out
 
 
-def _run_live(spark, sf_dir, model, feed: str | None = None, tail: int = lv.TAIL) -> str:
+def _run_live(spark, sf_dir, model, feed: str | None = None, **kw) -> str:
     feed = feed or _replay_candles(spark, sf_dir)
     schema = spark.read.parquet(feed).schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", FEED_FILES).parquet(feed)
     out = scratch_path(spark, "live")
     q = lv.start_live(stream, f"{out}/tables", f"{out}/checkpoint", model, {"availableNow": True},
-                      state_partitions=spark.sparkContext.defaultParallelism, tail=tail)
+                      state_partitions=spark.sparkContext.defaultParallelism, **kw)
     q.awaitTermination()
     return f"{out}/tables"
 
@@ -546,9 +684,9 @@ def stream_features(spark, sf_dir):
 
 @register("stream_out_of_order", sql.q_stream_out_of_order())
 def stream_out_of_order(spark, sf_dir):
-    """The candles arrive in any order over the micro-batches, some twice, and every
-    thirteenth first with a wrong close and an older stamp: features and outcomes
-    equal the batch's."""
+    """The candles arrive in any order over the micro-batches, most of them below the
+    tail by then, some twice, and every thirteenth first with a wrong close and an
+    older stamp: features and outcomes equal the batch's."""
     candles = cut_lineage(event_candles(spark, sf_dir))
     stamped = candles.withColumn("ingested_at", F.lit("2030-01-01T00:00:00.000000+00:00"))
     place = F.pmod(F.xxhash64("symbol", "open_time"), F.lit(4))
@@ -560,14 +698,108 @@ def stream_out_of_order(spark, sf_dir):
         part = stamped.filter(place == i).unionByName(wrong.filter(F.pmod(place + 2, F.lit(4)) == i)).unionByName(
             twice.filter(F.pmod(place + 1, F.lit(4)) == i))
         part.repartition(FEED_FILES, "symbol", "open_time").write.parquet(f"{feed}/part={i:04d}")
-    # the tail must hold what may still be moved: here, everything
-    tables = _run_live(spark, sf_dir, None, feed, tail=1 << 40)
-    preds = lv.newest(spark.read.parquet(f"{tables}/predictions"))
-    outs = lv.newest(spark.read.parquet(f"{tables}/outcomes"))
+    tables = _run_live(spark, sf_dir, None, feed)
+    preds = lv.newest(lv.read_table(spark, tables, "predictions"))
+    outs = lv.newest(lv.read_table(spark, tables, "outcomes"))
     return rounded(preds.join(outs, ["symbol", "open_time"], "left").select(
         "symbol", "open_time", "close", *FEATURES, "actual_label"))
 
 
+def _mixed_feed(spark, candles: DataFrame, parts: int) -> str:
+    """The candles in any order over ``parts`` micro-batches, a fifth of them twice."""
+    stamped = candles.withColumn("ingested_at", F.lit("2030-01-01T00:00:00.000000+00:00"))
+    place = F.pmod(F.xxhash64("symbol", "open_time"), F.lit(parts))
+    twice = stamped.filter(F.pmod(F.xxhash64("open_time", "symbol"), F.lit(5)) == 0)
+    feed = scratch_path(spark, "mixed-feed")
+    for i in range(parts):
+        part = stamped.filter(place == i).unionByName(twice.filter(F.pmod(place + 1, F.lit(parts)) == i))
+        part.repartition(FEED_FILES, "symbol", "open_time").write.parquet(f"{feed}/part={i:04d}")
+    return feed
+
+
+@register("stream_compacted", sql.q_stream_out_of_order())
+def stream_compacted(spark, sf_dir):
+    """Out-of-order candles with a snapshot of all tables every second batch, and at the end
+    one of everything, the folders it replaces removed: what is read is the snapshot alone,
+    and it equals the batch."""
+    root = _run_live(spark, sf_dir, None, _mixed_feed(spark, cut_lineage(event_candles(spark, sf_dir)), 5), compact_every=2)
+    for name, order in lv.TABLES.items():
+        tb.compact(spark, root, name, 1 << 30, order)
+        tb.vacuum(spark, root, name)
+    preds, outs = (lv.newest(tb.read_table(spark, root, name)) for name in ("predictions", "outcomes"))
+    return rounded(preds.join(outs, ["symbol", "open_time"], "left").select(
+        "symbol", "open_time", "close", *FEATURES, "actual_label"))
+
+
+@register("stream_restart", sql.q_stream_out_of_order())
+def stream_restart(spark, sf_dir):
+    """The live job is stopped after its first batches and started again on its
+    checkpoint (STR-6): features and outcomes are those of one run, of the batch."""
+    feed, out = _replay_candles(spark, sf_dir), scratch_path(spark, "restart")
+    schema = spark.read.parquet(feed).schema
+
+    def start(trigger):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", FEED_FILES).parquet(feed)
+        return lv.start_live(stream, f"{out}/tables", f"{out}/checkpoint", None, trigger,
+                             state_partitions=spark.sparkContext.defaultParallelism)
+
+    q = start({"processingTime": "0 seconds"})
+    while q.isActive and not q.recentProgress:      # until one batch is through
+        q.awaitTermination(1)
+    q.stop()
+    start({"availableNow": True}).awaitTermination()
+    preds, outs = (lv.newest(lv.read_table(spark, f"{out}/tables", name)) for name in ("predictions", "outcomes"))
+    return rounded(preds.join(outs, ["symbol", "open_time"], "left").select(
+        "symbol", "open_time", "close", *FEATURES, "actual_label"))
+
+
+@register("stream_warm_up", sql.q_stream_warm_up())
+def stream_warm_up(spark, sf_dir):
+    """The feed begins with the newest stored candles of each symbol (STR-7); the
+    first live candle after them is scored at once."""
+    candles = cut_lineage(event_candles(spark, sf_dir))
+    lo, hi = candles.agg(F.min("open_time"), F.max("open_time")).first()
+    now, feed = lo + (hi - lo) // 2, scratch_path(spark, "warm-feed")
+    bus.seed_feed(candles.filter(F.col("open_time") < now), f"{feed}/part=0000")
+    for i in range(2):
+        edge = now + i * ((hi - now) // 2 + 1)
+        part = candles.filter((F.col("open_time") >= edge) & (F.col("open_time") < now + (i + 1) * ((hi - now) // 2 + 1)))
+        part.repartition(FEED_FILES, "symbol", "open_time").write.parquet(f"{feed}/part={i + 1:04d}")
+    preds = lv.newest(lv.read_table(spark, _run_live(spark, sf_dir, None, feed), "predictions"))
+    return rounded(preds.select("symbol", "open_time", "close", *FEATURES))
+
+
+def _defective_records(spark, sf_dir) -> DataFrame:
+    """One-minute candle records as messages, a share of them with a defect each (by
+    the minute): cut text, no symbol, another interval, no stamp, stamped too early."""
+    records = rp.candle_records(event_candles(spark, sf_dir, minutes=1), "1m")
+    minute = F.col("open_time") / 60_000
+
+    def has(rule: str):
+        return F.pmod(minute, F.lit(sql.RECORD_DEFECTS[rule][0])) == sql.RECORD_DEFECTS[rule][1]
+
+    early = records.withColumn("symbol", F.when(~has("no_key"), F.col("symbol"))).withColumn(
+        "interval", F.when(has("bad_interval"), F.lit("5m")).otherwise(F.col("interval"))).withColumn(
+        "ingested_at", F.when(has("no_stamp"), None).when(has("not_closed"), rp.millis_to_utc_text(F.col("open_time") + 20_000, rp.ISO_UTC))
+        .otherwise(F.col("ingested_at")))
+    text = early.select(F.to_json(F.struct(*records.columns)).alias("t"), has("malformed").alias("cut"))
+    return text.select(F.when(F.col("cut"), F.expr("substring(t, 1, length(t) - 3)")).otherwise(F.col("t")).alias("value"))
+
+
+@register("stream_rejects", sql.q_stream_rejects())
+def stream_rejects(spark, sf_dir):
+    """Messages with every kind of defect through the live job's parser: closed records
+    by symbol and rejects by reason, together all messages, read and parsed once."""
+    root = scratch_path(spark, "rejects")
+    _defective_records(spark, sf_dir).write.text(f"{root}/source")
+    messages = bus.read_bus(spark, "text", path=f"{root}/source")
+    start_messages(messages, root, trigger={"availableNow": True}).awaitTermination()
+    good = closed_records(spark, root).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.sum("number_of_trades").alias("trades"))
+    bad = rejects(spark, root).groupBy("reason").agg(F.count("raw").alias("n"))
+    return good.select(F.lit("closed").alias("status"), F.col("symbol").alias("item"), "n", "trades").unionByName(
+        bad.select(F.lit("rejected").alias("status"), F.col("reason").alias("item"), "n", F.lit(None).cast("long").alias("trades")))
+
+
 @register("stream_end_to_end", sql.q_stream_end_to_end())
 def stream_end_to_end(spark, sf_dir):
     """One-minute bus messages as text, in steps of time, some sent twice, through both queries."""
@@ -584,7 +816,7 @@ def stream_end_to_end(spark, sf_dir):
     queries = start_job(messages.select("value"), root, trigger={"availableNow": True}, wait=True,
                         state_partitions=spark.sparkContext.defaultParallelism)
     queries[-1].awaitTermination()
-    preds = lv.newest(spark.read.parquet(f"{root}/tables/predictions"))
+    preds = lv.newest(lv.read_table(spark, f"{root}/tables", "predictions"))
     return rounded(preds.select("symbol", "open_time", "close", *FEATURES))
 
 

@@ -281,6 +281,42 @@ def q_sample_rows(f: float = 0.2) -> str:
             f"WHERE symbol IN (SELECT symbol FROM splits WHERE split_rank < floor(split_size * {f}::DOUBLE))")
 
 
+def q_holdout_symbol_files(f: float = 0.2) -> str:
+    return f"""WITH daily AS (
+  SELECT CAST(l_suppkey AS VARCHAR) AS symbol, epoch_ms(date_trunc('day', l_shipdate)) AS open_time,
+         CAST(count(*) AS BIGINT) AS number_of_trades
+  FROM lineitem GROUP BY 1, 2),
+ranked AS (
+  SELECT symbol, row_number() OVER (ORDER BY symbol) - 1 AS rk, count(*) OVER () AS n FROM (SELECT DISTINCT symbol FROM daily)),
+sides AS (
+  SELECT symbol, CASE WHEN rk < floor(n * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split,
+         CASE WHEN rk < floor(n * 0.8::DOUBLE) THEN rk ELSE rk - floor(n * 0.8::DOUBLE) END AS own,
+         CASE WHEN rk < floor(n * 0.8::DOUBLE) THEN floor(n * 0.8::DOUBLE) ELSE n - floor(n * 0.8::DOUBLE) END AS size
+  FROM ranked)
+SELECT 'all' AS part, split, symbol, open_time, number_of_trades FROM daily JOIN sides USING (symbol)
+UNION ALL
+SELECT 'sample' AS part, split, symbol, open_time, number_of_trades FROM daily JOIN sides USING (symbol)
+WHERE own < floor(size * {f}::DOUBLE)"""
+
+
+def q_symbol_from_file_name() -> str:
+    return f"""WITH {TRADES}, {candles_cte()},
+ranked AS (
+  SELECT symbol, row_number() OVER (ORDER BY symbol) - 1 AS rk, count(*) OVER () AS n FROM (SELECT DISTINCT symbol FROM candles))
+SELECT symbol, open_time, {rnd('close')}, CASE WHEN rk < floor(n * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split
+FROM candles JOIN ranked USING (symbol)"""
+
+
+def q_ordered_candles() -> str:
+    return f"""WITH {TRADES}, {candles_cte()}
+SELECT symbol, open_time, {rnd('close')}, row_number() OVER (ORDER BY symbol, open_time) AS position FROM candles"""
+
+
+def q_walk_forward_folds_daily(k: int = 3) -> str:
+    return f"""WITH {_DAILY.strip()}
+SELECT symbol, open_time, CAST(ntile({k}) OVER (ORDER BY open_time, symbol) - 1 AS INTEGER) AS fold FROM daily"""
+
+
 def q_class_balance() -> str:
     return f"""{_fm()}, c AS (SELECT label, CAST(count(*) AS BIGINT) AS count FROM fm GROUP BY label)
 SELECT label, count, {rnd('count * 100.0::DOUBLE / sum(count) OVER ()', 'pct')} FROM c"""
@@ -372,6 +408,10 @@ SELECT open_time, {rnd('open')}, {rnd('high')}, {rnd('low')}, {rnd('close')}, {r
 FROM candles"""
 
 
+def q_bus_round_trip() -> str:
+    return q_parse_candle_records().replace("AS ingested_at", "AS ingested_at, CAST(0 AS BIGINT) AS rejected")
+
+
 # ---- scores, signals, evaluation -------------------------------------------
 # The transparent momentum score used to check the report operators:
 # x = 20 * price_momentum, p = 0.5 + 0.5 * x / (1 + |x|).
@@ -500,6 +540,76 @@ FROM preds""")
     return f"{_scored()} " + " UNION ALL ".join(parts)
 
 
+#: model -> (feature, weight): the score's x is 20 * feature * weight
+FOUR_SCORES = {"momentum": ("price_momentum", 1.0), "short": ("price_to_sma5", 0.5), "long": ("price_to_sma20", 0.25),
+               "band": ("bb_position", 0.001)}
+
+
+def q_evaluation_bundle(thresholds=(0.6, 0.7)) -> str:
+    """Every report, for one model at a time, from its own rows."""
+    scores = " UNION ALL ".join(
+        f"SELECT '{m}' AS model, label, 0.5::DOUBLE + 0.5::DOUBLE * (20.0::DOUBLE * ({c} * {w}::DOUBLE)) "
+        f"/ (1.0::DOUBLE + abs(20.0::DOUBLE * ({c} * {w}::DOUBLE))) AS p FROM feats "
+        f"WHERE {complete_where()} AND next_close IS NOT NULL" for m, (c, w) in FOUR_SCORES.items())
+
+    def out(report, metric, value, source, item="CAST(NULL AS DOUBLE)", item2="CAST(NULL AS DOUBLE)"):
+        return (f"SELECT model, '{report}' AS report, round(CAST({item} AS DOUBLE), {R}) AS item, CAST({item2} AS DOUBLE) AS item2, "
+                f"'{metric}' AS metric, {rnd(value, 'value')} FROM {source}")
+
+    f = "CASE WHEN p{0} + r{0} = 0 THEN 0.0 ELSE 2 * p{0} * r{0} / (p{0} + r{0}) END"
+    rows = [out("confusion", "count", "n", "conf", "label", "hit")]
+    rows += [out("rates", m, v, "pr") for m, v in (
+        ("up_recall", "r1"), ("down_recall", "r0"), ("accuracy", "(tp1 + tp0) / n"), ("count", "n"),
+        ("f1", f"{f.format(1)} * ((tp1 + fn1) / n) + {f.format(0)} * ((tp0 + fp1) / n)"))]
+    rows += [out("auc", m, v, "auc") for m, v in (("auc", "auc"), ("positives", "pos"), ("negatives", "neg"))]
+    rows += [out("calibration", m, v, "cal", "prob_bin") for m, v in (
+        ("count", "n"), ("avg_predicted_prob", "said"), ("actual_prob_up", "was"), ("calibration_error", "was - said"))]
+    rows += [out("calibration_error", m, v, "(SELECT model, sum(n * abs(was - said)) / sum(n) AS e, count(*) AS k FROM cal GROUP BY model)")
+             for m, v in (("mean_abs_calibration_error", "e"), ("bins", "k"))]
+    rows += [out("summary", m, v, "(SELECT model, count(p) AS n, avg(p) AS a, stddev_samp(p) AS s, min(p) AS lo, max(p) AS hi FROM preds GROUP BY model)")
+             for m, v in (("count", "n"), ("mean", "a"), ("stddev", "s"), ("min", "lo"), ("max", "hi"))]
+    rows += [out("bands", "count", "n", "(SELECT model, CASE WHEN p < 0.45::DOUBLE THEN 0 WHEN p < 0.50::DOUBLE THEN 1 WHEN p < 0.55::DOUBLE THEN 2 "
+                 "WHEN p < 0.60::DOUBLE THEN 3 WHEN p < 0.65::DOUBLE THEN 4 WHEN p < 0.70::DOUBLE THEN 5 ELSE 6 END AS band, "
+                 "count(*) AS n FROM preds GROUP BY ALL)", "band")]
+    for t in thresholds:
+        inside = f"(p >= {t}::DOUBLE OR p <= 1.0::DOUBLE - {t}::DOUBLE)"
+        source = (f"(SELECT model, count(*) AS n, count(*) FILTER (WHERE {inside}) AS k, count(*) FILTER (WHERE hit = label) AS h, "
+                  f"count(*) FILTER (WHERE {inside} AND hit = label) AS c FROM preds GROUP BY model)")
+        rows += [out("confident", m, v, source, f"{t}") for m, v in (
+            ("count", "k"), ("pct_of_total", "k * 100.0 / n"), ("accuracy", "CASE WHEN k > 0 THEN c::DOUBLE / k END"),
+            ("overall_accuracy", "h::DOUBLE / n"))]
+    return f"""{_feature_base()},
+raw AS ({scores}), preds AS (SELECT *, CAST(p > 0.5::DOUBLE AS INTEGER) AS hit FROM raw),
+conf AS (SELECT model, label, hit, count(*) AS n FROM preds GROUP BY ALL),
+cells AS (
+  SELECT model, count(*) FILTER (WHERE label = 1 AND hit = 1)::DOUBLE AS tp1, count(*) FILTER (WHERE label = 0 AND hit = 1)::DOUBLE AS fp1,
+         count(*) FILTER (WHERE label = 1 AND hit = 0)::DOUBLE AS fn1, count(*) FILTER (WHERE label = 0 AND hit = 0)::DOUBLE AS tp0,
+         count(*) AS n FROM preds GROUP BY model),
+pr AS (
+  SELECT *, CASE WHEN tp1 + fp1 > 0 THEN tp1 / (tp1 + fp1) ELSE 0.0 END AS p1, CASE WHEN tp1 + fn1 > 0 THEN tp1 / (tp1 + fn1) ELSE 0.0 END AS r1,
+            CASE WHEN tp0 + fn1 > 0 THEN tp0 / (tp0 + fn1) ELSE 0.0 END AS p0, CASE WHEN tp0 + fp1 > 0 THEN tp0 / (tp0 + fp1) ELSE 0.0 END AS r0
+  FROM cells),
+steps AS (SELECT model, p, sum(label) AS pos, count(*) - sum(label) AS neg FROM preds GROUP BY model, p),
+below AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY model ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM steps),
+auc AS (SELECT model, sum(pos * (2 * b + neg))::DOUBLE / (2.0 * sum(pos) * sum(neg)) AS auc, sum(pos) AS pos, sum(neg) AS neg FROM below GROUP BY model),
+cal AS (SELECT model, round(floor(p * 20) / 20.0, 2) AS prob_bin, count(*) AS n, avg(p) AS said, avg(CASE WHEN label = 1 THEN 1.0 ELSE 0.0 END) AS was
+        FROM preds GROUP BY 1, 2)
+{" UNION ALL ".join(rows)}"""
+
+
+def q_ordered_reports() -> str:
+    def out(name, source, item):
+        return (f"SELECT '{name}' AS report, CAST(row_number() OVER (ORDER BY {item}) AS INTEGER) AS position, "
+                f"{rnd(item, 'item')}, CAST(count AS BIGINT) AS count FROM {source}")
+    folds = "(SELECT fold, count(*) AS count FROM (SELECT ntile(3) OVER (ORDER BY open_time, symbol) - 1 AS fold FROM preds) GROUP BY fold)"
+    bands = q_confidence_bands().split("b AS (", 1)[1].split(")\nSELECT", 1)[0]
+    return f"""{_scored()}, {_CAL}, b AS ({bands})
+{out('calibration', 'cal', 'prob_bin')}
+UNION ALL {out('bands', '(SELECT band, count(*) AS count FROM b GROUP BY band)', 'band')}
+UNION ALL {out('folds', folds, 'fold')}
+UNION ALL {out('classes', '(SELECT label, count(*) AS count FROM preds GROUP BY label)', 'label')}"""
+
+
 def q_prediction_outcomes() -> str:
     return f"""{_scored(False)},
 outc AS (SELECT symbol, open_time, label AS actual_label FROM feats WHERE next_close IS NOT NULL)
@@ -571,6 +681,34 @@ def q_stack_evaluation_check() -> str:
     return "SELECT metric, TRUE AS equal FROM (VALUES " + ", ".join(f"('{m}')" for m in names) + ") AS t(metric)"
 
 
+def q_stack_evaluation_bundle_check() -> str:
+    reports = ("confusion", "rates", "auc", "calibration", "calibration_error", "summary", "bands", "confident")
+    return ("SELECT model, report, TRUE AS equal, TRUE AS complete FROM (VALUES ('rf'), ('gbt'), ('lr'), ('stack')) AS m(model), "
+            "(VALUES " + ", ".join(f"('{r}')" for r in reports) + ") AS r(report)")
+
+
+def q_stream_warm_up() -> str:
+    """Rows from each symbol's newest candle before the middle of the time range on."""
+    return q_stream_features() + """
+AND (symbol, open_time) IN (
+  SELECT c.symbol, c.open_time FROM candles c JOIN (
+    SELECT symbol, max(open_time) AS first FROM candles
+    WHERE open_time < (SELECT min(open_time) + (max(open_time) - min(open_time)) // 2 FROM candles) GROUP BY symbol) s
+  ON c.symbol = s.symbol AND c.open_time >= s.first)"""
+
+
+#: defects of the message query, by the minute (modulus, remainder); the first that applies is the reason
+RECORD_DEFECTS = {"malformed": (41, 4), "no_key": (43, 5), "bad_interval": (37, 3), "no_stamp": (31, 2), "not_closed": (29, 1)}
+
+
+def q_stream_rejects() -> str:
+    when = " ".join(f"WHEN (open_time // 60000) % {m} = {r} THEN '{name}'" for name, (m, r) in RECORD_DEFECTS.items())
+    return f"""WITH {TRADES}, {candles_cte(1)}, tagged AS (SELECT *, CASE {when} END AS reason FROM candles)
+SELECT 'closed' AS status, symbol AS item, CAST(count(*) AS BIGINT) AS n, CAST(sum(number_of_trades) AS BIGINT) AS trades
+FROM tagged WHERE reason IS NULL GROUP BY symbol
+UNION ALL SELECT 'rejected', reason, count(*), NULL FROM tagged WHERE reason IS NOT NULL GROUP BY reason"""
+
+
 def q_stream_scores_check() -> str:
     return f"{_feature_base()} SELECT symbol, open_time, TRUE AS equal FROM feats WHERE {complete_where()}"
 

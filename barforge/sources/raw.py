@@ -169,20 +169,42 @@ def route_intervals(records: DataFrame, candle_minutes: int = 30) -> DataFrame:
     return native.unionByName(built)
 
 
-def split_closed(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(closed, rejects)``: records whose bar had ended when it was stamped
-    (open_time + interval <= ingested_at; records carry no closed flag), and the
-    others with a reason. A NULL interval is 1m, as in ``route_intervals``."""
-    interval = F.coalesce(F.col("interval"), F.lit("1m"))
+def closed_reason(record: str = "") -> Column:
+    """Why a record is no closed candle, NULL if it is one: its bar must have ended when
+    it was stamped (open_time + interval <= ingested_at; records carry no closed flag).
+    A NULL interval is 1m, as in ``route_intervals``."""
+    at = f"{record}." if record else ""
+    interval = F.coalesce(F.col(f"{at}interval"), F.lit("1m"))
     step = F.coalesce(*[F.when(interval == i, F.lit(interval_ms(i))) for i in VALID_INTERVALS])
-    stamp = F.unix_micros(F.to_timestamp("ingested_at")) / F.lit(1000)
-    reason = (F.when(F.col("symbol").isNull() | F.col("open_time").isNull(), "no_key")
-              .when(step.isNull(), "bad_interval").when(stamp.isNull(), "no_stamp")
-              .when(F.col("open_time") + step > stamp, "not_closed"))
-    tagged = records.withColumn("interval", interval).withColumn("reason", reason)
+    stamp = F.unix_micros(F.to_timestamp(F.col(f"{at}ingested_at"))) / F.lit(1000)
+    return (F.when(F.col(f"{at}symbol").isNull() | F.col(f"{at}open_time").isNull(), "no_key")
+            .when(step.isNull(), "bad_interval").when(stamp.isNull(), "no_stamp")
+            .when(F.col(f"{at}open_time") + step > stamp, "not_closed"))
+
+
+def split_closed(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(closed, rejects)``: the closed records, and the others with a reason (see
+    ``closed_reason``)."""
+    tagged = records.withColumn("reason", closed_reason()).withColumn("interval", F.coalesce("interval", F.lit("1m")))
     return (tagged.filter(F.col("reason").isNull()).drop("reason"), tagged.filter(F.col("reason").isNotNull()))
 
 
+def tag_closed(tagged: DataFrame) -> DataFrame:
+    """A tagged table (``raw``, ``reason``, ``record``) with the records that are no closed
+    candles tagged too: every message once, in one table, by ``status`` ('closed' with
+    the record's columns, or 'rejected' with the text and the reason)."""
+    once = tagged.select("raw", "record", F.explode(F.array(F.coalesce("reason", closed_reason("record")))).alias("reason"))
+    good = F.col("reason").isNull()
+    cols = [F.when(good, F.coalesce(F.col("record.interval"), F.lit("1m")) if f.name == "interval" else F.col(f"record.{f.name}"))
+            .alias(f.name) for f in STREAM_RECORD_SCHEMA.fields]
+    return once.select(*cols, F.when(~good, F.col("raw")).alias("raw"), "reason",
+                       F.when(good, F.lit("closed")).otherwise(F.lit("rejected")).alias("status"))
+
+
+#: the layout of ``tag_closed``
+MESSAGE_SCHEMA = T.StructType([*STREAM_RECORD_SCHEMA.fields, *(T.StructField(n, T.StringType()) for n in ("raw", "reason", "status"))])
+
+
 def closed_only(records: DataFrame) -> DataFrame:
     """The closed records alone (see ``split_closed``)."""
     return split_closed(records)[0]
@@ -200,5 +222,5 @@ def latest_closed(records: DataFrame) -> DataFrame:
 
 
 __all__ = ["parse_candle_records", "parse_exchange_events", "parse_kline_arrays", "tag_candle_records",
-           "tag_exchange_events", "split_tagged", "route_intervals", "split_closed", "closed_only",
+           "tag_exchange_events", "tag_closed", "split_tagged", "route_intervals", "split_closed", "closed_only",
            "latest_closed", "epoch_micros"]

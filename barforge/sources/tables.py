@@ -17,6 +17,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barforge.functions.time import epoch_micros
 
@@ -31,7 +32,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def read_symbol_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """Scan one-parquet-per-symbol history; the symbol is the file's base name.
 
-    Uses the ``_metadata.file_path`` column (no Python, pruned like any column).
+    Uses the ``_metadata.file_path`` column: no Python, and a filter that compares the
+    symbol with literals is applied to the file list when the scan is planned.
     """
     paths = [paths] if isinstance(paths, str) else paths
     df = spark.read.parquet(*paths)
@@ -39,6 +41,18 @@ def read_symbol_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
         "symbol", F.regexp_extract(F.col("_metadata.file_path"), SYMBOL_FROM_FILE, 1))
 
 
+def write_symbol_files(candles: DataFrame, path: str) -> None:
+    """History laid out by symbol: ``symbol=X`` folders. The rows are rebalanced by
+    symbol: small symbols share a task, a symbol with very many rows is split over several
+    tasks and files."""
+    candles.hint("rebalance", "symbol").write.partitionBy("symbol").parquet(path)
+
+
+def read_symbol_folders(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Scan ``symbol=X`` folders; with the schema given, a symbol of digits stays text."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def _trade_bars(symbol, time_col, price, taker, order) -> list:
     return [
         symbol.alias("symbol"), time_col.alias("open_time"), order.alias("trade_order"),

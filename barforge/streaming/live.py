@@ -12,10 +12,14 @@ on, and exactly those are written again with a higher ``seq`` (the batch id);
 newest. Of two versions of one candle the later ``ingested_at`` wins, of equal
 stamps the one that arrived last, of equal ones in a batch the larger values.
 
-A candle so old that its place or its lookback has left the tail goes to the
-``late`` table with all its values; nothing is dropped. The tail of batch n is
-written to slot ``n % 3`` and read from slot ``(n - 1) % 3``, so a batch replayed
-after a failure reads and writes the same files.
+Candles that leave the tail go to the ``history`` table. An arrival below the tail
+goes there too, and to the ``late`` table with its values; the rows it moves, like
+those whose lookback has left the tail, are computed again in the same batch from
+history and tail (``streaming.repair``): after every batch the newest
+rows equal what the batch operators make of all candles arrived so far. The tail of
+batch n is written to slot ``n % 3`` and read from slot ``(n - 1) % 3``, and stored
+tables are read as of the batches before, so a batch replayed after a failure
+reads and writes the same files.
 """
 
 from __future__ import annotations
@@ -29,6 +33,8 @@ from barforge.operators.features import add_features, next_candle_label
 from barforge.operators.outcomes import prediction_log
 from barforge.plans import stack as st
 from barforge.schema import CANDLE_COLUMNS, FEATURES, LOOKBACK, WINDOW_SIZE
+from barforge.streaming.repair import candle_state, recompute
+from barforge.streaming.tables import compact, newest, read_table, write_batch
 
 VALUES = CANDLE_COLUMNS[2:]
 KEY = ["symbol", "open_time"]
@@ -86,16 +92,38 @@ def outcomes_of(rows: DataFrame) -> DataFrame:
 
 def features_of(rows: DataFrame) -> DataFrame:
     """Features of every moved candle with a full lookback, by the batch operator."""
-    feats = add_features(rows, label=False).select(*KEY, "close", *FEATURES)
+    feats = add_features(rows, label=False, split=False).select(*KEY, "close", *FEATURES)
     kinds = rows.filter("moved").select(*KEY, F.when(F.col("known"), "update").otherwise("window").alias("kind"))
     return feats.join(kinds, KEY).select(*KEY, "kind", "close", *FEATURES)
 
 
 def without_lookback(rows: DataFrame) -> DataFrame:
-    """Moved candles whose lookback has left the tail: they cannot be scored again."""
+    """Moved candles whose lookback has left the tail."""
     return rows.filter(F.col("moved") & F.col("_floor").isNotNull() & (F.col("_place") <= LOOKBACK))
 
 
+def late_rows(late: DataFrame, rows: DataFrame) -> DataFrame:
+    """The seeds of a repair, with their values: arrivals below the tail, and rows
+    of the tail without their lookback."""
+    return late.select(*KEY, *VALUES, "version", F.lit("below").alias("reason")).unionByName(
+        without_lookback(rows).select(*KEY, *VALUES, "version", F.lit("lookback").alias("reason")))
+
+
+def repaired(root: str, batch_id: int, seeds: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(features, outcomes)`` of the rows that ``seeds`` move and the tail cannot give."""
+    below = seeds.filter("reason = 'below'").select(*KEY, *VALUES, "version", F.lit(batch_id).cast("long").alias("seq"),
+                                                    F.lit(1).alias("spread"))
+    before = read_table(rows.sparkSession, root, "history", batch_id)
+    stored = below if before is None else below.unionByName(
+        before.select(*KEY, *VALUES, "version", "seq", F.lit(None).cast("int").alias("spread")))
+    marks = seeds.filter("reason = 'lookback'").select(*KEY, F.lit(0).alias("spread"))
+    feats, outs = recompute(candle_state(stored, rows.join(marks, KEY, "left")))
+    # the tail's own rows of this batch are written already
+    theirs = rows.filter(F.col("moved") & (F.col("_floor").isNull() | (F.col("_place") > LOOKBACK))).select(*KEY)
+    return (feats.join(theirs, KEY, "left_anti").select(*KEY, F.lit("repair").alias("kind"), "close", *FEATURES),
+            outs.join(rows.filter("answered").select(*KEY), KEY, "left_anti"))
+
+
 def tail_of(rows: DataFrame, size: int) -> DataFrame:
     kept = F.col("_place") > F.col("_count") - size
     cut = F.when((F.col("_count") > size) | F.col("_floor").isNotNull(), F.min(F.when(kept, F.col("open_time"))).over(
@@ -103,6 +131,13 @@ def tail_of(rows: DataFrame, size: int) -> DataFrame:
     return rows.withColumn("_cut", cut).filter(kept).select(*KEY, *VALUES, "version", F.col("_cut").alias("floor"))
 
 
+def below_the_tail(rows: DataFrame, seeds: DataFrame, size: int) -> DataFrame:
+    """What history gains: the candles that the tail lets go, and arrivals below it."""
+    gone = rows.filter(F.col("_place") <= F.col("_count") - size)
+    return gone.select(*KEY, *VALUES, "version").unionByName(
+        seeds.filter("reason = 'below'").select(*KEY, *VALUES, "version"))
+
+
 def _started(writer, spark, state_partitions: int | None) -> StreamingQuery:
     """Start ``writer``; with ``state_partitions`` the query's state store gets
     that many partitions (a streaming query copies the session conf when it
@@ -119,34 +154,48 @@ def _started(writer, spark, state_partitions: int | None) -> StreamingQuery:
         spark.conf.set(key, before)
 
 
+#: the tables and what makes a row of a key the newest
+TABLES = {"predictions": ("seq",), "outcomes": ("seq",), "history": ("version", "seq"), "late": ("version", "seq")}
+
+
 def start_live(candles: DataFrame, root: str, checkpoint: str, model: PipelineModel | None = None,
                trigger: dict | None = None, name: str | None = None,
-               state_partitions: int | None = None, tail: int = TAIL) -> StreamingQuery:
+               state_partitions: int | None = None, tail: int = TAIL, compact_every: int = 0) -> StreamingQuery:
     """Run the live job, writing append-only tables under ``root`` (SNK-1, SNK-2,
     STR-4..6, STR-8): ``predictions`` (features and, with a model, final_prob /
-    prediction), ``outcomes`` and ``late``, each batch in its ``batch=<id>``
-    folder with overwrite. ``tail`` candles of each symbol are carried over.
-    The source's rate limit bounds a micro-batch."""
+    prediction), ``outcomes``, ``late`` and ``history``, each batch in its
+    ``batch=<id>`` folder with overwrite. ``tail`` candles of each symbol are
+    carried over; ``compact_every`` batches (0: never) the folders before the
+    batch are folded into a snapshot. The source's rate limit bounds a micro-batch."""
     if tail < WINDOW_SIZE:
         raise ValueError("the tail must hold a whole window")
 
+    def scored(feats: DataFrame) -> DataFrame:
+        return (st.score(model, feats, keep=("close", "kind")).withColumnRenamed("prob_up", "final_prob")
+                if model is not None else feats)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         kept = spark.read.parquet(f"{root}/tail/slot={(batch_id - 1) % 3}") if batch_id else None
         merged, late = merge(batch, kept)
         rows = affected(merged).persist()
         feats = features_of(rows).persist()
+        seeds = late_rows(late, rows).persist()
         try:
             # scored from the stored rows: the formulas are not planned again
-            out = (st.score(model, feats, keep=("close", "kind")).withColumnRenamed("prob_up", "final_prob")
-                   if model is not None else feats)
-            seq = F.lit(batch_id).cast("long").alias("seq")
-            for table, df in (("predictions", out), ("outcomes", outcomes_of(rows)),
-                              ("late", late.select(*KEY, *VALUES, "version").unionByName(
-                                  without_lookback(rows).select(*KEY, *VALUES, "version")))):
-                df.select("*", seq).write.mode("overwrite").parquet(f"{root}/{table}/batch={batch_id}")
+            predictions, outcomes = scored(feats), outcomes_of(rows)
+            if not seeds.isEmpty():
+                more, answers = repaired(root, batch_id, seeds, rows)
+                predictions = predictions.unionByName(scored(more))
+                outcomes = outcomes.unionByName(answers)
+            for table, df in zip(TABLES, (predictions, outcomes, below_the_tail(rows, seeds, tail), seeds)):
+                write_batch(df, root, table, batch_id)
             tail_of(rows, tail).write.mode("overwrite").parquet(f"{root}/tail/slot={batch_id % 3}")
+            if compact_every and batch_id and batch_id % compact_every == 0:
+                for table, order in TABLES.items():
+                    compact(spark, root, table, batch_id - 1, order)
         finally:
+            seeds.unpersist()
             feats.unpersist()
             rows.unpersist()
 
@@ -168,13 +217,6 @@ def start(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
     return _started(w, df.sparkSession, state_partitions)
 
 
-def newest(table: DataFrame) -> DataFrame:
-    """The newest version of every key (one row a key and batch)."""
-    rest = [c for c in table.columns if c not in (*KEY, "seq", "batch")]
-    best = table.groupBy(*KEY).agg(F.max_by(F.struct(*rest), "seq").alias("v"))
-    return best.select(*KEY, *[F.col(f"v.{c}").alias(c) for c in rest])
-
-
 def log_view(predictions: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Prediction log over the append-only tables; the newest version per key wins."""
     return prediction_log(newest(predictions.select(*KEY, "close", "final_prob", "prediction", "seq")),
