@@ -9,8 +9,10 @@ gives endless repetition away), become a probability by a logistic curve fitted
 on labelled rows that the dictionaries have not seen.
 
 Training reads a bounded sample of the labelled rows (``PER_CLASS`` rows a
-class, the ones with the smallest hash of their id, ``SAMPLE_BYTES`` of each);
-scoring reads every text whole. Both dictionaries (``DICT_BYTES`` each) travel
+class, the ones with the smallest hash of their id). The dictionaries learn from
+pieces of their texts, ``SAMPLE_BYTES`` of each in pieces spread by hash over the whole
+text; the curve is fitted on the sizes of whole texts, computed in Spark; scoring reads
+every text whole. Both dictionaries (``DICT_BYTES`` each) travel
 to the tasks inside the scoring function.
 
 Defined cases: a null or empty text has sizes that don't differ and gets the
@@ -122,21 +124,41 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, id_col:
     few = [marked.where(F.col("_y") == y).orderBy(order, "_id").limit(per_class) for y in (0, 1)]
     chosen = few[0].unionByName(few[1])
     # at most 2 * per_class ids: broadcast, the documents are not shuffled
-    rows = (docs.select(F.col(id_col).alias("_id"), text_bytes(F.col(text_col)).alias("_t"))
-            .join(F.broadcast(chosen), "_id")
-            .groupBy("_id", "_y").agg(F.min(F.substring("_t", 1, SAMPLE_BYTES)).alias("_t"))
-            .orderBy(F.xxhash64(F.col("_id").cast("string")), "_id").collect())
-    texts = {y: [bytes(r["_t"]) for r in rows if r["_y"] == y and r["_t"]] for y in (0, 1)}
-    if min(map(len, texts.values())) < 2:
+    rows = docs.select(F.col(id_col).alias("_id"), text_bytes(F.col(text_col)).alias("_t")).where("length(_t) > 0").join(
+        F.broadcast(chosen), "_id")
+    pieces = (rows.groupBy("_id", "_y").agg(F.min(spread_pieces(F.col("_t"), F.col("_id").cast("string"))).alias("_p"))
+              .orderBy(F.xxhash64(F.col("_id").cast("string")), "_id").collect())
+    learnt = {y: [r for r in pieces if r["_y"] == y] for y in (0, 1)}
+    if min(map(len, learnt.values())) < 2:
         return CompressionModel(None, None)
     # even rows make the dictionaries, odd rows the curve
-    model = CompressionModel(dictionary(texts[1][::2]), dictionary(texts[0][::2]))
-    held = texts[0][1::2] + texts[1][1::2]
-    y = np.array([0] * len(texts[0][1::2]) + [1] * len(texts[1][1::2]))
+    model = CompressionModel(*(dictionary([bytes(r["_p"]) for r in learnt[y][::2]]) for y in (1, 0)))
+    held = [r["_id"] for y in (0, 1) for r in learnt[y][1::2]]
+    x = whole_differences(rows.where(F.col("_id").isin(held)), model)
+    y = np.array([0] * len(learnt[0][1::2]) + [1] * len(learnt[1][1::2]))
     total = {r["_y"]: r["n"] for r in marked.groupBy("_y").agg(F.count("*").alias("n")).collect()}
     share = np.array([total[0], total[1]]) / np.bincount(y, minlength=2)
     return CompressionModel(model.good, model.bad,
-                            logistic(model.differences(held), y, share[y] / share[y].mean()))
+                            logistic(np.array([x[i] for i in held]), y, share[y] / share[y].mean()))
+
+
+def spread_pieces(text: Column, key: Column) -> Column:
+    """At most ``SAMPLE_BYTES`` of a text in pieces of ``PIECE`` bytes from all over it: those of
+    least hash, in their order (a shorter text whole)."""
+    n = F.greatest(F.ceil(F.octet_length(text) / PIECE), F.lit(1)).cast("int")
+    ranked = F.array_sort(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(F.xxhash64(key, i).alias("h"), i.alias("i"))))
+    chosen = F.array_sort(F.transform(F.slice(ranked, 1, SAMPLE_BYTES // PIECE), lambda p: p["i"]))
+    return F.aggregate(chosen, F.lit(b""), lambda done, i: F.concat(done, F.substring(text, i * PIECE + 1, F.lit(PIECE))))
+
+
+def whole_differences(rows: DataFrame, model: CompressionModel) -> dict:
+    """``_id`` -> the curve's numbers of the whole text (of repeated ids the least)."""
+    @F.pandas_udf("array<double>")
+    def numbers(texts: pd.Series) -> pd.Series:
+        return pd.Series(list(model.differences(texts.tolist())))
+
+    found = small_batches(rows).select("_id", numbers(F.col("_t")).alias("x")).groupBy("_id").agg(F.min("x").alias("x"))
+    return {r["_id"]: r["x"] for r in found.collect()}      # at most PER_CLASS rows
 
 
 def score(docs: DataFrame, model: CompressionModel, text_col: str = "text",
