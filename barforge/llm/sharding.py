@@ -34,26 +34,43 @@ SHARDS = 8
 ACCURACY = 10000
 
 
-def text_number(c: Column) -> Column:
-    """A long that grows with the first seven bytes of a string."""
-    padded = F.rpad(F.hex(F.substring(F.coalesce(c, F.lit("")).cast("binary"), 1, 7)), 14, "0")
-    return F.conv(padded, 16, 10).cast("long")
-
-
 def dimensions(docs: DataFrame) -> dict[str, Column]:
-    return {"size": text_size(F.col("text")), "lang": text_number(F.col("lang")),
-            "source": text_number(F.col("source")), "doc_id": F.col("doc_id").cast("long")}
+    return {"size": text_size(F.col("text")), "lang": F.coalesce(F.col("lang").cast("string"), F.lit("")),
+            "source": F.coalesce(F.col("source").cast("string"), F.lit("")), "doc_id": F.col("doc_id").cast("long")}
 
 
 def text_size(text: Column) -> Column:
     return (F.octet_length(F.coalesce(text, F.lit(""))) + 1).cast("long")
 
 
+def text_cuts(rows: DataFrame, name: str, bits: int) -> list[str]:
+    """The whole values that stand at the quantiles of a text column, exactly: rows are
+    counted per distinct value, the counts sorted in blocks, and each quantile is looked up
+    inside the one block that holds it."""
+    counts = rows.groupBy(name).agg(F.count("*").alias("n"))
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = stored(counts.repartitionByRange(n, name).withColumn("block", F.spark_partition_id()), "value-counts")
+    totals = blocks.groupBy("block").agg(F.sum("n").alias("n")).orderBy("block").collect()      # a row a partition
+    total, done, wanted = sum(r["n"] for r in totals), 0, []
+    for r in totals:
+        wanted += [(r["block"], rank - done) for i in range(1, 1 << bits) if done <= (rank := total * i >> bits) < done + r["n"]]
+        done += r["n"]
+    if not wanted:
+        return []
+    upto = F.sum("n").over(Window.partitionBy("block").orderBy(name).rowsBetween(Window.unboundedPreceding, 0))
+    inside = blocks.where(F.col("block").isin(sorted({b for b, _ in wanted}))).withColumn("upto", upto)
+    hit = [(F.col("block") == b) & (F.col("upto") - F.col("n") <= r) & (F.lit(r) < F.col("upto")) for b, r in wanted]
+    found = inside.select(name, F.explode(F.array(*hit)).alias("hit")).where("hit").orderBy(name)
+    return [r[0] for r in found.collect()]      # a row a quantile
+
+
 def level_cuts(rows: DataFrame, names: list[str], bits: int = BITS) -> dict[str, list]:
     """Quantiles of every dimension over all rows."""
+    text = [n for n in names if rows.schema[n].dataType.typeName() == "string"]
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    got = rows.agg(*[F.percentile_approx(n, shares, ACCURACY).alias(n) for n in names]).first()
-    return {n: list(got[n] or []) for n in names}
+    numbers = [n for n in names if n not in text]
+    got = rows.agg(F.lit(0), *[F.percentile_approx(n, shares, ACCURACY).alias(n) for n in numbers]).first()
+    return {n: text_cuts(rows, n, bits) if n in text else list(got[n] or []) for n in names}
 
 
 def level(value: Column, cuts: list) -> Column:

@@ -54,3 +54,19 @@ def test_edge_rows(spark):
     per = [sum(r["shard"] == s for r in out) for s in range(8)]
     assert sum(per) == 23 and max(per) - min(per) <= 1
     assert sd.shards(docs.limit(0)).count() == 0
+
+
+def test_sources_with_a_long_common_beginning_are_pruned_apart(spark):
+    """Whole values make the levels, in the order of the values."""
+    names = [f"https://www.example.org/archive/{i:02d}/" for i in range(16)]
+    rows = [(i, "t" * (i % 97), names[i % 16]) for i in range(3200)] + [(None, "x", None)] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    source = F.coalesce("source", F.lit(""))
+    cuts = sd.text_cuts(docs.select(source.alias("s")), "s", 4)
+    values = sorted([n for _, _, n in rows if n] + [""] * 5)
+    assert cuts == [values[len(values) * i >> 4] for i in range(1, 16)]
+    out = sd.shards(docs, 8, dims={"source": source, "doc_id": F.col("doc_id")})
+    own = out.join(docs.where("doc_id IS NOT NULL"), F.col("id") == F.col("doc_id")).groupBy("source").agg(F.count_distinct("shard").alias("n"))
+    # a reader of one source opens few of the eight shards
+    assert own.agg(F.avg("n")).first()[0] < 4
+    assert sd.text_cuts(docs.limit(0).select(source.alias("s")), "s", 4) == []
