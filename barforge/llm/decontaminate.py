@@ -16,8 +16,9 @@ DataFrame functions only. Steps:
 
 Rows of step 2 grow with the occurrences of rare terms only, and carry no text
 beyond their neighbours, so the documents themselves are never shuffled. The
-benchmark is handled in blocks of at most ``BLOCK`` sought terms, so what is
-broadcast and what stands in a plan is bounded whatever its size.
+benchmark is handled in blocks of at most ``BLOCK`` sought terms, so what stands in
+a plan is bounded whatever its size; postings meet windows in a join on the term,
+which Spark splits where a term has very many.
 
 Words: A-Z lower-cased, maximal runs of characters other than ASCII
 non-alphanumerics. Defined cases: a null text has no words; an item without
@@ -87,13 +88,12 @@ def postings(docs: DataFrame, terms: list[str], reach: int, id_col: str = "doc_i
     after; ``lead`` is how many stand before."""
     d = evaluated(docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("key"),
                               words(F.col(text_col)).alias("w")), "w")
-    d = evaluated(d.where(F.size("w") > 0).select("id", "key", "w", F.filter(
-        F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.get("w", i).isin(terms)).alias("at")), "at")
-    lists = F.transform("at", lambda i: F.struct(
-        F.get("w", i).alias("term"), i.alias("pos"),
-        F.slice("w", F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach)) + 1 + reach).alias("around"),
-        F.least(i, F.lit(reach)).alias("lead")))
-    return d.where(F.size("at") > 0).select("id", "key", F.inline(lists))
+    # places first, neighbours row by row: a very long text never holds all its snippets at once
+    at = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.get("w", i).isin(terms))
+    d = d.where(F.size("w") > 0).select("id", "key", "w", F.explode(at).alias("pos"))
+    return d.select("id", "key", F.get("w", F.col("pos")).alias("term"), "pos",
+                    F.slice("w", F.greatest(F.col("pos") - reach, F.lit(0)) + 1, F.least("pos", F.lit(reach)) + 1 + reach).alias("around"),
+                    F.least("pos", F.lit(reach)).alias("lead"))
 
 
 def term_blocks(ranked: DataFrame, block: int) -> list[list[str]]:
@@ -117,8 +117,8 @@ def phrase_matches(docs: DataFrame, windows: DataFrame, counts: DataFrame, block
         index = stored(postings(docs, terms, window - 1, id_col, text_col), "postings")
         sought = ranked.where(F.col("seed").isin(terms)).select(
             "words", "seed", "seed_at", "second", "second_at", F.size("words").alias("n"))
-        # windows of one block of terms: at most a block's terms times the places in a window
-        c = index.join(F.broadcast(sought), F.col("term") == F.col("seed"))
+        # a term may be the rarest of any number of windows: sent whole only where Spark finds it small
+        c = index.join(sought, F.col("term") == F.col("seed"))
         at = F.col("lead") - F.col("seed_at")  # where the window starts inside ``around``
         c = c.where((at >= 0) & (at + F.col("n") <= F.size("around")))
         c = c.where(F.col("second").isNull() | (F.get("around", at + F.col("second_at")) == F.col("second")))
@@ -142,7 +142,7 @@ def proximity_matches(docs: DataFrame, windows: DataFrame, counts: DataFrame, sl
     for terms in term_blocks(ranked, block):
         index = stored(postings(docs, terms, window - 1 + slop, id_col, text_col), "postings")
         sought = ranked.where(F.col("seed").isin(terms)).select("words", "seed", "seed_at", F.size("words").alias("n"))
-        c = index.join(F.broadcast(sought), F.col("term") == F.col("seed"))
+        c = index.join(sought, F.col("term") == F.col("seed"))
         lo = F.greatest(F.col("lead") - F.col("seed_at") - slop, F.lit(0))
         hi = F.least(F.col("lead") - F.col("seed_at") + F.col("n") + slop, F.size("around"))
         c = c.withColumn("near", F.slice("around", lo + 1, hi - lo))

@@ -78,3 +78,16 @@ def test_proximity_finds_shuffled_words(spark):
     counts = de.term_counts(docs, w.select(F.explode("words").alias("term")).distinct())
     got = {r["id"] for r in de.proximity_matches(docs, w, counts, slop=3).collect()}
     assert got == {1, 2}
+
+
+def test_very_long_text_and_no_forced_broadcast(spark):
+    """Every word of a text is some window's rarest term; nothing is sent whole by a hint."""
+    long = "alpha " * 300_000
+    docs = spark.createDataFrame([(1, long), (2, "alpha beta " * 6)], "doc_id long, text string")
+    items = spark.createDataFrame([("q", "alpha " * 12), ("r", "beta " * 12)], "item_id string, text string")
+    got = {r["id"]: (r["n_words"], r["n_hit"], r["items"]) for r in de.contamination(docs, items).collect()}
+    assert got == {1: (300_000, 300_000, ["q"]), 2: (12, 0, [])}
+    windows = de.item_windows(items)
+    counts = de.term_counts(docs, windows.select(F.explode("words").alias("term")).distinct())
+    plan = de.phrase_matches(docs, windows, counts)._jdf.queryExecution().logical().toString()
+    assert "strategy=broadcast" not in plan
