@@ -6,7 +6,8 @@ into ``<table>.snapshot/upto=<batch>``: one row a key, the newest. A reader take
 the newest finished snapshot and the folders after it, so the files it opens do not
 depend on how many batches there were. ``vacuum`` removes the folders and
 snapshots that the newest one has replaced. Only batches that can no longer be
-replayed may be folded: those before the newest one written.
+replayed may be folded: those before the newest one written. A folder counts once it
+holds the ``_SUCCESS`` file that Spark's writers leave by default.
 """
 
 from __future__ import annotations
