@@ -13,8 +13,12 @@ character (one hex digit; ``-`` past the end), led by e as a letter. Sampling
 times of neighbouring e are nested, so fingerprints of any two texts can be
 compared: ``likeness`` is the share of common times, not past both ends, whose
 digits agree. ``node_links`` finds fingerprints of high likeness by bands of
-sampled digits and verifies them; every pair that shares a band is decided, in
-blocks where a band is hot, and links that connect them are returned.
+sampled digits and verifies them. The digits of a band are as many as counted
+collisions make cheapest, the bands as many as the recall then needs. Fingerprints
+are first compared with the least one of a few of their buckets; what that connects
+bears one label, and of all buckets only those with several labels are verified
+further, pair by pair between labels, in blocks where a bucket is hot. The links
+returned connect whatever shares a band and is alike.
 ``with_components`` names the components of these links on the documents.
 
 ``successions`` puts every document beside its successor in ascending id
@@ -40,8 +44,10 @@ from barforge.llm.common import components, small_batches, stored
 
 SAMPLES = 128
 CLASSES, PERIOD = 64, 1 << 14
-BANDS, ROWS = 16, 4
 LIKE = 0.8
+WIDTHS, COUNTED, STARS = (4, 6, 8, 10, 12), 2, 4
+MISS = 0.005
+ROW_COST = 50.0
 BLOCK = 1024
 RANGE_BYTES = 4 << 20
 
@@ -211,7 +217,7 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 # ---- bands ----------------------------------------------------------------------
 
-WORDS, TINY = SAMPLES // 16, 128
+WORDS, TINY = SAMPLES // 16, 8
 NIBBLES = np.uint64(0x1111111111111111)
 
 
@@ -243,48 +249,82 @@ def alike(x: np.ndarray, lx: np.ndarray, y: np.ndarray, ly: np.ndarray, least: f
     return near
 
 
-def forest(x: np.ndarray, live: np.ndarray, least: float) -> list[tuple[int, int]]:
-    """Spanning links (positions) of the rows whose likeness reaches ``least``."""
-    free, links = np.arange(len(x)), []
-    while len(free) > 1:
-        queue, free = [free[0]], free[1:]
-        while queue and len(free):
-            i = queue.pop()
-            hit = alike(x[free], live[free], x[i], live[i], least)
-            links += [(int(i), int(j)) for j in free[hit]]
-            queue += free[hit].tolist()
-            free = free[~hit]
+def near(i, j, x: np.ndarray, live: np.ndarray, up: np.ndarray, label: np.ndarray, least: float) -> np.ndarray:
+    """Which pairs of positions are links between different labels. Two rows that both
+    stand at twice their spacing are compared at their own spacing, in another bucket."""
+    open_ = (label[i] != label[j]) & (up[i] + up[j] < 2)
+    out = np.zeros(len(open_), bool)
+    at = np.flatnonzero(open_)
+    i, j = np.broadcast_to(i, len(open_))[at], np.broadcast_to(j, len(open_))[at]
+    out[at] = alike(x[i], live[i], x[j], live[j], least)
+    return out
+
+
+def forest(x: np.ndarray, live: np.ndarray, up: np.ndarray, label: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Links (positions) that join the labels of one bucket as all its links would: labels
+    grow from the smallest on, and one that is reached joins whole."""
+    _, cls, size = np.unique(label, return_inverse=True, return_counts=True)
+    members = np.split(np.argsort(cls, kind="stable"), np.cumsum(size)[:-1])
+    links, taken = [], np.zeros(len(size), bool)
+    for first in np.argsort(size, kind="stable"):
+        if taken[first]:
+            continue
+        taken[first] = True
+        queue = [first]
+        while queue:
+            own = members[queue.pop()]
+            rest = np.flatnonzero(~taken[cls])
+            # the shorter side is walked, the other compared at once
+            walked, turned = (own, False) if len(own) <= len(rest) else (rest, True)
+            for i in walked:
+                others = own if turned else rest
+                others = others if turned or not len(others) else others[~taken[cls[others]]]
+                if turned and taken[cls[i]]:
+                    continue
+                hit = others[near(i, others, x, live, up, label, least)] if len(others) else others
+                if turned and len(hit):
+                    links.append((int(i), int(hit[0])))
+                    taken[cls[i]] = True
+                    queue.append(cls[i])
+                elif len(hit):
+                    reached, at = np.unique(cls[hit], return_index=True)
+                    links += [(int(i), int(hit[k])) for k in at]
+                    taken[reached] = True
+                    queue += reached.tolist()
     return links
 
 
 def bucket_links(batches, least: float):
     """Batches sorted by ``(gid, e)`` -> links ``(a, b)`` of nodes; holds one bucket at a time."""
-    def solve(g, node, x, live):
+    def solve(g, row, x):
+        node, live, up, label = row.T
         starts = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]).any(1)])
         size = np.diff(np.r_[starts, len(g)])
         number = np.repeat(np.arange(len(starts)), size)
-        found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+        found = [np.empty((0, 2), np.int64)]
         tiny = np.flatnonzero(np.repeat(size <= TINY, size))
         for s in range(1, TINY):
             i = np.flatnonzero(number[tiny[s:]] == number[tiny[:-s]]) if s < len(tiny) else []
             if not len(i):
                 break
             i, j = tiny[i], tiny[i + s]
-            near = alike(x[i], live[i], x[j], live[j], least)
-            found.append((node[i[near]], node[j[near]]))
+            hit = near(i, j, x, live, up, label, least)
+            found.append(np.column_stack([i[hit], j[hit]]))
         for at, n in zip(starts[size > TINY], size[size > TINY]):
-            links = np.array(forest(x[at:at + n], live[at:at + n], least), np.int64).reshape(-1, 2)
-            found.append((node[at + links[:, 0]], node[at + links[:, 1]]))
-        a, b = (np.concatenate(f) for f in zip(*found))
-        out = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0)
-        return pd.DataFrame({"a": out[:, 0], "b": out[:, 1]})
+            part = slice(at, at + n)
+            found.append(at + np.array(forest(x[part], live[part], up[part], label[part], least), np.int64).reshape(-1, 2))
+        out = np.concatenate(found)
+        # one link for two labels is enough
+        ends = np.sort(label[out], axis=1)
+        out = node[out[np.unique(ends, axis=0, return_index=True)[1]]]
+        return pd.DataFrame({"a": out.min(1), "b": out.max(1)})
 
     rest = None
     for b in batches:
         if not len(b):
             continue
         x = np.frombuffer(b"".join(bytes(d).ljust(SAMPLES // 2, b"\0") for d in b["digits"]), np.uint64).reshape(-1, WORDS)
-        new = (b[["gid", "e"]].to_numpy(np.int64), b["node"].to_numpy(np.int64), x, b["live"].to_numpy(np.int64))
+        new = (b[["gid", "e"]].to_numpy(np.int64), b[["node", "live", "up", "label"]].to_numpy(np.int64), x)
         rest = new if rest is None else tuple(np.concatenate(p) for p in zip(rest, new))
         cut = int(np.flatnonzero((rest[0] != rest[0][-1]).any(1))[-1]) + 1 if (rest[0] != rest[0][-1]).any() else 0
         if cut:
@@ -294,36 +334,97 @@ def bucket_links(batches, least: float):
         yield solve(*rest)
 
 
-def node_links(prints: DataFrame, least: float = LIKE, block: int = BLOCK, seed: int = 3) -> DataFrame:
-    """Links ``(a, b)`` of nodes that connect the fingerprints of likeness ``least`` or more
-    that share a band: BANDS samples of ROWS digits out of the first half of the times
-    (the half that is never past the end, unless the text is shorter than the samples),
-    at the fingerprint's own spacing and at twice it. ``prints``: distinct ``fp``, each
-    with a long ``node``."""
-    places = np.random.default_rng(seed)
-    picks = [sorted(places.choice(SAMPLES // 2, ROWS, replace=False).tolist()) for _ in range(BANDS)]
+def bands_for(width: int, least: float) -> int:
+    """Bands that a pair of likeness ``least`` misses with a chance of at most ``MISS``."""
+    return int(np.ceil(np.log(MISS) / np.log(1 - least ** width)))
+
+
+def bands(prints: DataFrame, picks: list[list[int]], *more: str) -> DataFrame:
+    """``(node, *more, up, gid)``: the buckets of each print at its own spacing and at twice it."""
     e = F.ascii("fp") - 97
-    keys = [F.struct((e + up).alias("e"), F.lit(up).alias("up"),
-                     F.xxhash64(F.lit(b), e + up, *[F.substring("fp", 2 + (i << up), 1) for i in pick]).alias("key"))
+    # position i at twice the spacing is 2i; past the end it is an end like any other
+    at = lambda i, up: F.substring("fp", 2 + (i << up), 1) if i << up < SAMPLES else F.lit("-")
+    keys = [F.struct(F.lit(up).alias("up"), F.xxhash64(F.lit(b), e + up, *[at(i, up) for i in pick]).alias("gid"))
             for up in (0, 1) for b, pick in enumerate(picks)]
-    hot = prints.select(F.inline(F.array(*keys))).groupBy("e", "key").count().where(F.col("count") > block).select(
-        F.col("e").alias("ce"), F.col("key").alias("ck"), F.ceil(F.col("count") / block).cast("int").alias("blocks"))
-    # the digits at either spacing, once a fingerprint; at twice its own it has every second one
+    return prints.select("node", *more, F.inline(F.array(*keys)))
+
+
+def chosen_picks(prints: DataFrame, least: float, seed: int) -> list[list[int]]:
+    """Sampling times of each band. The width is the cheapest by counted collisions: every
+    print's own spacing enters COUNTED bands of each width; a pair costs a comparison, a
+    band row ROW_COST of them."""
+    places = np.random.default_rng(seed)
+    orders = [places.permutation(SAMPLES).tolist() for _ in range(bands_for(max(WIDTHS), least))]
+    e = F.ascii("fp") - 97
+    keys = [F.struct(F.lit(w).alias("w"), F.xxhash64(F.lit(b), F.lit(w), e, *[F.substring("fp", 2 + i, 1) for i in orders[b][:w]]).alias("k"))
+            for w in WIDTHS for b in range(COUNTED)]
+    sizes = prints.select(F.inline(F.array(*keys))).groupBy("w", "k").count()
+    n = F.col("count").cast("double")
+    cost = {r["w"]: bands_for(r["w"], least) * (ROW_COST * r["n"] + r["pairs"]) for r in
+            sizes.groupBy("w").agg(F.sum(n).alias("n"), F.sum(n * (n - 1) / 2).alias("pairs")).collect()}
+    width = min(cost, key=lambda w: (cost[w], w)) if cost else WIDTHS[0]
+    return [order[:width] for order in orders[:bands_for(width, least)]]
+
+
+def star_links(prints: DataFrame, picks: list[list[int]], least: float) -> DataFrame:
+    """Links of prints to the least print of their buckets in the first STARS bands."""
+    rows = bands(prints, picks[:STARS])
+    pairs = (rows.join(rows.groupBy("gid").agg(F.min("node").alias("pivot")).withColumnRenamed("gid", "g"), F.col("gid") == F.col("g"))
+             .where("node <> pivot").select("node", "pivot").distinct())
+    a, b = (prints.select(F.col("node").alias(f"n{c}"), F.col("fp").alias(c)) for c in "ab")
+    return (pairs.join(a, F.col("node") == F.col("na")).join(b, F.col("pivot") == F.col("nb"))
+            .where(likeness(F.col("a"), F.col("b")) >= least).select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+
+
+def dealt(rows: DataFrame, block: int) -> DataFrame:
+    """``rows`` ``(node, up, label, gid, n)`` with buckets of more than ``block`` rows cut up.
+    Rows of one label need not meet. The most frequent label of a bucket is cut into blocks,
+    the others into chunks; a block meets every chunk, a chunk every chunk: copies follow
+    the lesser side, and no pair of different labels is lost."""
+    labels = rows.where(F.col("n") > block).groupBy("gid", "label").count()
+    hot = labels.groupBy("gid").agg(F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("all")).select(
+        F.col("gid").alias("hot"), F.col("top.label").alias("major"),
+        F.ceil(F.col("top.count") / block).cast("int").alias("blocks"),
+        F.ceil((F.col("all") - F.col("top.count")) / block).cast("int").alias("chunks"))
+    blocks, chunks, major = F.col("blocks"), F.col("chunks"), F.col("label") == F.col("major")
+    k = F.pmod(F.xxhash64("node"), F.when(major, blocks).otherwise(chunks)).cast("int")
+    each = lambda n: F.sequence(F.lit(0), n - 1)
+    met = F.when(F.col("hot").isNull(), F.array("gid")).when(
+        major, F.transform(each(chunks), lambda c: F.xxhash64("gid", F.lit("m"), k, c))).otherwise(F.concat(
+            F.transform(each(blocks), lambda s: F.xxhash64("gid", F.lit("m"), s, k)),
+            F.transform(each(chunks), lambda c: F.xxhash64("gid", F.lit("o"), F.least(k, c), F.greatest(k, c)))))
+    return (rows.join(hot, F.col("gid") == F.col("hot"), "left")
+            .select("node", "up", "label", F.explode(met).alias("gid")))
+
+
+def node_links(prints: DataFrame, least: float = LIKE, block: int = BLOCK, seed: int = 3) -> DataFrame:
+    """Links ``(a, b)`` of nodes that connect the fingerprints of likeness ``least`` or more
+    that share a band, as all their pairs would. ``prints``: distinct ``fp``, each with a
+    long ``node``. Stars come first: their components are labels, and only buckets that
+    hold several labels are verified."""
+    picks = chosen_picks(prints, least, seed)
+    stars = stored(star_links(prints, picks, least), "stars", free=True)
+    of = components(stars).select(F.col("node").alias("linked"), "component")
+    labelled = stored(prints.join(of, F.col("node") == F.col("linked"), "left")
+                      .select("node", "fp", F.coalesce("component", "node").alias("label")), "labelled", free=True)
+    banded = bands(labelled, picks, "label")
+    mixed = stored(banded.groupBy("gid").agg(
+        F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("up").alias("least_up"))
+        .where("lo <> hi and least_up = 0").select(F.col("gid").alias("g"), "n"), "mixed", free=True)
+    rows = stored(banded.join(mixed, F.col("gid") == F.col("g"))
+                  .select("node", "up", "label", "gid", "n"), "banded", free=True)
+    # the digits at either spacing; at twice its own a print has every second one
     digits = F.translate(F.substring("fp", 2, SAMPLES), "-", "0")
-    rows = prints.select("fp", "node", F.length(F.translate("fp", "-", "")).alias("n"), F.unhex(digits).alias("own"),
-                         F.unhex(F.regexp_replace(digits, "(.).", "$1")).alias("wide"))
-    rows = rows.select("node", "n", "own", "wide", F.inline(F.array(*keys)))
-    rows = rows.select("node", "e", "key", F.when(F.col("up") == 0, F.col("n") - 1).otherwise(F.shiftright("n", 1)).alias("live"),
-                       F.when(F.col("up") == 0, F.col("own")).otherwise(F.col("wide")).alias("digits"))
-    rows = rows.join(hot, (F.col("e") == F.col("ce")) & (F.col("key") == F.col("ck")), "left")
-    # one block: the band itself; else each fingerprint meets its own block paired with every block
-    blocks = F.coalesce("blocks", F.lit(1))
-    rows = rows.select("node", "live", "digits", "e", "key", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("s"),
-                       F.explode(F.sequence(F.lit(0), blocks - 1)).alias("o"))
-    rows = rows.select("node", "live", "digits", "e", F.xxhash64("key", F.least("s", "o"), F.greatest("s", "o")).alias("gid"))
+    own = prints.select(F.col("node").alias("_node"), (F.ascii("fp") - 97).alias("_e"), F.length(F.translate("fp", "-", "")).alias("_n"),
+                        F.unhex(digits).alias("own"), F.unhex(F.regexp_replace(digits, "(.).", "$1")).alias("wide"))
+    rows = dealt(rows, block).join(own, F.col("node") == F.col("_node")).select(
+        "node", "up", "label", "gid", (F.col("_e") + F.col("up")).alias("e"),
+        F.when(F.col("up") == 0, F.col("_n") - 1).otherwise(F.shiftright("_n", 1)).alias("live"),
+        F.when(F.col("up") == 0, F.col("own")).otherwise(F.col("wide")).alias("digits"))
     n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rows.repartition(n, "gid").sortWithinPartitions("gid", "e")
-            .mapInPandas(lambda it: bucket_links(it, least), "a long, b long").distinct())
+    found = (rows.repartition(n, "gid").sortWithinPartitions("gid", "e")
+             .mapInPandas(lambda it: bucket_links(it, least), "a long, b long").distinct())
+    return stars.unionByName(found)
 
 
 def near_links(prints: DataFrame, least: float = LIKE, block: int = BLOCK, seed: int = 3) -> DataFrame:
