@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,3 +166,68 @@ def test_components_of_edge_rows(spark):
     got = sorted(((r["id"], r["component_id"]) for r in ep.with_components(docs).collect()), key=repr)
     assert got == sorted([(5, 5), (2, 2), (3, 2), (8, 5), (None, None), (None, 2), (7, 7)], key=repr)
     assert ep.with_components(docs.limit(0)).count() == 0
+
+
+def connected(n, links):
+    rep = list(range(n))
+
+    def root(i):
+        while rep[i] != i:
+            i = rep[i]
+        return i
+    for i, j in links:
+        rep[max(root(i), root(j))] = min(root(i), root(j))
+    return [root(i) for i in range(n)]
+
+
+def test_forest_joins_the_labels_that_all_links_join():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        n = int(rng.integers(2, 60))
+        centres = rng.integers(0, 16, (4, ep.SAMPLES))
+        digits = centres[rng.integers(0, 4, n)]
+        digits = np.where(rng.random(digits.shape) < rng.choice([0.05, 0.1, 0.2]), rng.integers(0, 16, digits.shape), digits)
+        x = ep.packed(digits.astype(np.uint8))
+        live, up = rng.integers(100, ep.SAMPLES + 1, n), rng.integers(0, 2, n)
+        label = rng.integers(0, rng.choice([2, 8, 60]), n)
+        pairs = [(i, j) for i in range(n) for j in range(i) if ep.near(np.array([i]), np.array([j]), x, live, up, label, ep.LIKE)[0]]
+        same = [(i, j) for i in range(n) for j in range(i) if label[i] == label[j]]
+        links = ep.forest(x, live, up, label, ep.LIKE)
+        assert connected(n, links + same) == connected(n, pairs + same)
+        assert {tuple(sorted(p, reverse=True)) for p in links} <= set(pairs)
+        assert len(links) < len(set(label.tolist()))
+
+
+def test_hot_buckets_lose_no_pair_of_labels(spark):
+    sizes = {1: [300, 5, 3], 2: [40, 40, 40], 3: [6, 2], 4: [1] * 90}  # bucket -> rows of each label
+    rows = [(100_000 * g + 1000 * k + i, 0, 1000 * g + k, g, sum(c)) for g, c in sizes.items() for k, m in enumerate(c) for i in range(m)]
+    df = spark.createDataFrame(rows, "node long, up int, label long, gid long, n long")
+    met, copies = {}, {}
+    for r in ep.dealt(df, 10).collect():
+        met.setdefault(r["gid"], []).append((r["node"], r["label"]))
+        copies[r["node"]] = copies.get(r["node"], 0) + 1
+    together = {(a, b) for m in met.values() for a, la in m for b, lb in m if la != lb}
+    for g in sizes:
+        mine = [(r[0], r[2]) for r in rows if r[3] == g]
+        assert all((a, b) in together for a, la in mine for b, lb in mine if la != lb)
+    # the frequent label of a bucket with few others is not copied
+    assert all(copies[r[0]] == 1 for r in rows if r[2] == 1000)
+
+
+def test_recall_of_a_group_of_near_copies(spark):
+    rng = random.Random(8)
+    base = "".join(rng.choice("abcdefghij klm") for _ in range(3000))
+    texts = [base[:k] + "#" * rng.randint(1, 30) + base[k:] for k in rng.sample(range(3000), 250)]
+    texts += ["".join(rng.choice("nopqrstuv wxy") for _ in range(rng.randint(200, 3000))) for _ in range(250)]
+    prints = sorted({ep.fingerprint(t) for t in texts})
+    df = spark.createDataFrame([(p,) for p in prints], "fp string")
+    want = [(i, j) for i, p in enumerate(prints[:-1])
+            for j in (i + 1 + (ep.likenesses([p] * (len(prints) - i - 1), prints[i + 1:]) >= ep.LIKE).nonzero()[0]).tolist()]
+    place = {p: i for i, p in enumerate(prints)}
+    for block in (1024, 20):
+        links = [(place[r["a"]], place[r["b"]]) for r in ep.near_links(df, block=block).collect()]
+        assert {tuple(sorted(p)) for p in links} <= set(want)
+        got = connected(len(prints), links)
+        recall = sum(got[i] == got[j] for i, j in want) / len(want)
+        print("pairs", len(want), "recall", recall, "links", len(links))
+        assert len(want) >= 200 and recall >= 0.99
