@@ -46,7 +46,7 @@ SAMPLES = 128
 CLASSES, PERIOD = 64, 1 << 14
 LIKE = 0.8
 WIDTHS, COUNTED, STARS = (4, 6, 8, 10, 12), 2, 4
-MISS = 0.005
+MISS = 0.01
 ROW_COST = 50.0
 BLOCK = 1024
 RANGE_BYTES = 4 << 20
@@ -250,9 +250,9 @@ def alike(x: np.ndarray, lx: np.ndarray, y: np.ndarray, ly: np.ndarray, least: f
 
 
 def near(i, j, x: np.ndarray, live: np.ndarray, up: np.ndarray, label: np.ndarray, least: float) -> np.ndarray:
-    """Which pairs of positions are links between different labels. Two rows that both
-    stand at twice their spacing are compared at their own spacing, in another bucket."""
-    open_ = (label[i] != label[j]) & (up[i] + up[j] < 2)
+    """Which pairs of positions are links between different labels. Of the rows that meet
+    another spacing, those of one spacing are compared in buckets of their own."""
+    open_ = (label[i] != label[j]) & ((up[i] != up[j]) | (up[i] == 0))
     out = np.zeros(len(open_), bool)
     at = np.flatnonzero(open_)
     i, j = np.broadcast_to(i, len(open_))[at], np.broadcast_to(j, len(open_))[at]
@@ -339,36 +339,51 @@ def bands_for(width: int, least: float) -> int:
     return int(np.ceil(np.log(MISS) / np.log(1 - least ** width)))
 
 
-def bands(prints: DataFrame, picks: list[list[int]], *more: str) -> DataFrame:
-    """``(node, *more, up, gid)``: the buckets of each print at its own spacing and at twice it."""
-    e = F.ascii("fp") - 97
-    # position i at twice the spacing is 2i; past the end it is an end like any other
-    at = lambda i, up: F.substring("fp", 2 + (i << up), 1) if i << up < SAMPLES else F.lit("-")
-    keys = [F.struct(F.lit(up).alias("up"), F.xxhash64(F.lit(b), e + up, *[at(i, up) for i in pick]).alias("gid"))
-            for up in (0, 1) for b, pick in enumerate(picks)]
-    return prints.select("node", *more, F.inline(F.array(*keys)))
+def bands(prints: DataFrame, picks: list[list[int]], *more: str, least: float = LIKE) -> DataFrame:
+    """``(node, *more, up, gid)``: the buckets of each print among prints of its own spacing
+    (``up`` 0). Prints of neighbouring spacings can only be alike if the finer one is nearly
+    full at twice its spacing (``up`` 1) and the coarser one little over half full (``up`` 2);
+    these meet in further buckets, of times that are past the end of neither."""
+    half = SAMPLES // 2
+    e, live = F.ascii("fp") - 97, F.length(F.translate("fp", "-", "")) - 1
+    digit = lambda i, up: F.substring("fp", 2 + (i << up), 1)
+    def keys(up, step, family, of):
+        return F.array(*[F.struct(F.lit(up).alias("up"), F.xxhash64(F.lit(b + family), e + step, *[digit(i, step) for i in pick]).alias("gid"))
+                         for b, pick in enumerate(of)])
+
+    beside = [sorted({i % half for i in pick}) for pick in picks]
+    none = F.array().cast("array<struct<up:int,gid:bigint>>")
+    return prints.select("node", *more, F.inline(F.concat(
+        keys(0, 0, 0, picks),
+        F.when(F.shiftright(live + 1, 1) >= least * (half + 1), keys(1, 1, len(picks), beside)).otherwise(none),
+        F.when((e > 0) & (live <= half / least), keys(2, 0, len(picks), beside)).otherwise(none))))
+
+
+def orders(n: int, seed: int) -> list[list[int]]:
+    """``n`` orders of all sampling times; the halves take turns, as the later one may be past the end."""
+    rng, half = np.random.default_rng(seed), SAMPLES // 2
+    return [np.column_stack([rng.permutation(half), half + rng.permutation(half)]).ravel().tolist() for _ in range(n)]
 
 
 def chosen_picks(prints: DataFrame, least: float, seed: int) -> list[list[int]]:
     """Sampling times of each band. The width is the cheapest by counted collisions: every
     print's own spacing enters COUNTED bands of each width; a pair costs a comparison, a
     band row ROW_COST of them."""
-    places = np.random.default_rng(seed)
-    orders = [places.permutation(SAMPLES).tolist() for _ in range(bands_for(max(WIDTHS), least))]
+    drawn = orders(bands_for(max(WIDTHS), least), seed)
     e = F.ascii("fp") - 97
-    keys = [F.struct(F.lit(w).alias("w"), F.xxhash64(F.lit(b), F.lit(w), e, *[F.substring("fp", 2 + i, 1) for i in orders[b][:w]]).alias("k"))
+    keys = [F.struct(F.lit(w).alias("w"), F.xxhash64(F.lit(b), F.lit(w), e, *[F.substring("fp", 2 + i, 1) for i in drawn[b][:w]]).alias("k"))
             for w in WIDTHS for b in range(COUNTED)]
     sizes = prints.select(F.inline(F.array(*keys))).groupBy("w", "k").count()
     n = F.col("count").cast("double")
     cost = {r["w"]: bands_for(r["w"], least) * (ROW_COST * r["n"] + r["pairs"]) for r in
             sizes.groupBy("w").agg(F.sum(n).alias("n"), F.sum(n * (n - 1) / 2).alias("pairs")).collect()}
     width = min(cost, key=lambda w: (cost[w], w)) if cost else WIDTHS[0]
-    return [order[:width] for order in orders[:bands_for(width, least)]]
+    return [order[:width] for order in drawn[:bands_for(width, least)]]
 
 
 def star_links(prints: DataFrame, picks: list[list[int]], least: float) -> DataFrame:
     """Links of prints to the least print of their buckets in the first STARS bands."""
-    rows = bands(prints, picks[:STARS])
+    rows = bands(prints, picks[:STARS], least=least)
     pairs = (rows.join(rows.groupBy("gid").agg(F.min("node").alias("pivot")).withColumnRenamed("gid", "g"), F.col("gid") == F.col("g"))
              .where("node <> pivot").select("node", "pivot").distinct())
     a, b = (prints.select(F.col("node").alias(f"n{c}"), F.col("fp").alias(c)) for c in "ab")
@@ -407,10 +422,10 @@ def node_links(prints: DataFrame, least: float = LIKE, block: int = BLOCK, seed:
     of = components(stars).select(F.col("node").alias("linked"), "component")
     labelled = stored(prints.join(of, F.col("node") == F.col("linked"), "left")
                       .select("node", "fp", F.coalesce("component", "node").alias("label")), "labelled", free=True)
-    banded = bands(labelled, picks, "label")
+    banded = bands(labelled, picks, "label", least=least)
     mixed = stored(banded.groupBy("gid").agg(
-        F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("up").alias("least_up"))
-        .where("lo <> hi and least_up = 0").select(F.col("gid").alias("g"), "n"), "mixed", free=True)
+        F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("up").alias("u"), F.max("up").alias("v"))
+        .where("lo <> hi and (u = 0 or u <> v)").select(F.col("gid").alias("g"), "n"), "mixed", free=True)
     rows = stored(banded.join(mixed, F.col("gid") == F.col("g"))
                   .select("node", "up", "label", "gid", "n"), "banded", free=True)
     # the digits at either spacing; at twice its own a print has every second one
@@ -418,9 +433,9 @@ def node_links(prints: DataFrame, least: float = LIKE, block: int = BLOCK, seed:
     own = prints.select(F.col("node").alias("_node"), (F.ascii("fp") - 97).alias("_e"), F.length(F.translate("fp", "-", "")).alias("_n"),
                         F.unhex(digits).alias("own"), F.unhex(F.regexp_replace(digits, "(.).", "$1")).alias("wide"))
     rows = dealt(rows, block).join(own, F.col("node") == F.col("_node")).select(
-        "node", "up", "label", "gid", (F.col("_e") + F.col("up")).alias("e"),
-        F.when(F.col("up") == 0, F.col("_n") - 1).otherwise(F.shiftright("_n", 1)).alias("live"),
-        F.when(F.col("up") == 0, F.col("own")).otherwise(F.col("wide")).alias("digits"))
+        "node", "up", "label", "gid", (F.col("_e") + (F.col("up") == 1).cast("int")).alias("e"),
+        F.when(F.col("up") != 1, F.col("_n") - 1).otherwise(F.shiftright("_n", 1)).alias("live"),
+        F.when(F.col("up") != 1, F.col("own")).otherwise(F.col("wide")).alias("digits"))
     n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = (rows.repartition(n, "gid").sortWithinPartitions("gid", "e")
              .mapInPandas(lambda it: bucket_links(it, least), "a long, b long").distinct())
