@@ -121,3 +121,35 @@ def test_edge_rows_and_redaction(spark):
     assert by[3]["base"] == f"assign:200000:{len(long) - 1}" and by[4]["redacted"] == "é [secret]é"
     assert se.findings(docs.limit(0), None, name="f").count() == 0
     assert se.redact("abcdef", [("hex", 1, 3), ("hex", 2, 4)]) == "a[secret]ef"
+
+
+def test_all_findings_teach_and_calibrate(spark, monkeypatch):
+    rng = np.random.default_rng(17)
+    pick = lambda letters, n: "".join(rng.choice(list(letters), n))
+    texts = [" ".join(pick("etaoinshrdlu", 20) for _ in range(200)) for _ in range(35)]
+    texts += [f'some words token = "{pick("0123456789abcdef", 28)}" go on' for _ in range(300)]
+    findings = {(y, se.packed(rows)) for t in texts for y, rows in se.examples(t)}
+    assert sum(y == 0 for y, _ in findings) > 6500
+    seen, learn, curve = {}, getattr(se, "learn", None), se.curve
+
+    def spy_learn(rows, *args):
+        seen["learnt"] = {(r["y"], bytes(r["x"])) for r in rows.collect()}
+        return learn(rows, *args)
+
+    def spy_curve(scores, n):
+        seen["unseen"] = scores.count() if hasattr(scores, "columns") else len(scores)
+        return curve(scores, n)
+
+    monkeypatch.setattr(se, "learn", spy_learn, raising=False)
+    monkeypatch.setattr(se, "curve", spy_curve)
+    monkeypatch.setattr(se, "ROUNDS", 1, raising=False)
+    net = se.fit(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert net is not None and len(seen.get("learnt", ())) + seen["unseen"] == len(findings)
+    assert seen["learnt"] <= findings
+
+
+def test_blocks_of_findings_do_not_depend_on_the_layout(spark, monkeypatch):
+    docs = spark.createDataFrame(made(spark), "doc_id long, text string, lang string, found string, n_chars long")
+    monkeypatch.setattr(se, "BLOCK_ROWS", 100)
+    net, again = se.fit(docs), se.fit(docs.repartition(5))
+    assert np.array_equal(net.filters, again.filters) and net.threshold == again.threshold
