@@ -199,8 +199,14 @@ def key_cuts(keys: DataFrame, ranks_of, key: str = "symbol", **kw) -> tuple[int,
     return n, [at.get(r) for r in ranks]
 
 
+def file_keys(files: DataFrame, key: str = "symbol") -> DataFrame:
+    """The distinct symbols of a table laid out by symbol, stored: finding them opens every
+    file, which ranking them would otherwise repeat at each of its steps."""
+    return cut_lineage(files.select(key).distinct())
+
+
 def holdout_files(files: DataFrame, train_fraction: float = 0.8, sample: float = 1.0,
-                  key: str = "symbol") -> tuple[DataFrame, DataFrame]:
+                  key: str = "symbol", keys: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``(train, test)`` of a table laid out by symbol, without reading the other side.
 
     The first int(f * n) sorted symbols train, the rest test; ``sample`` keeps the
@@ -208,12 +214,13 @@ def holdout_files(files: DataFrame, train_fraction: float = 0.8, sample: float =
     symbols, so each is a comparison with one or two literal symbols: on a partition
     column (``symbol=X`` folders) or a symbol from the file's path
     (``sources.tables.read_symbol_files``) Spark leaves out the other files when it
-    plans the scan. Only the symbols themselves are looked at to find the cuts."""
+    plans the scan. Only the symbols themselves are looked at to find the cuts: ``keys``
+    (``file_keys``, for several holdouts of one table), or read here."""
     def ranks(n: int) -> list[int]:
         n_train = int(n * train_fraction)
         return [int(n_train * sample), n_train, n_train + int((n - n_train) * sample)]
 
-    _, (end, start, last) = key_cuts(files.select(key).distinct(), ranks, key, per_key=True)
+    _, (end, start, last) = key_cuts(file_keys(files, key) if keys is None else keys, ranks, key, per_key=True)
     symbol = F.col(key)
     train = files if end is None else files.filter(symbol < F.lit(end))
     test = files.filter(F.lit(False)) if start is None else files.filter(symbol >= F.lit(start))

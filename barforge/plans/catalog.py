@@ -215,9 +215,10 @@ def holdout_symbol_files(spark, sf_dir):
     path = scratch_path(spark, "symbol-folders")
     write_symbol_files(aggregate_candles(lineitem_trades(lines), 1440, order_col="trade_order"), path)
     files = read_symbol_folders(spark, path, CANDLE_SCHEMA)
+    keys = fo.file_keys(files)
     sides = [side.withColumn("split", F.lit(name)).withColumn("part", F.lit(part))
              for part, share in (("all", 1.0), ("sample", 0.2))
-             for name, side in zip(("train", "test"), fo.holdout_files(files, 0.8, share))]
+             for name, side in zip(("train", "test"), fo.holdout_files(files, 0.8, share, keys=keys))]
     out = sides[0]
     for s in sides[1:]:
         out = out.unionByName(s)

@@ -122,3 +122,22 @@ def test_auc_by_model_equals_pairs(spark):
     for i, m in ((1, "a"), (2, "b")):
         up, down = [r[i] for r in rows if r[0]], [r[i] for r in rows if not r[0]]
         assert got[m] == pytest.approx(sum((x > y) + (x == y) / 2 for x in up for y in down) / (len(up) * len(down)))
+
+
+def test_symbols_of_a_layout_are_sought_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "folders")
+    spark.range(40).select(F.concat(F.lit("S"), F.col("id") % 10).alias("symbol"), "id").write.partitionBy("symbol").parquet(path)
+    files = spark.read.parquet(path)
+    plans, ranks = [], fo.key_ranks
+
+    def spy(keys, *args, **kw):
+        plans.append(keys._jdf.queryExecution().optimizedPlan().toString())
+        return ranks(keys, *args, **kw)
+
+    monkeypatch.setattr(fo, "key_ranks", spy)
+    keys = fo.file_keys(files) if hasattr(fo, "file_keys") else None
+    given = {"keys": keys} if keys is not None else {}
+    train, test = fo.holdout_files(files, 0.8, **given)
+    assert (train.count(), test.count()) == (32, 8)
+    assert [x.count() for x in fo.holdout_files(files, 0.8)] == [32, 8]
+    assert len(plans) == 2 and not any("parquet" in p for p in plans)      # ranked from the stored symbols
