@@ -37,41 +37,40 @@ def rows_at_ranks(df: DataFrame, ranks_of, time_col: str = "open_time",
     from counts only: days, then the minutes of the cut days, then the times of
     the cut minutes, then the ties at the cut times. A window sees one row a
     day, at most 1,440 minutes, at most 60,000 times or one sorted block of ties.
+    The counts per time are stored, in as few parts as their size asks for: cached they
+    would keep all shuffle partitions, whose tasks at every level cost more than the rows.
     """
-    per_time = df.groupBy(time_col).agg(F.count(F.lit(1)).alias("n")).persist()
-    try:
-        total = int(per_time.agg(F.sum("n")).first()[0] or 0)
-        ranks = list(ranks_of(total))
-        live = [r for r in ranks if r < total]
-        if not live:
-            return total, [None] * len(ranks)
-
-        def holds(before: str, n: str = "n") -> Column:
-            return reduce(lambda a, b: a | b, [(F.col(before) <= r) & (F.lit(r) < F.col(before) + F.col(n)) for r in live])
-
-        cells, inside = {}, per_time.withColumn("_in", F.lit(0).cast("long"))
-        for level in (coarse_ms, 60_000, 1):
-            unit = floor_to(F.col(time_col), level) if level > 1 else F.col(time_col)
-            counts = inside.groupBy("_in", unit.cast("long").alias("_unit")).agg(F.sum("n").alias("n"))
-            w = Window.partitionBy("_in").orderBy("_unit").rowsBetween(Window.unboundedPreceding, 0)
-            start = F.coalesce(*[F.when(F.col("_in") == c, F.lit(b)) for c, b in cells.items()]) if cells else F.lit(0)
-            placed = counts.select("_unit", "n", (start + F.sum("n").over(w) - F.col("n")).alias("_before"))
-            hit = placed.filter(holds("_before")).collect()            # at most one row a rank
-            cells = {row["_unit"]: row["_before"] for row in hit}
-            inside = per_time.withColumn("_in", unit.cast("long")).filter(F.col("_in").isin(list(cells)))
-        cut_times = {r: (row["_unit"], r - row["_before"]) for row in hit for r in live
-                     if row["_before"] <= r < row["_before"] + row["n"]}
-        ties = ties_at(df, set(cut_times.values()), {row["_unit"]: row["n"] for row in hit}, time_col, tie_col)
-        out = []
-        for r in ranks:
-            if r not in cut_times:
-                out.append(None)
-            else:
-                t, i = cut_times[r]
-                out.append((t, ties[(t, i)]))
-        return total, out
-    finally:
-        per_time.unpersist()
+    per_time = cut_lineage(df.groupBy(time_col).agg(F.count(F.lit(1)).alias("n")))
+    total = int(per_time.agg(F.sum("n")).first()[0] or 0)
+    ranks = list(ranks_of(total))
+    live = [r for r in ranks if r < total]
+    if not live:
+        return total, [None] * len(ranks)
+
+    def holds(before: str, n: str = "n") -> Column:
+        return reduce(lambda a, b: a | b, [(F.col(before) <= r) & (F.lit(r) < F.col(before) + F.col(n)) for r in live])
+
+    cells, inside = {}, per_time.withColumn("_in", F.lit(0).cast("long"))
+    for level in (coarse_ms, 60_000, 1):
+        unit = floor_to(F.col(time_col), level) if level > 1 else F.col(time_col)
+        counts = inside.groupBy("_in", unit.cast("long").alias("_unit")).agg(F.sum("n").alias("n"))
+        w = Window.partitionBy("_in").orderBy("_unit").rowsBetween(Window.unboundedPreceding, 0)
+        start = F.coalesce(*[F.when(F.col("_in") == c, F.lit(b)) for c, b in cells.items()]) if cells else F.lit(0)
+        placed = counts.select("_unit", "n", (start + F.sum("n").over(w) - F.col("n")).alias("_before"))
+        hit = placed.filter(holds("_before")).collect()            # at most one row a rank
+        cells = {row["_unit"]: row["_before"] for row in hit}
+        inside = per_time.withColumn("_in", unit.cast("long")).filter(F.col("_in").isin(list(cells)))
+    cut_times = {r: (row["_unit"], r - row["_before"]) for row in hit for r in live
+                 if row["_before"] <= r < row["_before"] + row["n"]}
+    ties = ties_at(df, set(cut_times.values()), {row["_unit"]: row["n"] for row in hit}, time_col, tie_col)
+    out = []
+    for r in ranks:
+        if r not in cut_times:
+            out.append(None)
+        else:
+            t, i = cut_times[r]
+            out.append((t, ties[(t, i)]))
+    return total, out
 
 
 def ties_at(df: DataFrame, wanted: set[tuple[int, int]], sizes: dict[int, int], time_col: str, tie_col: str,

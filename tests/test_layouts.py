@@ -54,6 +54,26 @@ def test_no_window_sees_all_symbols_of_a_time(spark, monkeypatch):
     assert over_ties and all("_block" in c for c in over_ties)
 
 
+def test_fold_cuts_do_not_run_every_shuffle_partition_at_each_level(spark):
+    """The counts per time are small: a level of the search takes a few tasks, however
+    many shuffle partitions there are."""
+    df = spark.createDataFrame([("a", t * 60_000) for t in range(300)], "symbol string, open_time long").repartition(2)
+    sc, key = spark.sparkContext, "spark.sql.shuffle.partitions"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "64")
+    sc.setJobGroup("fold-cuts", "")
+    try:
+        n, cuts = fo.rows_at_ranks(df, lambda n: [100, 200])
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set(key, was)
+    assert n == 300 and cuts == [(6_000_000, "a"), (12_000_000, "a")]
+    status = sc.statusTracker()
+    tasks = [status.getStageInfo(s).numTasks for j in status.getJobIdsForGroup("fold-cuts")
+             for s in status.getJobInfo(j).stageIds if status.getStageInfo(s)]
+    assert tasks and sum(t >= 64 for t in tasks) == 0
+
+
 def _candles(spark, symbols):
     rows = [(s, t * 1_800_000, 1.0, 2.0, 0.5, 1.5, 1.0, 1, 0.5) for s in symbols for t in range(5)]
     return spark.createDataFrame(rows, CANDLE_SCHEMA)
