@@ -11,7 +11,9 @@ function in the plan.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
@@ -38,6 +40,7 @@ class StackParams:
     gbt_undersample: bool = True     # GBT on class-balanced rows instead of weights
     sample_seed: int = 42
     partitions: int = 8              # of the training table; set it to the cluster's cores
+    parallelism: int = 6             # base models fitted at the same time
 
 
 def assembler() -> VectorAssembler:
@@ -56,16 +59,31 @@ def _slicer(name: str) -> VectorSlicer:
     return VectorSlicer(inputCol=f"{name}_probability", outputCol=f"{name}_p", indices=[1])
 
 
-def fit_base_models(train: DataFrame, params: StackParams, use_weights: bool) -> dict:
-    """Fit RF, GBT and LR on ``train`` (feature columns, label, weight)."""
+def fit_base_model(name: str, train: DataFrame, params: StackParams, use_weights: bool):
+    """Fit one of ``BASE`` on ``train`` (feature columns, label, weight)."""
     data = assembler().transform(train)
     wcol = {"weightCol": "weight"} if use_weights else {}
-    rf = _named(RandomForestClassifier(**wcol, **params.rf), "rf").fit(data)
-    gbt_rows = undersample_majority(data, params.sample_seed) if params.gbt_undersample else data
-    gbt_w = {} if params.gbt_undersample else wcol
-    gbt = _named(GBTClassifier(**gbt_w, **params.gbt), "gbt").fit(gbt_rows)
-    lr = _named(LogisticRegression(**wcol, **params.lr), "lr").fit(data)
-    return {"rf": rf, "gbt": gbt, "lr": lr}
+    if name == "rf":
+        return _named(RandomForestClassifier(**wcol, **params.rf), "rf").fit(data)
+    if name == "gbt":
+        gbt_rows = undersample_majority(data, params.sample_seed) if params.gbt_undersample else data
+        gbt_w = {} if params.gbt_undersample else wcol
+        return _named(GBTClassifier(**gbt_w, **params.gbt), "gbt").fit(gbt_rows)
+    return _named(LogisticRegression(**wcol, **params.lr), "lr").fit(data)
+
+
+def fit_base_models(sets: list[DataFrame], params: StackParams, use_weights: bool) -> list[dict]:
+    """RF, GBT and LR of each of the training ``sets`` (the largest last).
+
+    No fit needs another's result, and most of a fit is a chain of short jobs of
+    ``params.partitions`` tasks, so ``params.parallelism`` fits run side by side, the
+    longest first. A fit's models depend on its rows and seeds only."""
+    todo = [(i, name) for name in ("gbt", "rf", "lr") for i in reversed(range(len(sets)))]
+    tasks = [inheritable_thread_target(sets[i].sparkSession)(
+        lambda i=i, name=name: fit_base_model(name, sets[i], params, use_weights)) for i, name in todo]
+    with ThreadPool(min(params.parallelism, len(tasks))) as pool:
+        fitted = dict(zip(todo, pool.map(lambda task: task(), tasks, chunksize=1)))
+    return [{name: fitted[i, name] for name in BASE} for i in range(len(sets))]
 
 
 def base_pipeline(models: dict) -> PipelineModel:

@@ -1,8 +1,9 @@
 """Walk-forward out-of-fold stacking (ML-4..8) over a feature table.
 
-features -> class weights -> exact folds -> for k = 1..K-1: fit on folds < k,
-score fold k (chained transforms, no join) -> OOF union -> meta fit -> refit
-bases on everything -> one PipelineModel. The feature table is persisted once
+features -> class weights -> exact folds -> base models fitted side by side, on
+folds < k for k = 1..K-1 and on everything -> score fold k by the models of folds
+< k (chained transforms, no join) -> OOF union -> meta fit -> one PipelineModel
+with the bases of everything. The feature table is persisted once
 and every fold's predictions are cut from the lineage with a reliable
 checkpoint in the shared folder.
 """
@@ -58,13 +59,16 @@ def train_stack(features: DataFrame, k: int = 3, downscale: float = 1.0,
     table = add_class_weights(base, downscale) if use_weights else base.withColumn("weight", F.lit(1.0))
     table = walk_forward_folds(table, k, snap_to_time=snap_folds)
     try:
-        parts = []
+        sets = []
         for f in range(1, k):
             train = table.filter(F.col("fold") < f)
-            valid = table.filter(F.col("fold") == f)
             if fold_weights == "per_fold" and use_weights:
                 train = add_class_weights(train.drop("weight"), downscale)
-            models = st.fit_base_models(train, params, use_weights)
+            sets.append(train)
+        *earlier, final = st.fit_base_models([*sets, table], params, use_weights)
+        parts = []
+        for f, models in enumerate(earlier, 1):
+            valid = table.filter(F.col("fold") == f)
             scored = st.base_probabilities(st.base_pipeline(models).transform(valid))
             keep = scored.select("symbol", "open_time", "label", "weight", "fold",
                                  *[f"{n}_p" for n in st.BASE], *[f"{n}_prob" for n in st.BASE])
@@ -73,7 +77,6 @@ def train_stack(features: DataFrame, k: int = 3, downscale: float = 1.0,
         for p in parts[1:]:
             oof = oof.unionByName(p)
         meta = st.fit_meta(oof, params, use_weights)
-        final = st.fit_base_models(table, params, use_weights)
         return StackResult(st.stacked_pipeline(final, meta), oof, final, use_weights)
     finally:
         base.unpersist()

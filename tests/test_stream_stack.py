@@ -2,6 +2,7 @@
 
 import math
 import os
+import threading
 import uuid
 
 import pytest
@@ -230,6 +231,29 @@ def test_training_does_not_depend_on_the_layout(spark):
     assert seen[0] == seen[1] == seen[2]
 
 
+def test_base_models_are_fitted_side_by_side(spark, monkeypatch):
+    """Two fits wait for each other, so one after the other would break the barrier; the
+    models are those of one fit at a time."""
+    feats = event_features(spark, SMALL, tail="drop").persist()
+    small = dict(rf=dict(numTrees=3, maxDepth=3, seed=42), gbt=dict(maxIter=2, maxDepth=2, seed=42),
+                 lr=dict(maxIter=10, regParam=0.01), meta=dict(maxIter=10, regParam=0.001))
+    alone = tr.train_stack(feats, k=2, params=st.StackParams(**small, parallelism=1))
+    together, real = threading.Barrier(2, timeout=120), st.fit_base_model
+
+    def fit(*args):
+        together.wait()
+        return real(*args)
+
+    monkeypatch.setattr(st, "fit_base_model", fit)
+    both = tr.train_stack(feats, k=2, params=st.StackParams(**small, parallelism=2))
+    feats.unpersist()
+    rows = [sorted((x["symbol"], x["open_time"], round(x["rf_prob"], 9), round(x["gbt_prob"], 9), round(x["lr_prob"], 9))
+                   for x in r.oof.collect()) for r in (alone, both)]
+    assert rows[0] and rows[0] == rows[1]
+    for m in ("rf", "gbt"):
+        assert alone.base[m].featureImportances.toArray().tolist() == pytest.approx(both.base[m].featureImportances.toArray().tolist())
+
+
 def test_feature_filter_holds_no_formula(spark):
     plan = event_features(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     for line in plan.splitlines():
