@@ -77,3 +77,24 @@ def test_edge_rows_and_hot_keys(spark, hot):
     want = plain([(t or "").encode() for _, t in rows], 64)
     assert [(i, n, r, s, bytes(k)) for i, n, r, s, k in got] == sorted(((i, *w) for (i, _), w in zip(rows, want)), key=repr)
     assert sx.dedup(docs.limit(0), 64).count() == 0
+
+
+def test_planted_passages_are_read_by_removed_bytes(spark, tmp_path):
+    """Passages of over 50 words in two documents go if they have 400 bytes or more,
+    shorter ones and clean documents stay; n_bytes is the whole text's size for all."""
+    rng = random.Random(12)
+    words = lambda n, size: " ".join("".join(rng.choice("abcdefgh é") for _ in range(size)).replace(" ", "x") for _ in range(n))
+    rows, passages = [], {}
+    for p in range(40):
+        long = p % 2 == 0
+        passages[p] = words(60, 8 if long else 4)  # 60 words: 539 characters or 299
+        assert (len(passages[p].encode()) >= 400) == long
+        rows += [(3 * p + k, f"{words(30 + k, 7)}\n{passages[p]}\n{words(50, 7)}", p) for k in (0, 1)] + [(3 * p + 2, words(140, 7), None)]
+    spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in queries.QUERIES["op9_suffixes"](spark, str(tmp_path)).collect()}
+    want = {i: w for (i, _, _), w in zip(rows, plain([t.encode() for _, t, _ in rows], 400))}
+    for i, text, p in rows:
+        planted = p is not None and p % 2 == 0
+        assert (got[i]["n_removed"] >= len(passages[p].encode())) if planted else got[i]["n_removed"] == 0
+        assert tuple(got[i])[1:4] == want[i][:3] and got[i]["n_bytes"] == len(text.encode())
+        assert got[i]["kept_sha256"] == hashlib.sha256(want[i][3]).hexdigest()
