@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -153,3 +154,125 @@ def test_blocks_of_findings_do_not_depend_on_the_layout(spark, monkeypatch):
     monkeypatch.setattr(se, "BLOCK_ROWS", 100)
     net, again = se.fit(docs), se.fit(docs.repartition(5))
     assert np.array_equal(net.filters, again.filters) and net.threshold == again.threshold
+
+
+def odd_texts(n):
+    rng = np.random.default_rng(19)
+    bits = ["token", "Token", "api_key", "apiKEY", "ſecret", "SECRET", "password", "passw", " ", "   ", "=", ":", '"', "'", ".", "AKIA",
+            "AKIAAKIA1234ABCD", "0123456789abcdef" * 2, "deadbeef" * 5, "short", "longer.value/x=", "é", "界", "😀", "\n", "\0", "\x85",
+            "ZZ99", "passwd:", "etaoinshrdluetao", "x" * 70, "Ab0+/_=-" * 30]
+    return ["".join(rng.choice(bits, rng.integers(1, 14))) for _ in range(n)]
+
+
+def plain_examples(text):
+    base, out = plain(text), []
+    for m in re.finditer("[A-Za-z0-9+/_=-]{16,}", text):
+        a, b = m.span()
+        cover = [(s, e) for _, s, e in base if s <= a and b <= e]
+        if cover or not any(s < b and a < e for _, s, e in base):
+            out.append((int(bool(cover)), plain_rows(text, a, b)))
+        if cover:
+            s, e = min(cover)[0], max(e for _, e in cover)
+            before = text[max(0, s - 16):s]
+            out.append((1, plain_rows(before + m[0] + " " + text[e:e + 16].lstrip("\"'"), len(before), len(before) + b - a)))
+    return out
+
+
+def plain_rows(text, a, b):
+    lo = max(0, a - 16)
+    sym = [(se.char_class(c) if c.isascii() else 9) + 10 * (a <= i < b) for i, c in enumerate(text[lo:b + 16], lo)]
+    starts = range(0, max(1, len(sym) - 4), 44)
+    rows = [(sym[k:k + 48] + [0] * 48)[:48] for k in starts]
+    return rows if len(rows) < 2 or len(sym) > starts[-1] + 4 else rows[:-1]
+
+
+def test_examples_equal_a_plain_reading_of_odd_texts():
+    texts = odd_texts(1500)
+    for text in texts:
+        assert se.base_spans(text) == plain(text), text
+        got, want = se.examples(text), plain_examples(text)
+        assert [(y, rows.tolist()) for y, rows in got] == want, text
+        for _, rows in got:
+            assert se.packed(rows) == np.unique(rows, axis=0).astype(np.int8).tobytes()
+    assert [b for b, _ in se.scan(texts, None)] == [plain(t) for t in texts]
+
+
+def seconds(work, times=3):
+    def once():
+        began = time.process_time()
+        work()
+        return time.process_time() - began
+    return min(once() for _ in range(times))
+
+
+def test_prose_is_scanned_several_times_as_fast_as_by_the_patterns_alone():
+    rng = np.random.default_rng(23)
+    words = ["".join(rng.choice(list("etaoinshrdlucmf"), rng.integers(2, 10))) for _ in range(2000)]
+    texts = [" ".join(rng.choice(words, 500)) for _ in range(300)]
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    patterns = (assign, re.compile("AKIA[A-Z0-9]+"), re.compile("[0-9a-f]{32,}"), re.compile("[A-Za-z0-9+/_=-]{16,}"))
+    by_patterns = seconds(lambda: [p.findall(t) for t in texts for p in patterns])
+    assert seconds(lambda: [se.examples(t) for t in texts]) < by_patterns / 3
+
+
+def test_a_text_of_many_findings_costs_no_more_than_many_texts():
+    rng = np.random.default_rng(29)
+    parts = [f'word {rng.bytes(10).hex()} token="{rng.bytes(9).hex()}" ' for _ in range(4000)]
+    apart = ["".join(parts[k:k + 50]) for k in range(0, len(parts), 50)]
+    whole = "".join(parts)
+    assert sum(y for y, _ in se.examples(whole)) == sum(y for t in apart for y, _ in se.examples(t)) == 8000
+    assert seconds(lambda: se.examples(whole), 1) < 3 * seconds(lambda: [se.examples(t) for t in apart], 1) + 0.2
+
+
+def plain_trained(state, candidates, y, share, seed, rate=0.01):
+    """The steps as stated, each sum element by element."""
+    rng = np.random.default_rng(seed)
+    state = state.copy()
+    p, m, v = (se.arrays(state[i * se.SIZE:(i + 1) * se.SIZE]) for i in range(3))
+    weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share))
+
+    def hidden(rows):
+        act = np.maximum(p[1] + sum(p[0][j][rows[:, j:44 + j]] for j in range(5)), 0)
+        return act, np.concatenate([act.mean(1), act.max(1)], axis=1)
+
+    for _ in range(se.PASSES):
+        order = rng.permutation(len(candidates))
+        for b in range(0, len(candidates), 128):
+            i = order[b:b + 128]
+            rows = np.concatenate([candidates[j] for j in i])
+            logits = np.concatenate([hidden(rows[k:k + 512])[1] @ p[2] + float(p[3][0]) for k in range(0, len(rows), 512)])
+            ends = np.cumsum([len(candidates[j]) for j in i])
+            x = np.stack([candidates[j][g.argmax()] for j, g in zip(i, np.split(logits, ends[:-1]))])
+            act, h = hidden(x)
+            d = (1 / (1 + np.exp(-np.clip(h @ p[2] + p[3][0], -40, 40))) - y[i]) * weight[i] / len(i)
+            dh = d[:, None] * p[2]
+            da = np.repeat(dh[:, None, :16] / 44, 44, axis=1)
+            at = act.argmax(1)[:, None]
+            np.put_along_axis(da, at, np.take_along_axis(da, at, 1) + dh[:, None, 16:], 1)
+            da *= act > 0
+            gf = np.zeros_like(p[0])
+            for j in range(5):
+                np.add.at(gf[j], x[:, j:44 + j], da)
+            state[-1] += 1
+            for a, g, mm, vv in zip(p, [gf, da.sum((0, 1)), h.T @ d, np.array([d.sum()])], m, v):
+                mm += 0.1 * (g - mm)
+                vv += 0.001 * (g * g - vv)
+                a -= rate * (mm / (1 - 0.9 ** state[-1])) / (np.sqrt(vv / (1 - 0.999 ** state[-1])) + 1e-8)
+    return state
+
+
+def test_training_equals_the_plain_steps_and_is_faster():
+    rng = np.random.default_rng(31)
+    # rows a candidate: mostly one or two, some many, so that batches of over 512 rows come too; equal rows are ties
+    for rows, n, times in (((1, 3), 1500, 3), ((1, 12), 300, 1)):
+        candidates = [np.repeat(rng.integers(0, 20, (1, 48)), k, 0) if k % 3 == 0 else rng.integers(0, 20, (k, 48))
+                      for k in rng.integers(*rows, n)]
+        candidates = [c.astype(np.int16) for c in candidates]
+        y = (rng.random(n) < 0.3).astype(int)
+        for c, label in zip(candidates, y):
+            c[:, 10:30] = c[:, 10:30] // 2 * 2 + label
+        args = (candidates, y, 0.3, [7, 1, 2])
+        begin = se.trained(se.untrained(), *args)
+        assert np.array_equal(se.trained(begin, *args), plain_trained(begin, *args))
+        if times > 1:
+            assert seconds(lambda: se.trained(begin, *args), times) < 0.6 * seconds(lambda: plain_trained(begin, *args), times)
